@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from salesflow.operators.evaluate import class_edges, evaluation_row
 from salesflow.operators.split import SEED
-from salesflow.session import cut
+from salesflow.session import cut, shared_folder
 
 TARGET = "Weekly_Sales"
 VECTOR = "features"
@@ -58,15 +58,39 @@ SAMPLED_BOOSTED = {
     "featureSubsetStrategy": "0.8",
 }
 
-# Statistics of one level of a deep tree are gathered in this much memory per pass.
-_TREE_MEMORY_MB = 1024
+# Part of a task's heap that the split statistics of one pass over the rows may use.
+_TREE_SHARE = 0.2
+_TREE_LIMITS_MB = (16, 2048)
 # Boosting chains one tree to the next; a checkpoint every few trees keeps the
 # chain short enough to rebuild when an executor is lost.
 _CHECKPOINT_EVERY = 10
 
+# A partition smaller than this is not worth a task of its own.
+_ROWS_PER_PARTITION = 5_000
+
 Learner = Callable[[DataFrame], Estimator]
 
 
+def _megabytes(size: str) -> float:
+    """A size setting such as ``4g``; a bare number is in megabytes."""
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    text = size.strip().lower().removesuffix("b")
+    return float(text[:-1]) * units[text[-1]] if text[-1] in units else float(text)
+
+
+def tree_memory_mb(df: DataFrame) -> int:
+    """Memory per task for split statistics: more of it means fewer passes per tree level."""
+    context = df.sparkSession.sparkContext
+    conf = context.getConf()
+    if context.master.startswith("local"):
+        heap, tasks = conf.get("spark.driver.memory", "1g"), context.defaultParallelism
+    else:
+        heap, tasks = conf.get("spark.executor.memory", "1g"), 1
+        tasks = int(conf.get("spark.executor.cores", "1"))
+    low, high = _TREE_LIMITS_MB
+    return int(min(high, max(low, _megabytes(heap) * _TREE_SHARE / tasks)))
+
+
 def linear() -> Learner:
     return lambda train: LinearRegression(featuresCol=VECTOR, labelCol=TARGET)
 
@@ -99,7 +123,10 @@ def forest(**settings) -> Learner:
         featuresCol=VECTOR,
         labelCol=TARGET,
         seed=SEED,
-        maxMemoryInMB=_TREE_MEMORY_MB,
+        maxMemoryInMB=tree_memory_mb(train),
+        # Deep trees: remember each row's node instead of walking down again per pass.
+        cacheNodeIds=True,
+        checkpointInterval=_CHECKPOINT_EVERY,
         **(settings or FOREST),
     )
 
@@ -109,7 +136,7 @@ def boosted(**settings) -> Learner:
         featuresCol=VECTOR,
         labelCol=TARGET,
         seed=SEED,
-        maxMemoryInMB=_TREE_MEMORY_MB,
+        maxMemoryInMB=tree_memory_mb(train),
         checkpointInterval=_CHECKPOINT_EVERY,
         **(settings or BOOSTED),
     )
@@ -140,7 +167,22 @@ def assemble(
 
 
 def fit(learner: Learner, train: DataFrame) -> Model:
-    return learner(train).fit(train)
+    """Fit on kept rows, in as few partitions as keep the cluster busy.
+
+    Every partition sends the split statistics of every tree node, so with deep
+    trees it is the number of partitions, not of rows, that fills the shuffle.
+    """
+    shared_folder(train.sparkSession)
+    kept = train.is_cached
+    rows = train if kept else train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        needed = -(-rows.count() // _ROWS_PER_PARTITION)
+        slots = rows.sparkSession.sparkContext.defaultParallelism
+        compact = rows.coalesce(max(1, min(needed, slots)))
+        return learner(compact).fit(compact)
+    finally:
+        if not kept:
+            rows.unpersist()
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

@@ -377,8 +377,8 @@ _SPAN = {
         stddev_samp({TARGET}) * pow(count(*), -0.2) AS h FROM wide"""
 }
 ORACLE["histogram_sales"] = sql(
-    f"""SELECT b.bin, round(lo + (b.bin - 1) * ((hi - lo) / 50), 4) AS bin_start,
-        round(lo + b.bin * ((hi - lo) / 50), 4) AS bin_end, coalesce(c, 0) AS row_count
+    f"""SELECT b.bin, round(lo + (b.bin - 1) * ((hi - lo) / 50), 7) AS bin_start,
+        round(lo + b.bin * ((hi - lo) / 50), 7) AS bin_end, coalesce(c, 0) AS row_count
     FROM (SELECT CAST(range AS INT) AS bin FROM range(1, 51)) b CROSS JOIN span LEFT JOIN (
         SELECT CAST(least(floor(({TARGET} - lo) / ((hi - lo) / 50)) + 1, 50) AS INT) AS bin,
                count(*) AS c FROM wide, span GROUP BY ALL) k ON b.bin = k.bin""",

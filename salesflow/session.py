@@ -34,13 +34,12 @@ def shared_folder(spark: SparkSession) -> str:
     back to a temporary folder.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and context.getCheckpointDir() is not None:
-        return context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="salesflow-")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 
@@ -52,8 +51,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the written rows."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

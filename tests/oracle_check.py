@@ -79,7 +79,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:]
     spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false"
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false"
     )
     spark.sparkContext.setLogLevel("ERROR")
     db, oracle = connect(sf), entry.oracle_sql()
