@@ -67,6 +67,16 @@ def wide_quantiles(
     return long.groupBy(*keys).agg(*columns)
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    """A join side with a broadcast hint if a count shows that it is small.
+
+    Only for frames that are cheap to count, such as checkpointed ones. A larger
+    one goes without hint: a shuffled join, whose hot keys adaptive execution splits.
+    """
+    few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(df) if few else df
+
+
 def _too_wide(task_rows: int) -> Column:
     return (F.col("_inside") > task_rows) & (F.col("_lo") < F.col("_hi"))
 
@@ -102,9 +112,7 @@ def _tag(rows: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     """Rows inside a bracket, with the bracket's columns."""
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     if keys:
-        if brackets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            brackets = F.broadcast(brackets)
-        return rows.join(brackets, keys).where(inside)
+        return rows.join(small_side(brackets), keys).where(inside)
     # Without keys there are at most two brackets per probability.
     known = brackets.collect()
     tag = F.coalesce(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.operators.cleaning import numeric_columns
-from salesflow.operators.quantiles import wide_quantiles
+from salesflow.operators.quantiles import small_side, wide_quantiles
 from salesflow.session import cut
 
 # The fence factor, bin count and grid size of the charts.
@@ -151,12 +151,12 @@ def box_stats(
     """Per group: quartiles, whiskers (last rows inside the fences) and outlier count."""
     quartiles = wide_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     bounds = cut(quartiles.withColumns(_fences(factor)))
-    lookup = _lookup(bounds, by)
-    fence = lookup(F.col(by))
+    fences = small_side(bounds.select(by, "lower_bound", "upper_bound"))
     v = F.col(value)
-    inside = (v >= fence["lower_bound"]) & (v <= fence["upper_bound"])
+    inside = (v >= F.col("lower_bound")) & (v <= F.col("upper_bound"))
     whiskers = (
-        df.where(v.isNotNull() & F.col(by).isNotNull())
+        df.where(v.isNotNull())
+        .join(fences, [by])
         .groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -177,19 +177,6 @@ def box_stats(
     )
 
 
-# A chart with more boxes than this is not drawn; it also bounds the lookup map.
-MAX_BOXES = 10_000
-
-
-def _lookup(bounds: DataFrame, by: str):
-    """Bounds per group as a map scalar, so that large rows need no join on a hot group."""
-    if bounds.limit(MAX_BOXES + 1).count() > MAX_BOXES:
-        raise ValueError(f"{by} has more than {MAX_BOXES} groups, too many for a box chart")
-    entry = F.struct(F.col(by), F.struct("lower_bound", "upper_bound"))
-    table = bounds.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
-    return lambda key: table[key]
-
-
 def scatter_points(
     df: DataFrame, x: str, y: str, key: Sequence[str] | None = None, fraction: float = 1.0
 ) -> DataFrame:

@@ -18,6 +18,10 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+        # Split a hot join key even where the rows have to be shuffled again for it.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Checkpoints go away with the frames that use them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
