@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.quantiles import wide_quantiles
+from salesflow.operators.quantiles import summary
 from salesflow.session import cut
 
 # Sales classes end at these percentiles of the hold-out labels.
@@ -50,7 +50,7 @@ def regression_metrics(
 
 def class_edges(df: DataFrame, label: str = "Weekly_Sales") -> DataFrame:
     """The two values that part low, medium and high sales; one row."""
-    return cut(wide_quantiles(df, label, CLASS_EDGES))
+    return cut(summary(df, label, CLASS_EDGES))
 
 
 def sales_class(value: Column, low: Column, high: Column, merge_low: bool = True) -> Column:

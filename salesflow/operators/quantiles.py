@@ -8,7 +8,7 @@ shuffles only bin counts. Groups that are small to begin with skip the rounds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,13 +33,59 @@ def exact_quantiles(
     Linear interpolation between the neighbouring ranks. Null and NaN values do
     not count, rows with a null key are left out, values must be finite.
     """
-    keys = list(keys)
+    return _quantiles(_values(df, value, keys), probs, list(keys), {}, task_rows, bins)[0]
+
+
+def summary(
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    keys: Sequence[str] = (),
+    extra: dict[str, Callable[[str], Column]] | None = None,
+    task_rows: int = TASK_ROWS,
+    bins: int = BINS,
+) -> DataFrame:
+    """One row per group: a column per entry of ``{name: probability}``, and ``extra``.
+
+    ``extra`` maps names to aggregate functions of the value. They are computed
+    in the pass that counts the group, so they cost no scan of their own.
+    """
+    keys, extra = list(keys), extra or {}
+    long, ranks = _quantiles(
+        _values(df, value, keys), sorted(set(probs.values())), keys, extra, task_rows, bins
+    )
+    columns = [
+        F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
+        for name, p in probs.items()
+    ]
+    wide = long.groupBy(*keys).agg(*columns)
+    if not extra:
+        return wide
+    if keys:
+        return wide.join(ranks.select(*keys, *extra).distinct(), keys)
+    facts = {name: ranks.select(name).limit(1).scalar() for name in extra}
+    return wide.withColumns(facts)
+
+
+def _values(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
-    ranks = cut(_wanted_ranks(rows, keys, probs))
+    return rows
+
+
+def _quantiles(
+    rows: DataFrame,
+    probs: Sequence[float],
+    keys: list[str],
+    extra: dict[str, Callable[[str], Column]],
+    task_rows: int,
+    bins: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The quantiles in long form, and the rank table they were read from."""
+    ranks = cut(_wanted_ranks(rows, keys, probs, extra))
     narrowed = False
     while ranks.where(_too_wide(task_rows)).limit(1).count():
         ranks = cut(_narrow(rows, ranks, keys, task_rows, bins))
@@ -48,23 +94,7 @@ def exact_quantiles(
         rows = _tag(rows, _brackets(ranks, keys), keys)
     else:
         rows = rows.withColumn("_below", F.lit(0).cast("long"))
-    return _pick(rows, ranks, keys)
-
-
-def wide_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: dict[str, float],
-    keys: Sequence[str] = (),
-    **options,
-) -> DataFrame:
-    """The same with one column per entry of ``{name: probability}``."""
-    long = exact_quantiles(df, value, sorted(set(probs.values())), keys, **options)
-    columns = [
-        F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
-        for name, p in probs.items()
-    ]
-    return long.groupBy(*keys).agg(*columns)
+    return _pick(rows, ranks, keys), ranks
 
 
 def small_side(df: DataFrame) -> DataFrame:
@@ -81,10 +111,18 @@ def _too_wide(task_rows: int) -> Column:
     return (F.col("_inside") > task_rows) & (F.col("_lo") < F.col("_hi"))
 
 
-def _wanted_ranks(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+def _wanted_ranks(
+    rows: DataFrame,
+    keys: list[str],
+    probs: Sequence[float],
+    extra: dict[str, Callable[[str], Column]],
+) -> DataFrame:
     """A row per group, probability and neighbouring rank, with the whole group as bracket."""
     whole = rows.groupBy(*keys).agg(
-        F.count("_v").alias("_inside"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        F.count("_v").alias("_inside"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+        *[f("_v").alias(name) for name, f in extra.items()],
     )
     wanted = F.array(
         *[
@@ -145,8 +183,11 @@ def _narrow(
     rows: DataFrame, ranks: DataFrame, keys: list[str], task_rows: int, bins: int
 ) -> DataFrame:
     wide, done = ranks.where(_too_wide(task_rows)), ranks.where(~_too_wide(task_rows))
-    # Halves keep the width finite for the largest doubles.
-    place = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    # Halves where the width of a bracket of huge doubles would be infinite.
+    place = F.when(hi - lo < float("inf"), (v - lo) / (hi - lo)).otherwise(
+        (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    )
     group = [*keys, "_below"]
     counts = (
         _tag(rows, _brackets(wide, keys), keys)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.operators.cleaning import numeric_columns
-from salesflow.operators.quantiles import small_side, wide_quantiles
+from salesflow.operators.quantiles import small_side, summary
 from salesflow.session import cut
 
 # The fence factor, bin count and grid size of the charts.
@@ -32,7 +32,7 @@ def _fences(factor: float) -> dict[str, Column]:
 
 def iqr_bounds(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE) -> DataFrame:
     """Quartiles, fences and the number of rows outside them; one row."""
-    bounds = cut(wide_quantiles(df, value, QUARTILES).withColumns(_fences(factor)))
+    bounds = cut(summary(df, value, QUARTILES).withColumns(_fences(factor)))
     outside = _outside(value, bounds)
     count = df.agg(F.count_if(outside).alias("outlier_count")).scalar()
     return bounds.withColumn("outlier_count", count)
@@ -40,7 +40,7 @@ def iqr_bounds(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE
 
 def iqr_outliers(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE) -> DataFrame:
     """The rows outside the fences."""
-    bounds = cut(wide_quantiles(df, value, QUARTILES).withColumns(_fences(factor)))
+    bounds = cut(summary(df, value, QUARTILES).withColumns(_fences(factor)))
     return df.where(_outside(value, bounds))
 
 
@@ -57,18 +57,28 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column", "value"
     )
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = wide_quantiles(
-        long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"]
+    moments = {
+        "count": F.count,
+        "mean": F.avg,
+        "std": F.stddev_samp,
+        "min": F.min,
+        "max": F.max,
+    }
+    found = summary(
+        long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"], extra=moments
     )
-    return moments.join(quartiles, ["column"], "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    # A column without any value still gets its row.
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(found, ["column"], "left").select(
+        "column",
+        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        "mean",
+        "std",
+        "min",
+        "p25",
+        "p50",
+        "p75",
+        "max",
     )
 
 
@@ -149,7 +159,7 @@ def box_stats(
     factor: float = FENCE,
 ) -> DataFrame:
     """Per group: quartiles, whiskers (last rows inside the fences) and outlier count."""
-    quartiles = wide_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    quartiles = summary(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     bounds = cut(quartiles.withColumns(_fences(factor)))
     fences = small_side(bounds.select(by, "lower_bound", "upper_bound"))
     v = F.col(value)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesflow.operators import selection as S
 from salesflow.operators import stats as D
-from salesflow.operators.quantiles import exact_quantiles, wide_quantiles
+from salesflow.operators.quantiles import exact_quantiles, summary
 
 
 def quantiles(df, probs, **options):
@@ -47,7 +47,7 @@ def test_narrowing_per_group_with_a_hot_group(spark):
         F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("g"),
         F.when(F.col("id") % 5 == 0, 7.0).otherwise(F.pow(F.rand(1) * 10, 4)).alias("v"),
     ).persist()
-    got = wide_quantiles(df, "v", {"q1": 0.25, "q3": 0.75}, ["g"], task_rows=20, bins=8)
+    got = summary(df, "v", {"q1": 0.25, "q3": 0.75}, ["g"], task_rows=20, bins=8)
     want = df.groupBy("g").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.75).alias("q3"))
     a = got.toPandas().set_index("g").sort_index()
     b = want.toPandas().set_index("g").sort_index()
@@ -67,7 +67,10 @@ def test_outliers_and_boxes(rows):
 
 def test_describe_equals_pandas(spark):
     pdf = pd.DataFrame({"a": [1.0, 2.0, None, 7.5], "b": [3, 1, 4, 1], "s": list("wxyz")})
-    got = D.describe(spark.createDataFrame(pdf)).toPandas().set_index("column")
+    df = spark.createDataFrame(pdf).withColumn("none", F.lit(None).cast("double"))
+    got = D.describe(df).toPandas().set_index("column")
+    assert got.loc["none", "count"] == 0 and np.isnan(got.loc["none", "mean"])
+    got = got.drop("none")
     want = pdf[["a", "b"]].describe().T
     for name, other in {"p25": "25%", "p50": "50%", "p75": "75%", "mean": "mean", "std": "std"}.items():
         assert np.allclose(got[name], want[other].loc[got.index])
