@@ -621,11 +621,11 @@ ORACLE["split_valid"] = sql(
 )
 ORACLE["upsert_set"] = sql(
     """SELECT Store, Dept, Date, IsHoliday, CASE WHEN NOT IsHoliday THEN Weekly_Sales
-        WHEN Dept % 2 = 1 THEN NULL ELSE Weekly_Sales + 1 END AS Weekly_Sales FROM train
+        WHEN Dept >= 3 THEN NULL ELSE Weekly_Sales + 1 END AS Weekly_Sales FROM train
     UNION ALL SELECT Store, Dept, Date, NULL, 5.0 FROM test"""
 )
 ORACLE["upsert_keep_on_null"] = sql(
-    """SELECT Store, Dept, Date, IsHoliday, CASE WHEN NOT IsHoliday OR Dept % 2 = 1
+    """SELECT Store, Dept, Date, IsHoliday, CASE WHEN NOT IsHoliday OR Dept >= 3
         THEN Weekly_Sales ELSE Weekly_Sales + 1 END AS Weekly_Sales FROM train
     UNION ALL SELECT Store, Dept, Date, NULL, 5.0 FROM test"""
 )

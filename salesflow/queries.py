@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow import contracts, fixtures
-from salesflow.functions.dates import add_calendar, parse_date, season
+from salesflow.functions import dates
+from salesflow.functions.dates import add_calendar, parse_date
 from salesflow.functions.money import exact_mean
 from salesflow.operators import checks as Q
 from salesflow.operators import cleaning as C
@@ -285,14 +286,13 @@ def temporal_extended(spark, sf):
 
 
 @query
-def season_of_ship_date(spark, sf):
+def season(spark, sf):
     lines = fixtures.read(spark, sf, "lineitem")
-    return lines.groupBy(F.col("l_shipdate").cast("date").alias("ship_date")).agg(
-        F.count(F.lit(1)).alias("line_count")
-    ).withColumn("Season", season("ship_date"))
-
-
-QUERIES["season"] = QUERIES.pop("season_of_ship_date")
+    return (
+        lines.groupBy(F.col("l_shipdate").cast("date").alias("ship_date"))
+        .agg(F.count(F.lit(1)).alias("line_count"))
+        .withColumn("Season", dates.season("ship_date"))
+    )
 
 
 # Joins
@@ -559,7 +559,7 @@ def selection_report(spark, sf):
 
 
 @query
-def feature_pipeline(spark, sf):
+def forecast_features(spark, sf):
     test = J.scoring_input(
         fixtures.test(spark, sf), cleaned(spark, sf), fixtures.stores(spark, sf)
     )
@@ -741,7 +741,7 @@ def score_test(spark, sf):
 
 
 @query
-def pipeline_forecast(spark, sf):
+def forecast_run(spark, sf):
     return forecast.run(_inputs(spark, sf), _short_learners()).comparison
 
 
@@ -809,11 +809,11 @@ def split_valid(spark, sf):
 
 
 def _batch(spark: SparkSession, sf: str) -> DataFrame:
-    """Holiday rows twice, the second time for odd departments only, and new rows."""
+    """Holiday rows, some of them again without a value, and new rows."""
     train, test = fixtures.train(spark, sf), fixtures.test(spark, sf)
     again = train.where("IsHoliday").select(*KEY, "Weekly_Sales")
     first = again.withColumns({"Weekly_Sales": F.col("Weekly_Sales") + 1, "at": F.lit(1)})
-    second = again.where("Dept % 2 = 1").withColumns(
+    second = again.where("Dept >= 3").withColumns(
         {"Weekly_Sales": F.lit(None).cast("double"), "at": F.lit(2)}
     )
     new = test.select(*KEY, F.lit(5.0).alias("Weekly_Sales"), F.lit(3).alias("at"))

@@ -12,7 +12,7 @@ SLOW = {
     "model_gbt",
     "model_gbt_sampled",
     "model_comparison",
-    "pipeline_forecast",
+    "forecast_run",
     "score_test",
 }
 
