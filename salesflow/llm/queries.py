@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import mixing, packing
+from salesflow.llm import mixing, ngram_join, packing
 
 
 def reachable(spark: SparkSession) -> None:
@@ -47,7 +47,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"), end_id=1)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op4_packing": op4_packing,
+    "op5_ngram_join": op5_ngram_join,
 }
