@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import mixing, ngram_join, packing
+from salesflow.llm import language_id, mixing, ngram_join, packing
 
 
 def reachable(spark: SparkSession) -> None:
@@ -31,6 +31,23 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def crc(id: str = "doc_id") -> Column:
+    return F.crc32(F.col(id).cast("string").cast("binary"))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc() % 3 == 1, F.lit(False))
+    model = language_id.fit(docs.where(crc() % 3 != 1))
+    answer = language_id.predict(spark, model, F.col("text"))
+    return docs.select("doc_id", held_out.alias("held_out"), answer.alias("answer")).select(
+        "doc_id",
+        "held_out",
+        F.col("answer.lang").alias("lang_pred"),
+        F.col("answer.score").alias("score"),
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return mixing.mixed(docs, keep=("doc_id",)).select(
@@ -52,6 +69,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
