@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import language_id, mixing, ngram_join, packing
+from salesflow.llm import language_id, lattice, mixing, ngram_join, packing
 
 
 def reachable(spark: SparkSession) -> None:
@@ -68,9 +68,14 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
+    "op10_lattice_dedup": op10_lattice_dedup,
 }
