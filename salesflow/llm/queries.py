@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import language_id, lattice, mixing, ngram_join, packing
+from salesflow.llm import fingerprints, language_id, lattice, mixing, ngram_join, packing
 
 
 def reachable(spark: SparkSession) -> None:
@@ -59,6 +59,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"), end_id=1)
@@ -75,6 +79,7 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
+    "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
     "op10_lattice_dedup": op10_lattice_dedup,
