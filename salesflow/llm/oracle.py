@@ -41,4 +41,16 @@ FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source AND c.seed = b.seed
 """
 
 
-ORACLE = {"op2_mix_sources": _mix()}
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+  CASE WHEN p.page_id IS DISTINCT FROM f.first_id AND f.first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id IS DISTINCT FROM f.first_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+"""
+
+
+ORACLE = {"op2_mix_sources": _mix(), "op6_warc": WARC}

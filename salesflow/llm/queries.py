@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import fingerprints, language_id, lattice, mixing, ngram_join, packing
+from salesflow.llm import bit_packing, fingerprints, language_id, lattice, mixing, ngram_join, packing, warc
 
 
 def reachable(spark: SparkSession) -> None:
@@ -72,6 +72,16 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).drop("url")
+
+
+def op9_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = bit_packing.round_trip(docs, tokenizer("word_bpe_49k.json"), vocabulary=49_408, end_id=2)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -82,5 +92,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
+    "op6_warc": op6_warc,
+    "op9_bit_packing": op9_bit_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
 }
