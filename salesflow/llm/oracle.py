@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from salesflow.llm.mixing import MOST, SEEDS, TOTAL, WEIGHTS
+from salesflow.llm.queries import URL_RULES
+from salesflow.llm.url_filters import DAMPING, LINK, ROUNDS, THRESHOLD
 
 
 def _mix() -> str:
@@ -53,4 +55,51 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 """
 
 
-ORACLE = {"op2_mix_sources": _mix(), "op6_warc": WARC}
+def _urls() -> str:
+    """The same rounds, one after the other; both directions at once."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    cases = []
+    for rule in sorted(URL_RULES, key=len, reverse=True):
+        host, slash, start = rule.partition("/")
+        cases.append(
+            f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash + start}') THEN '{rule}'"
+        )
+    verdicts = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in URL_RULES.items())
+    link = LINK.replace("'", "''")
+    steps = ["r0 AS (SELECT host, kind, 1.0::DOUBLE AS rank FROM seeds)"]
+    for k in range(1, ROUNDS + 1):
+        steps.append(f"""
+i{k} AS MATERIALIZED (SELECT e.target AS host, e.kind, sum(e.share * r.rank) AS inward
+  FROM shares e JOIN r{k - 1} r ON e.host = r.host AND e.kind = r.kind GROUP BY ALL),
+b{k} AS (SELECT m.kind, {1 - DAMPING} + {DAMPING} * (m.mass - coalesce(sum(i.inward), 0)) / m.mass AS back
+  FROM (SELECT kind, count(*) AS mass FROM seeds GROUP BY kind) m LEFT JOIN i{k} i ON i.kind = m.kind GROUP BY m.kind, m.mass),
+r{k} AS MATERIALIZED (SELECT coalesce(s.host, i.host) AS host, coalesce(s.kind, i.kind) AS kind,
+    CASE WHEN s.host IS NULL THEN 0 ELSE b.back END + {DAMPING} * coalesce(i.inward, 0) AS rank
+  FROM seeds s FULL JOIN i{k} i ON s.host = i.host AND s.kind = i.kind LEFT JOIN b{k} b ON b.kind = s.kind)""")
+    return f"""
+WITH parts AS (
+  SELECT page_id, html,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{upper}', '{lower}') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (SELECT *, CASE {" ".join(cases)} END AS rule FROM parts),
+judged AS (SELECT *, CASE rule {verdicts} END AS ruling FROM ruled),
+counts AS (SELECT host, count(*) AS n, count(*) FILTER (ruling = 'allow') AS allowed,
+    count(*) FILTER (ruling = 'block') AS blocked FROM judged WHERE host <> '' GROUP BY host),
+seeds AS MATERIALIZED (SELECT host, CASE WHEN 2 * allowed > n THEN 'trust' ELSE 'distrust' END AS kind
+  FROM counts WHERE 2 * allowed > n OR 2 * blocked > n),
+found AS (SELECT host AS source, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{upper}', '{lower}') AS target FROM judged),
+edges AS (SELECT source, target, count(*) AS n FROM found WHERE source <> '' AND source <> target GROUP BY ALL),
+both_ways AS (SELECT source AS host, target, n, 'trust' AS kind FROM edges
+  UNION ALL SELECT target, source, n, 'distrust' FROM edges),
+shares AS MATERIALIZED (SELECT host, target, kind, n / sum(n) OVER (PARTITION BY host, kind) AS share FROM both_ways),
+{",".join(steps)},
+scores AS (SELECT host, coalesce(sum(rank) FILTER (kind = 'trust'), 0) AS trust,
+    coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS distrust FROM r{ROUNDS} GROUP BY host)
+SELECT page_id, j.host, path, rule,
+  coalesce(ruling, CASE WHEN s.distrust > {THRESHOLD} * (s.trust + s.distrust) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN scores s ON j.host = s.host
+"""
+
+
+ORACLE = {"op8_url_filters": _urls(), "op2_mix_sources": _mix(), "op6_warc": WARC}

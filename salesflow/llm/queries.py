@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import bit_packing, fingerprints, language_id, lattice, mixing, ngram_join, packing, warc
+from salesflow.llm import bit_packing, fingerprints, language_id, lattice, mixing, ngram_join, packing, url_filters, warc
 
 
 def reachable(spark: SparkSession) -> None:
@@ -76,6 +76,19 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages")).drop("url")
 
 
+# The rules of the query.
+URL_RULES = {
+    "net/": "block",
+    "example.net/en/": "allow",
+    "example.com/de/": "block",
+    "org/fr/": "allow",
+}
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(read(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
+
+
 def op9_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = bit_packing.round_trip(docs, tokenizer("word_bpe_49k.json"), vocabulary=49_408, end_id=2)
@@ -93,6 +106,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
     "op6_warc": op6_warc,
+    "op8_url_filters": op8_url_filters,
     "op9_bit_packing": op9_bit_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
 }
