@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import bit_packing, fingerprints, language_id, lattice, mixing, ngram_join, packing, url_filters, warc
+from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, url_filters, warc
 
 
 def reachable(spark: SparkSession) -> None:
@@ -76,6 +76,19 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages")).drop("url")
 
 
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    number = F.coalesce(crc() % 5, F.lit(0))
+    # The other four remainders take turns in the rounds of training.
+    scored = log_bilinear.score(
+        docs.withColumn("remainder", number).select("doc_id", "text", "remainder"),
+        training=F.col("doc_id").isNotNull() & (F.col("remainder") != 1),
+        part=F.when(F.col("remainder").isin(0, 2), 0).otherwise(1),
+    )
+    held_out = F.coalesce(crc() % 5 == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 # The rules of the query.
 URL_RULES = {
     "net/": "block",
@@ -106,6 +119,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
     "op6_warc": op6_warc,
+    "op7_log_bilinear": op7_log_bilinear,
     "op8_url_filters": op8_url_filters,
     "op9_bit_packing": op9_bit_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
