@@ -116,7 +116,7 @@ class Machines:
         for a, b in self.pairs:
             of = np.flatnonzero((labels == self.names[a]) | (labels == self.names[b]))
             rows.append(svm(x[of], np.where(labels[of] == self.names[a], 1.0, -1.0)))
-        self.weights = np.array(rows, np.float32).reshape(len(rows), -1)
+        self.weights = np.array(rows, np.float32).reshape(len(rows), x.shape[1] + 1)
 
     def decide(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of the winner, its smallest margin against another class) per row."""
