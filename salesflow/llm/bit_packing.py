@@ -29,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesflow.llm.bpe import encoder
+from salesflow.llm.bpe import encoder, word_table
 from salesflow.session import cut, scratch_path
 
 BLOCK_IDS = 1 << 16
 DOCS_PER_FILE = 20_000
+TEXTS_AT_ONCE = 2048
 MAGIC = b"TOKBITS1"
 _DIGITS = 12
 BROADCAST_FILES = 100_000
@@ -144,30 +145,40 @@ def write(
     text: str = "text",
     docs_per_file: int = DOCS_PER_FILE,
     block_ids: int = BLOCK_IDS,
+    drops_space: bool = False,
 ) -> None:
-    """Encode all texts, each followed by the end id, into an archive at ``path``."""
+    """Encode all texts, each followed by the end id, into an archive at ``path``.
+
+    ``drops_space`` says that the tokenizer splits at all white space and keeps none of it.
+    """
     bits = width_of(vocabulary)
     rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     files = max(-(-df.count() // docs_per_file), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = [F.col("id").asc_nulls_last(), F.col("text").asc_nulls_first()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(tokenizer)
         end = np.array([end_id], np.uint32)
 
+        def encoded(part: pa.RecordBatch) -> Iterator[np.ndarray]:
+            if drops_space:
+                ids, bounds = word_table(tokenizer).encode(part.column(1))
+                yield from (ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+            else:
+                yield from encoder(tokenizer).encode([t or "" for t in part.column(1).to_pylist()])
+
         def documents():
             for batch in batches:
-                for lo in range(0, len(batch), 512):
-                    part = batch.slice(lo, 512)
-                    texts = [t or "" for t in part.column(1).to_pylist()]
-                    for key, ids in zip(part.column(0).to_pylist(), known.encode(texts), strict=True):
+                for lo in range(0, len(batch), TEXTS_AT_ONCE):
+                    part = batch.slice(lo, TEXTS_AT_ONCE)
+                    for key, ids in zip(part.column(0).to_pylist(), encoded(part), strict=True):
                         yield key, np.concatenate([ids, end])
 
         for piece in _pieces(documents(), bits, block_ids):
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.binary())], ["piece"])
 
     (
-        rows.repartitionByRange(files, *order)
+        # Ranges by id alone: the rows that Spark samples for them then hold no texts.
+        rows.repartitionByRange(files, F.col("id").asc_nulls_last())
         .sortWithinPartitions(*order)
         .mapInArrow(run, "piece binary")
         # The bytes as they are: this cast checks and changes nothing.

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import re
 from itertools import compress, islice, repeat
 from operator import is_
 
 import numpy as np
+import pyarrow as pa
+
+from salesflow.llm.words import Lookup, buffers, spelled
 
 #: Words a Python worker remembers at most; others are encoded anew each time.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 250_000
+#: The same for tables of hashes, which take less memory.
+REMEMBERED_HASHES = 3_000_000
+WORDS_AT_ONCE = 1000
 #: Characters of unseen words encoded at once.
 ENCODE_CHARS = 1 << 20
 
 #: White space at the ends of a word, runs of it, and other kinds than the newline.
 _ODD = re.compile(r"^\s|\s$|\s\s|[^\S\n]")
 _encoders: dict = {}
+_tables: dict = {}
 
 
 class Encoder:
@@ -96,8 +104,99 @@ class Encoder:
         return out
 
 
+class WordTable:
+    """Encodes batches of texts by a tokenizer that drops white space, word by word.
+
+    Words are told apart by 64-bit hashes of their bytes and looked up in arrays; only
+    words not met before are encoded. The same ids as for whole texts, for tokenizers that
+    split at every run of white space and keep nothing of it.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Which ids end a word; none if the tokenizer does not mark them.
+        self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ending[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.lookup = Lookup(np.zeros(0, np.uint64))
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in order, number of ids of each)."""
+        plain = [w.isalpha() for w in words]
+        lengths = np.zeros(len(words), np.int64)
+        parts: list[np.ndarray | None] = [None] * len(words)
+        alone = [k for k, p in enumerate(plain) if not p]
+        letters = [k for k, p in enumerate(plain) if p]
+        groups = [letters[lo : lo + WORDS_AT_ONCE] for lo in range(0, len(letters), WORDS_AT_ONCE)]
+        joined = self.tokenizer.encode_batch_fast(
+            [" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False
+        )
+        for group, encoding in zip(groups, joined, strict=True):
+            ids = np.array(encoding.ids, np.uint32)
+            ends = np.flatnonzero(self.ending[ids]) + 1
+            # A word of letters ends once, unless lower-casing or the like splits it.
+            if len(ends) == len(group) and (not len(ids) or ends[-1] == len(ids)):
+                for k, piece in zip(group, np.split(ids, ends[:-1]), strict=True):
+                    parts[k] = piece
+            else:
+                alone.extend(group)
+        for k, encoding in zip(
+            alone,
+            self.tokenizer.encode_batch_fast([words[k] for k in alone], add_special_tokens=False),
+            strict=True,
+        ):
+            parts[k] = np.array(encoding.ids, np.uint32)
+        lengths[:] = [len(p) for p in parts]
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), lengths
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a batch's texts in order, and each text's bounds in them."""
+        data, bounds = buffers(column)
+        hashes, first, sizes, ends = spelled(data, bounds)
+        at = self.lookup.find(hashes)
+        missing = np.flatnonzero(at < 0)
+        starts, lengths, pool = self.starts, self.lengths, self.pool
+        if len(missing):
+            new, one, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            places = missing[one]
+            words = [
+                data[a : a + n].tobytes().decode("utf-8", "replace")
+                for a, n in zip(first[places].tolist(), sizes[places].tolist(), strict=True)
+            ]
+            ids, counts = self._learn(words)
+            at[missing] = len(starts) + back
+            starts = np.concatenate([starts, len(pool) + np.cumsum(counts) - counts])
+            lengths = np.concatenate([lengths, counts])
+            pool = np.concatenate([pool, ids])
+            if len(starts) <= REMEMBERED_HASHES:
+                old = self.lookup.hashes
+                where = np.searchsorted(old, new)
+                order = np.insert(np.arange(len(old)), where, len(old) + np.arange(len(new)))
+                self.lookup = Lookup(np.insert(old, where, new))
+                self.starts, self.lengths, self.pool = starts[order], lengths[order], pool
+        counts = lengths[at]
+        stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+        take = np.repeat(starts[at] - stops[:-1], counts) + np.arange(stops[-1])
+        return pool[take], stops[ends]
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def word_table(path: str) -> WordTable:
+    """One table per worker and file."""
+    if path not in _tables:
+        _tables[path] = WordTable(path)
+    return _tables[path]

@@ -104,7 +104,9 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = bit_packing.round_trip(docs, tokenizer("word_bpe_49k.json"), vocabulary=49_408, end_id=2)
+    found = bit_packing.round_trip(
+        docs, tokenizer("word_bpe_49k.json"), vocabulary=49_408, end_id=2, drops_space=True
+    )
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
