@@ -34,7 +34,7 @@ from salesflow.session import cut, scratch_path
 
 BLOCK_IDS = 1 << 16
 DOCS_PER_FILE = 20_000
-TEXTS_AT_ONCE = 2048
+TEXTS_AT_ONCE = 512
 MAGIC = b"TOKBITS1"
 _DIGITS = 12
 BROADCAST_FILES = 100_000

@@ -104,6 +104,27 @@ class Encoder:
         return out
 
 
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.size = np.zeros(1024, kind), 0
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[: self.size]
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros(size - len(self.held) + size // 2, self.held.dtype)])
+        self.held[self.size : size] = values
+        self.size = size
+
+    def cut(self, size: int) -> None:
+        self.size = size
+
+
 class WordTable:
     """Encodes batches of texts by a tokenizer that drops white space, word by word.
 
@@ -124,9 +145,12 @@ class WordTable:
         self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ending[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.lookup = Lookup(np.zeros(0, np.uint64))
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        #: Known hashes, in a large and a small table, each with the words' numbers.
+        self.tables = [Lookup(np.zeros(0, np.uint64)), Lookup(np.zeros(0, np.uint64))]
+        self.numbers = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        #: By number: where a word's ids start and how many they are.
+        self.starts, self.lengths = Growing(np.int64), Growing(np.int32)
+        self.pool = Growing(np.uint16 if len(self.ending) <= 1 << 16 else np.uint32)
 
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in order, number of ids of each)."""
@@ -161,31 +185,47 @@ class WordTable:
         """The ids of a batch's texts in order, and each text's bounds in them."""
         data, bounds = buffers(column)
         hashes, first, sizes, ends = spelled(data, bounds)
-        at = self.lookup.find(hashes)
-        missing = np.flatnonzero(at < 0)
-        starts, lengths, pool = self.starts, self.lengths, self.pool
-        if len(missing):
-            new, one, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            places = missing[one]
+        at = np.full(len(hashes), -1, np.int64)
+        left = np.arange(len(hashes))
+        for table, numbers in zip(self.tables, self.numbers, strict=True):
+            found = table.find(hashes[left])
+            hit = found >= 0
+            at[left[hit]] = numbers[found[hit]]
+            left = left[~hit]
+        known = len(self.starts.all), len(self.pool.all)
+        if len(left):
+            new, one, back = np.unique(hashes[left], return_index=True, return_inverse=True)
+            places = left[one]
             words = [
                 data[a : a + n].tobytes().decode("utf-8", "replace")
                 for a, n in zip(first[places].tolist(), sizes[places].tolist(), strict=True)
             ]
             ids, counts = self._learn(words)
-            at[missing] = len(starts) + back
-            starts = np.concatenate([starts, len(pool) + np.cumsum(counts) - counts])
-            lengths = np.concatenate([lengths, counts])
-            pool = np.concatenate([pool, ids])
-            if len(starts) <= REMEMBERED_HASHES:
-                old = self.lookup.hashes
-                where = np.searchsorted(old, new)
-                order = np.insert(np.arange(len(old)), where, len(old) + np.arange(len(new)))
-                self.lookup = Lookup(np.insert(old, where, new))
-                self.starts, self.lengths, self.pool = starts[order], lengths[order], pool
-        counts = lengths[at]
-        stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
-        take = np.repeat(starts[at] - stops[:-1], counts) + np.arange(stops[-1])
-        return pool[take], stops[ends]
+            at[left] = known[0] + back
+            self.starts.add(known[1] + np.cumsum(counts) - counts)
+            self.lengths.add(counts)
+            self.pool.add(ids)
+            if known[0] + len(new) <= REMEMBERED_HASHES:
+                self._insert(1, new, known[0] + np.arange(len(new), dtype=np.int32))
+                if len(self.numbers[1]) > max(1 << 16, len(self.numbers[0]) // 8):
+                    self._insert(0, self.tables[1].hashes, self.numbers[1])
+                    self.tables[1], self.numbers[1] = Lookup(new[:0]), self.numbers[1][:0]
+        counts = self.lengths.all[at]
+        stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)])
+        take = np.repeat(self.starts.all[at] - stops[:-1], counts) + np.arange(stops[-1])
+        out = self.pool.all[take]
+        if len(self.starts.all) > REMEMBERED_HASHES:
+            # What did not fit is forgotten again.
+            self.starts.cut(known[0])
+            self.lengths.cut(known[0])
+            self.pool.cut(known[1])
+        return out, stops[ends]
+
+    def _insert(self, k: int, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        old = self.tables[k].hashes
+        where = np.searchsorted(old, hashes)
+        self.tables[k] = Lookup(np.insert(old, where, hashes))
+        self.numbers[k] = np.insert(self.numbers[k], where, numbers)
 
 
 def encoder(path: str) -> Encoder:
