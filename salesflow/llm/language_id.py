@@ -122,7 +122,7 @@ class Machines:
         """(index of the winner, its smallest margin against another class) per row."""
         if not self.pairs:
             return np.zeros(len(x), int), np.full(len(x), np.inf)
-        margins = x @ self.weights[:, :-1].T + self.weights[:, -1]
+        margins = x.astype(np.float64) @ self.weights[:, :-1].T + self.weights[:, -1]
         votes = np.zeros((len(x), len(self.names)))
         least = np.full_like(votes, np.inf)
         for k, (a, b) in enumerate(self.pairs):
@@ -151,7 +151,8 @@ class Model:
             best, inner = machines.decide(x[rows])
             out[rows] = np.array(machines.names, object)[best]
             margin[rows] = np.minimum(margin[rows], inner)
-        return out.tolist(), 1 / (1 + np.exp(-SLOPE * margin))
+        # Rounded, so that equal texts agree wherever they stand in a batch.
+        return out.tolist(), np.round(1 / (1 + np.exp(-SLOPE * margin)), 5)
 
 
 def fit(
