@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +136,18 @@ def _pieces(documents: Iterator[tuple], bits: int, block_ids: int) -> Iterator[b
         yield f"{len(body):0{_DIGITS}d}".encode() + MAGIC
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send fewer rows at once to Python while a job runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write(
     df: DataFrame,
     path: str,
@@ -176,16 +189,12 @@ def write(
         for piece in _pieces(documents(), bits, block_ids):
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.binary())], ["piece"])
 
-    (
-        # Ranges by id alone: the rows that Spark samples for them then hold no texts.
-        rows.repartitionByRange(files, F.col("id").asc_nulls_last())
-        .sortWithinPartitions(*order)
-        .mapInArrow(run, "piece binary")
-        # The bytes as they are: this cast checks and changes nothing.
-        .select(F.col("piece").cast("string").alias("value"))
-        .write.option("lineSep", "\n")
-        .text(path)
-    )
+    # Ranges by id alone: the rows that Spark samples for them then hold no texts.
+    ordered = rows.repartitionByRange(files, F.col("id").asc_nulls_last()).sortWithinPartitions(*order)
+    # The bytes as they are: this cast checks and changes nothing.
+    pieces = ordered.mapInArrow(run, "piece binary").select(F.col("piece").cast("string").alias("value"))
+    with small_batches(df.sparkSession, TEXTS_AT_ONCE):
+        pieces.write.option("lineSep", "\n").text(path)
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:

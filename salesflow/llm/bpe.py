@@ -200,7 +200,9 @@ class WordTable:
                 data[a : a + n].tobytes().decode("utf-8", "replace")
                 for a, n in zip(first[places].tolist(), sizes[places].tolist(), strict=True)
             ]
+            del hashes, first, sizes, places, one
             ids, counts = self._learn(words)
+            del words
             at[left] = known[0] + back
             self.starts.add(known[1] + np.cumsum(counts) - counts)
             self.lengths.add(counts)

@@ -107,7 +107,7 @@ class Lookup:
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = np.sort(hashes.astype(np.uint64))
-        bits = max(8, int(2 * max(len(hashes), 1)).bit_length())
+        bits = max(8, int(len(hashes)).bit_length())
         self.shift = np.uint64(64 - bits)
         # Sorted hashes with the same high bits are neighbours: a slot names the first.
         slots = np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << bits)
