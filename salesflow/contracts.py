@@ -17,6 +17,8 @@ PROMOTION_FLAGS = (
 )
 STORE_TYPES = ("A", "B", "C")
 PROMOTION_START = "2011-11-01"
+# Columns of money and their decimals.
+MONEY = {"Weekly_Sales": 4}
 
 
 @dataclass(frozen=True)

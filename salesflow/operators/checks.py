@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesflow.contracts import Contract, Field
 from salesflow.functions.dates import parse_date
+from salesflow.operators.cleaning import whole_number
 
 RULES = ("required", "null", "type", "enum")
 VIOLATIONS = "violations"
@@ -23,14 +24,10 @@ def _fits(name: str, have: str, want: str) -> Column:
     """Whether a value can be read as the wanted type without losing part of it."""
     if have == want:
         return F.lit(True)
-    col = F.col(name)
-    if have == "string":
-        text = F.trim(col)
-        return (parse_date(text) if want == "date" else text.try_cast(want)).isNotNull()
-    cast = col.try_cast(want)
+    col = F.trim(name) if have == "string" else F.col(name)
     if want in ("int", "bigint"):
-        return cast.isNotNull() & (cast == col)
-    return cast.isNotNull()
+        return whole_number(col, want).isNotNull()
+    return (parse_date(col) if want == "date" else col.try_cast(want)).isNotNull()
 
 
 def _broken(field: Field, types: dict[str, str], rules: Sequence[str]) -> list[Column]:

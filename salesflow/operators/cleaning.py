@@ -106,6 +106,12 @@ def coerce(
     return df.select(*out, *keep)
 
 
+def whole_number(col: Column, want: str = "int") -> Column:
+    """A number or its text as ``int`` or ``bigint``: ``45.0`` is 45, ``45.5`` and others are null."""
+    exact = col.try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast(want))
+
+
 def _typed(col: Column, have: str, want: str) -> Column:
     if have == "string":
         col = F.trim(col)
@@ -113,9 +119,12 @@ def _typed(col: Column, have: str, want: str) -> Column:
             return parse_date(col)
         if want == "string":
             return F.nullif(col, F.lit(""))
-        value = col.try_cast(want)
+    if have == want:
+        value = col
+    elif want in ("int", "bigint"):
+        value = whole_number(col, want)
     else:
-        value = col if have == want else col.try_cast(want)
+        value = col.try_cast(want)
     if want in ("double", "float"):
         return F.when(~F.isnan(value), value)
     return value

@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.evaluate import class_edges, evaluation_row
+from salesflow.operators.evaluate import class_edges, evaluation_row, regression_metrics
 from salesflow.operators.split import SEED
 from salesflow.session import cut, shared_folder
 
@@ -40,57 +41,44 @@ REPORT_FEATURES = (
     "hasMarkDown5",
 )
 
+# Thresholds per feature of the compared trees; numbers of stores and departments lie below.
+BINS = 256
+
 # The learners' settings.
 RIDGE_ALPHA = 1.0
 SMALL_FOREST = {"numTrees": 20, "maxDepth": 6}
 FOREST = {
     "numTrees": 100,
     "maxDepth": 20,
+    "maxBins": BINS,
     "minInstancesPerNode": 2,
     "featureSubsetStrategy": "all",
 }
-BOOSTED = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1}
+BOOSTED = {"maxIter": 100, "maxDepth": 6, "maxBins": BINS, "stepSize": 0.1}
 SAMPLED_BOOSTED = {
     "maxIter": 200,
     "maxDepth": 8,
+    "maxBins": BINS,
     "stepSize": 0.1,
     "subsamplingRate": 0.8,
     "featureSubsetStrategy": "0.8",
 }
 
-# Part of a task's heap that the split statistics of one pass over the rows may use.
-_TREE_SHARE = 0.2
-_TREE_LIMITS_MB = (16, 2048)
+# Split statistics of one pass over the rows, per task. Fixed, because it sets the order in
+# which nodes draw their features: the same model on any cluster.
+TREE_MEMORY_MB = 128
 # Boosting chains one tree to the next; a checkpoint every few trees keeps the
 # chain short enough to rebuild when an executor is lost.
 _CHECKPOINT_EVERY = 10
 
-# A partition smaller than this is not worth a task of its own.
+# Training rows per partition, and the most partitions: by the rows alone, so that bagging
+# draws the same rows on any cluster.
 _ROWS_PER_PARTITION = 5_000
+_MOST_PARTITIONS = 4_096
 
 Learner = Callable[[DataFrame], Estimator]
 
 
-def _megabytes(size: str) -> float:
-    """A size setting such as ``4g``; a bare number is in megabytes."""
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    text = size.strip().lower().removesuffix("b")
-    return float(text[:-1]) * units[text[-1]] if text[-1] in units else float(text)
-
-
-def tree_memory_mb(df: DataFrame) -> int:
-    """Memory per task for split statistics: more of it means fewer passes per tree level."""
-    context = df.sparkSession.sparkContext
-    conf = context.getConf()
-    if context.master.startswith("local"):
-        heap, tasks = conf.get("spark.driver.memory", "1g"), context.defaultParallelism
-    else:
-        heap, tasks = conf.get("spark.executor.memory", "1g"), 1
-        tasks = int(conf.get("spark.executor.cores", "1"))
-    low, high = _TREE_LIMITS_MB
-    return int(min(high, max(low, _megabytes(heap) * _TREE_SHARE / tasks)))
-
-
 def linear() -> Learner:
     return lambda train: LinearRegression(featuresCol=VECTOR, labelCol=TARGET)
 
@@ -122,7 +110,7 @@ def forest(**settings) -> Learner:
         featuresCol=VECTOR,
         labelCol=TARGET,
         seed=SEED,
-        maxMemoryInMB=tree_memory_mb(train),
+        maxMemoryInMB=TREE_MEMORY_MB,
         # Deep trees: remember each row's node instead of walking down again per pass.
         cacheNodeIds=True,
         checkpointInterval=_CHECKPOINT_EVERY,
@@ -135,7 +123,7 @@ def boosted(**settings) -> Learner:
         featuresCol=VECTOR,
         labelCol=TARGET,
         seed=SEED,
-        maxMemoryInMB=tree_memory_mb(train),
+        maxMemoryInMB=TREE_MEMORY_MB,
         checkpointInterval=_CHECKPOINT_EVERY,
         **(settings or BOOSTED),
     )
@@ -165,23 +153,34 @@ def assemble(
     return assembler.transform(doubles).select(*keep, VECTOR)
 
 
+def arranged(train: DataFrame) -> DataFrame:
+    """Assembled rows in partitions and an order that follow from the rows alone.
+
+    MLlib seeds bagging per partition and draws in row order, so this makes a fitted model
+    the same on any number of cores.
+    """
+    place = F.xxhash64(vector_to_array(VECTOR), TARGET)
+    parts = max(1, min(_MOST_PARTITIONS, -(-train.count() // _ROWS_PER_PARTITION)))
+    return (
+        train.withColumn("_place", place)
+        .repartition(parts, "_place")
+        .sortWithinPartitions("_place", TARGET)
+        .drop("_place")
+    )
+
+
 def fit(learner: Learner, train: DataFrame) -> Model:
-    """Fit on kept rows, in as few partitions as keep the cluster busy.
+    """Fit on kept rows, arranged so that the model does not depend on the cluster.
 
-    Every partition sends the split statistics of every tree node, so with deep
-    trees it is the number of partitions, not of rows, that fills the shuffle.
+    Every partition sends the split statistics of every tree node, so with deep trees it is
+    the number of partitions, not of rows, that fills the shuffle.
     """
     shared_folder(train.sparkSession)
-    kept = train.is_cached
-    rows = train if kept else train.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = arranged(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        needed = -(-rows.count() // _ROWS_PER_PARTITION)
-        slots = rows.sparkSession.sparkContext.defaultParallelism
-        compact = rows.coalesce(max(1, min(needed, slots)))
-        return learner(compact).fit(compact)
+        return learner(rows).fit(rows)
     finally:
-        if not kept:
-            rows.unpersist()
+        rows.unpersist()
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

@@ -1,33 +1,64 @@
 """Upsert and merge of a batch into a keyed table.
 
 Both sides are keyed: the target by contract, the batch after it has been
-reduced to its last record per key. No key is hot in the join, however many
+reduced to its last record per key. A row without a key ends the job: it could never match. No key is hot in the join, however many
 copies the batch brings, because the reduction combines them before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def last_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last record of each key by ``order``, taken whole, nulls included."""
-    values = [c for c in batch.columns if c not in key and c not in order]
-    newest = F.max_by(F.struct(*values), F.struct(*order))
-    return batch.groupBy(*key).agg(newest.alias("_new"))
+def keyed(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows as they are; reading one with a null in its key fails."""
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    refuse = F.raise_error(F.lit(f"a row without a key in {', '.join(key)}"))
+    return df.withColumn(key[0], F.when(complete, F.col(key[0])).otherwise(refuse))
+
+
+def last_per_key(
+    batch: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str] = (),
+    keep_on_null: Sequence[str] = (),
+) -> DataFrame:
+    """The last record of each key by ``order``, taken whole, nulls included.
+
+    A null in a ``keep_on_null`` column leaves what an earlier record says. Without an order
+    the records' own values decide.
+    """
+    names = [c for c in batch.columns if c not in key and c not in order]
+    newest = F.max_by(F.struct(*names), F.struct(*order)) if order else F.max(F.struct(*names))
+    place = F.struct(*order) if order else F.struct(*names)
+    kept = {
+        c: F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_kept_{c}")
+        for c in keep_on_null
+        if c in names
+    }
+    last = keyed(batch, key).groupBy(*key).agg(newest.alias("_new"), *kept.values())
+    if not kept:
+        return last
+    values = [F.col(f"_kept_{c}" if c in kept else f"_new.{c}").alias(c) for c in names]
+    return last.select(*key, F.struct(*values).alias("_new"))
 
 
 def _pair(
-    target: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]
+    target: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    keep_on_null: Sequence[str] = (),
 ) -> tuple[DataFrame, list[str], list[str]]:
     """Target and batch side by side per key, each packed into one struct."""
-    new = last_per_key(batch, key, order)
+    new = last_per_key(batch, key, order, keep_on_null)
     incoming = new.schema["_new"].dataType.names
     kept = [c for c in target.columns if c not in key]
-    old = target.select(*key, F.struct(*kept).alias("_old"))
+    old = keyed(target, key).select(*key, F.struct(*kept).alias("_old"))
     return old.join(new, list(key), "full"), kept, incoming
 
 
@@ -43,7 +74,7 @@ def upsert(
     Columns the batch lacks keep their value. A null in the batch is a value to
     set, except in ``keep_on_null`` columns.
     """
-    paired, kept, incoming = _pair(target, batch, key, order)
+    paired, kept, incoming = _pair(target, batch, key, order, keep_on_null)
     arrived = F.col("_new").isNotNull()
 
     def value(name: str) -> Column:
@@ -60,14 +91,21 @@ def upsert(
 
 
 def upsert_counts(
-    target: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]
+    target: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    keep_on_null: Sequence[str] = (),
 ) -> DataFrame:
     """How many keys an upsert inserts and how many it really changes; one row."""
-    paired, kept, incoming = _pair(target, batch, key, order)
+    paired, kept, incoming = _pair(target, batch, key, order, keep_on_null)
     shared = [c for c in kept if c in incoming]
     changed = F.lit(False)
     for c in shared:
-        changed = changed | ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+        differs = ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+        if c in keep_on_null:
+            differs = differs & F.col(f"_new.{c}").isNotNull()
+        changed = changed | differs
     for c in incoming:
         if c not in kept:
             changed = changed | F.col(f"_new.{c}").isNotNull()
@@ -78,7 +116,13 @@ def upsert_counts(
     )
 
 
-def replace_by_key(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Matching rows replaced whole by the batch's, the other batch rows inserted."""
-    untouched = target.join(batch.select(*key), list(key), "left_anti")
-    return untouched.unionByName(batch, allowMissingColumns=True)
+def replace_by_key(
+    target: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Matching rows replaced whole by the batch's, the other batch rows inserted.
+
+    Of several batch rows with one key the last by ``order`` counts.
+    """
+    new = last_per_key(batch, key, order).select(*key, "_new.*")
+    untouched = keyed(target, key).join(new.select(*key), list(key), "left_anti")
+    return untouched.unionByName(new, allowMissingColumns=True)

@@ -156,9 +156,17 @@ def _exact_mean(value: str = TARGET, over: str = "") -> str:
     return f"{total} / nullif(count({value}) {over}, 0)"
 
 
+def _plain_sum(value: str = TARGET) -> str:
+    return f"round(sum({value}), 4)"
+
+
+def _plain_mean(value: str = TARGET) -> str:
+    return f"round(avg({value}), 4)"
+
+
 def _report(by: str, source: str) -> str:
-    return f"""SELECT {by}, count(*) AS record_count, {_exact_sum()} AS Total_Sales,
-        {_exact_mean()} AS Avg_Sales FROM {source} GROUP BY ALL"""
+    return f"""SELECT {by}, count(*) AS record_count, {_plain_sum()} AS Total_Sales,
+        {_plain_mean()} AS Avg_Sales FROM {source} GROUP BY ALL"""
 
 
 ORACLE: dict[str, str] = {}
@@ -249,21 +257,21 @@ ORACLE["prepare_scoring"] = sql(
 
 # Reports
 ORACLE["report_markdown"] = sql(_report("hasMarkDown1", "joined"))
-ORACLE["report_markdown_sql"] = sql(
-    f"""SELECT hasMarkDown1, count(*) AS record_count, {_exact_sum()} AS Total_Sales
-    FROM joined GROUP BY ALL"""
-)
+ORACLE["report_markdown_sql"] = ORACLE["report_markdown"]
 ORACLE["report_store_dept"] = sql(
-    f"SELECT Store, Dept, {_exact_mean()} AS Avg_Weekly_Sales FROM joined GROUP BY ALL"
+    f"SELECT Store, Dept, {_plain_mean()} AS Avg_Weekly_Sales FROM joined GROUP BY ALL"
 )
 ORACLE["report_type_holiday"] = sql(_report("Type, IsHoliday", "joined"))
-ORACLE["trend_weekly"] = sql(f"SELECT Date, {_exact_sum()} AS Total_Sales FROM wide GROUP BY ALL")
+ORACLE["report_type_holiday_sql"] = ORACLE["report_type_holiday"]
+ORACLE["report_run_job"] = ORACLE["report_type_holiday"]
+ORACLE["report_run_merged"] = sql("SELECT * FROM joined")
+ORACLE["trend_weekly"] = sql(f"SELECT Date, {_plain_sum()} AS Total_Sales FROM wide GROUP BY ALL")
 ORACLE["trend_monthly"] = sql(
-    f"SELECT Year, Month, {_exact_sum()} AS Total_Sales FROM wide GROUP BY ALL"
+    f"SELECT Year, Month, {_plain_sum()} AS Total_Sales FROM wide GROUP BY ALL"
 )
-ORACLE["report_type"] = sql(f"SELECT Type, {_exact_mean()} AS avg_sales FROM wide GROUP BY ALL")
+ORACLE["report_type"] = sql(f"SELECT Type, {_plain_mean()} AS avg_sales FROM wide GROUP BY ALL")
 ORACLE["report_holiday"] = sql(
-    f"SELECT IsHoliday, {_exact_mean()} AS avg_sales FROM wide GROUP BY ALL"
+    f"SELECT IsHoliday, {_plain_mean()} AS avg_sales FROM wide GROUP BY ALL"
 )
 _COUNTED = {
     "stores": ("stores", 3),
@@ -286,11 +294,19 @@ ORACLE["table_shapes"] = sql(
     )
 )
 ORACLE["drill_store"] = sql(
-    f"""SELECT Store, Type, Date, count(*) AS record_count, {_exact_sum()} AS Total_Sales
+    f"""SELECT Store, Type, Date, count(*) AS record_count, {_plain_sum()} AS Total_Sales
     FROM wide GROUP BY ALL"""
 )
+ORACLE["drill_one_store"] = sql(
+    f"""SELECT Store, Type, Date, count(*) AS record_count, {_plain_sum()} AS Total_Sales
+    FROM wide WHERE Store = 3 GROUP BY ALL"""
+)
+ORACLE["drill_store_dept"] = sql(
+    f"""SELECT Store, Dept, Date, count(*) AS record_count, {_plain_sum()} AS Total_Sales
+    FROM wide WHERE Store = 3 AND Dept = 1 GROUP BY ALL"""
+)
 ORACLE["drill_dept"] = sql(
-    f"""SELECT Dept, Date, count(*) AS record_count, {_exact_sum()} AS Total_Sales
+    f"""SELECT Dept, Date, count(*) AS record_count, {_plain_sum()} AS Total_Sales
     FROM wide GROUP BY ALL"""
 )
 ORACLE["top_sales"] = sql(
@@ -642,3 +658,145 @@ ORACLE["load_features_job"] = ORACLE["markdown_zeroed"]
 ORACLE["load_sales_job"] = sql("SELECT * FROM train")
 ORACLE["load_merged_job"] = sql("SELECT * FROM wide")
 ORACLE["merge_tables_job"] = sql("SELECT * FROM wide")
+ORACLE["load_test_job"] = sql("SELECT * FROM test")
+ORACLE["load_rejects"] = sql(
+    """SELECT CASE Store % 6 WHEN 0 THEN NULL WHEN 1 THEN 'x' ELSE CAST(Store AS VARCHAR) END AS Store,
+        CASE Store % 6 WHEN 2 THEN 'Z' ELSE Type END AS Type,
+        CASE Store % 6 WHEN 3 THEN NULL WHEN 4 THEN Size || '.5' WHEN 5 THEN CAST(Size AS VARCHAR)
+            ELSE Size || '.0' END AS Size,
+        CASE Store % 6 WHEN 0 THEN 'required:Store' WHEN 1 THEN 'type:Store' WHEN 2 THEN 'enum:Type'
+            WHEN 3 THEN 'required:Size' WHEN 4 THEN 'type:Size' ELSE '' END AS reasons FROM stores"""
+)
+ORACLE["load_twice_counts"] = sql(
+    """SELECT CAST(1 AS INT) AS load, count(*) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS rejected
+    FROM feats UNION ALL SELECT 2, 0, 0, 0"""
+)
+
+
+def _summary(tables: dict[str, str], merged: str) -> str:
+    counts = " UNION ALL ".join(
+        f"SELECT 'rows' AS measure, '{name}' AS name, CAST(count(*) AS DOUBLE) AS value FROM {view}"
+        for name, view in tables.items()
+    )
+    means = " UNION ALL ".join(
+        f"""SELECT 'mean sales by {by}', CAST({by} AS VARCHAR), {_plain_mean()} FROM {merged}
+        GROUP BY {by}"""
+        for by in ("Type", "IsHoliday")
+    )
+    return sql(f"{counts} UNION ALL {means}")
+
+
+ORACLE["load_summary"] = _summary(
+    {
+        "stores": "stores",
+        "features": "feats",
+        "train_sales": "train",
+        "test_sales": "test",
+        "merged_data": "train",
+    },
+    "wide",
+)
+ORACLE["load_preprocessed_summary"] = _summary(
+    {"stores": "stores", "features": "feats", "merged_data": "train"}, "wide"
+)
+ORACLE["coerce_whole_numbers"] = """
+    SELECT *, CASE WHEN l_linenumber % 5 IN (0, 3) THEN CAST(l_orderkey AS INT) END AS number
+    FROM (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 5 WHEN 0 THEN l_orderkey || '.0'
+        WHEN 1 THEN l_orderkey || '.25' WHEN 2 THEN '99999999999' || l_orderkey
+        WHEN 3 THEN ' ' || l_orderkey ELSE l_orderkey || 'x' END AS raw FROM lineitem)"""
+ORACLE["replace_duplicates"] = sql(
+    """SELECT * REPLACE (CASE WHEN IsHoliday THEN 2.0 ELSE Weekly_Sales END AS Weekly_Sales)
+    FROM train"""
+)
+ORACLE["preprocess_job"] = sql(
+    f"""SELECT train.Store, Dept, train.Date, Weekly_Sales, train.IsHoliday AS IsHoliday_x,
+        f.* EXCLUDE (Store, Date, IsHoliday), f.IsHoliday AS IsHoliday_y, Type, Size,
+        {_CALENDAR.replace("(Date)", "(train.Date)")}
+    FROM train LEFT JOIN cleaned f ON train.Store = f.Store AND train.Date = f.Date
+    LEFT JOIN stores s ON train.Store = s.Store"""
+)
+_INPUT_TABLES = {
+    "merged": ("train", 24),
+    "features": ("feats", 17),
+    "stores": ("stores", 3),
+    "test": ("test", 4),
+}
+ORACLE["tables_from_files"] = sql(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS row_count, CAST({width} AS INT) AS column_count,
+        CAST(sum(Store) AS BIGINT) AS store_sum FROM {view}"""
+        for name, (view, width) in _INPUT_TABLES.items()
+    )
+)
+ORACLE["tables_from_documents"] = ORACLE["tables_from_files"]
+ORACLE["features_target"] = sql("SELECT Store, Dept, Date, IsHoliday, Weekly_Sales FROM train")
+_ALL_ROWS = {
+    "every": "SELECT * FROM train UNION ALL BY NAME SELECT *, NULL::DOUBLE AS Weekly_Sales FROM test",
+    "every_wide": _VIEWS["wide"].replace("train", "every"),
+    "every_number": _VIEWS["numbers"].replace("EXCLUDE (Date, ", "EXCLUDE (").replace("FROM wide", "FROM every_wide"),
+}
+_CASES = " ".join(f"WHEN '{c}' THEN CAST({c} AS DOUBLE)" for c in MODEL_NUMBERS if c != TARGET)
+ORACLE["forecast_features"] = sql(
+    f"""SELECT Store, Dept, Date, feature, coalesce(CASE feature {_CASES} END, 0) AS value
+    FROM every_number, (SELECT feature FROM walk WHERE twin IS NULL AND feature IS NOT NULL)""",
+    _CORRELATIONS | _ALL_ROWS,
+    recursive=True,
+)
+_MARKED = {"marked_rows": f"SELECT *, {_HOLDOUT} AS is_test FROM engineered"}
+ORACLE["model_rf_small"] = sql(
+    "SELECT count(*) AS row_count, true AS metrics_agree FROM marked_rows WHERE is_test", _MARKED
+)
+ORACLE["predict_rows"] = sql(
+    "SELECT Store, Dept, Date, Weekly_Sales AS actual, true AS in_range FROM marked_rows WHERE is_test",
+    _MARKED,
+)
+ORACLE["importances"] = " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS valid" for c in _INPUTS)
+ORACLE["model_stump"] = sql(
+    """SELECT m.Month, round(CASE WHEN m.Month <= t THEN low ELSE high END, 3) AS prediction
+    FROM (SELECT DISTINCT Month FROM wide) m, (
+        SELECT cut.Month AS t, avg(Weekly_Sales) FILTER (wide.Month <= cut.Month) AS low,
+            avg(Weekly_Sales) FILTER (wide.Month > cut.Month) AS high,
+            var_pop(Weekly_Sales) FILTER (wide.Month <= cut.Month) * count(*) FILTER (wide.Month <= cut.Month)
+            + var_pop(Weekly_Sales) FILTER (wide.Month > cut.Month) * count(*) FILTER (wide.Month > cut.Month) AS rest
+        FROM wide, (SELECT DISTINCT Month FROM wide) cut
+        WHERE cut.Month < (SELECT max(Month) FROM wide) GROUP BY cut.Month ORDER BY rest LIMIT 1)"""
+)
+_COMPARED = {
+    "LinearRegression": None,
+    "Ridge": None,
+    "RandomForest": 100,
+    "GradientBoosting": 100,
+    "SampledBoosting": 200,
+}
+for _key, _name in (
+    ("model_rf", "RandomForest"),
+    ("model_gbt", "GradientBoosting"),
+    ("model_gbt_sampled", "SampledBoosting"),
+):
+    ORACLE[_key] = sql(
+        f"""SELECT '{_name}' AS Model, CAST({_COMPARED[_name]} AS INT) AS trees, count(*) AS row_count,
+        true AS finite FROM (SELECT *, {_HOLDOUT} AS is_test FROM train) WHERE is_test"""
+    )
+_METRICS = [
+    f"{part}_{m}"
+    for m, parts in {
+        "MAE": ("Train", "Test"),
+        "RMSE": ("Train", "Test"),
+        "R2": ("Train", "Test"),
+        "Accuracy": ("Test",),
+        "Precision": ("Test",),
+        "Recall": ("Test",),
+        "F1": ("Test",),
+    }.items()
+    for part in parts
+]
+ORACLE["model_comparison"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS Model, '{m}' AS metric, true AS valid" for name in _COMPARED for m in _METRICS
+)
+ORACLE["score_test"] = sql("SELECT Store, Dept, Date, true AS predicted FROM test")
+ORACLE["predicted_actual"] = sql(
+    f"SELECT Store, Dept, Date, Weekly_Sales AS actual, true AS predicted FROM train WHERE {_HOLDOUT}"
+)
+ORACLE["forecast_run"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS Model, true AS agrees" for name in _COMPARED
+)

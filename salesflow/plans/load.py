@@ -1,8 +1,11 @@
-"""Load jobs: a file becomes an upsert into its keyed table."""
+"""Load jobs: a file's rows that keep the contract become an upsert into its keyed table."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesflow.contracts import (
     FEATURES,
@@ -16,23 +19,43 @@ from salesflow.contracts import (
     TRAIN,
     Contract,
 )
+from salesflow.operators.checks import VIOLATIONS, split_valid
 from salesflow.operators.cleaning import clean_promotions, coerce
 from salesflow.operators.joins import merge_wide
-from salesflow.operators.upsert import replace_by_key, upsert
+from salesflow.operators.reports import average_by, table_counts
+from salesflow.operators.upsert import replace_by_key, upsert, upsert_counts
 from salesflow.sources.readers import ORDER, scan_csv
 
 _PROMOTION_DEFAULTS = dict.fromkeys(PROMOTIONS, 0.0) | dict.fromkeys(PROMOTION_FLAGS, 0)
 
 
-def _typed(
+@dataclass(frozen=True)
+class Loaded:
+    """What a load gives: the table, the file's rows that break the contract, and the counts.
+
+    ``rejected`` has the file's columns as text and the array ``violations``; ``counts`` is
+    one row with ``inserted``, ``updated`` and ``rejected``.
+    """
+
+    table: DataFrame
+    rejected: DataFrame
+    counts: DataFrame
+
+
+def _checked(
     spark: SparkSession, path: str, contract: Contract, defaults: dict | None = None
-) -> DataFrame:
-    """The file in contract types, with the input order next to them."""
+) -> tuple[DataFrame, DataFrame]:
+    """The file's valid rows in contract types, in input order, and its other rows as text."""
     header = spark.read.options(header=True).csv(path).schema
     raw = scan_csv(spark, path, header, input_order=True)
     if "IsHoliday_x" in raw.columns and "IsHoliday" not in raw.columns:
         raw = raw.withColumnRenamed("IsHoliday_x", "IsHoliday")
-    return coerce(raw, contract, defaults, keep=[ORDER])
+    filled = {c: v for c, v in (defaults or {}).items() if c in raw.columns}
+    raw = raw.withColumns(
+        {c: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(str(v))) for c, v in filled.items()}
+    )
+    valid, rejected = split_valid(raw, contract)
+    return coerce(valid, contract, defaults, keep=[ORDER]), rejected.drop(ORDER)
 
 
 def _empty(spark: SparkSession, contract: Contract) -> DataFrame:
@@ -43,16 +66,22 @@ def _into(
     spark: SparkSession,
     target: DataFrame | None,
     batch: DataFrame,
+    rejected: DataFrame,
     contract: Contract,
     keep_on_null: tuple[str, ...] = (),
-) -> DataFrame:
+) -> Loaded:
     if target is None:
         target = _empty(spark, contract)
-    return upsert(target, batch, contract.key, [ORDER], keep_on_null)
+    refused = rejected.agg(F.count(F.lit(1))).scalar().alias("rejected")
+    return Loaded(
+        upsert(target, batch, contract.key, [ORDER], keep_on_null),
+        rejected,
+        upsert_counts(target, batch, contract.key, [ORDER], keep_on_null).select("*", refused),
+    )
 
 
-def load_stores(spark: SparkSession, path: str, target: DataFrame | None = None) -> DataFrame:
-    return _into(spark, target, _typed(spark, path, STORES), STORES)
+def load_stores(spark: SparkSession, path: str, target: DataFrame | None = None) -> Loaded:
+    return _into(spark, target, *_checked(spark, path, STORES), STORES)
 
 
 def load_features(
@@ -61,30 +90,96 @@ def load_features(
     target: DataFrame | None = None,
     preprocessed: bool = False,
     promotion_start: str = PROMOTION_START,
-) -> DataFrame:
+) -> Loaded:
     """Raw files get flags, and promotion values from before the start become 0."""
     if preprocessed:
-        batch = _typed(spark, path, FEATURES, _PROMOTION_DEFAULTS)
+        batch, rejected = _checked(spark, path, FEATURES, _PROMOTION_DEFAULTS)
     else:
-        batch = clean_promotions(
-            _typed(spark, path, RAW_FEATURES), start=promotion_start, zero_before_start=True
-        )
-    return _into(spark, target, batch, FEATURES)
+        batch, rejected = _checked(spark, path, RAW_FEATURES)
+        batch = clean_promotions(batch, start=promotion_start, zero_before_start=True)
+    return _into(spark, target, batch, rejected, FEATURES)
 
 
 def load_sales(
     spark: SparkSession, path: str, target: DataFrame | None = None, holdout: bool = False
-) -> DataFrame:
-    """A sale without a value does not erase the value already there."""
-    contract = TEST if holdout else TRAIN
-    keep = () if holdout else ("Weekly_Sales",)
-    return _into(spark, target, _typed(spark, path, contract), contract, keep)
-
-
-def load_merged(
-    spark: SparkSession, path: str, target: DataFrame | None = None
-) -> DataFrame:
-    return _into(spark, target, _typed(spark, path, MERGED, _PROMOTION_DEFAULTS), MERGED)
+) -> Loaded:
+    """A line without a sale leaves the value already there; where there is none it is refused."""
+    if holdout:
+        return _into(spark, target, *_checked(spark, path, TEST), TEST)
+    key, sale = list(TRAIN.key), "Weekly_Sales"
+    optional = [replace(f, required=False, nullable=True) if f.name == sale else f for f in TRAIN.fields]
+    rows, rejected = _checked(spark, path, replace(TRAIN, fields=tuple(optional)))
+    known = [df.where(F.col(sale).isNotNull()).select(*key) for df in (rows, target) if df is not None]
+    valued = known[0] if len(known) == 1 else known[0].union(known[1])
+    bare = rows.where(F.col(sale).isNull()).join(valued, key, "left_anti")
+    texts = [
+        F.col(c).cast("string").alias(c) if c in bare.columns else F.lit(None).cast("string").alias(c)
+        for c in rejected.columns
+        if c != VIOLATIONS
+    ]
+    broken = F.array(F.lit(f"required:{sale}")).alias(VIOLATIONS)
+    rejected = rejected.unionByName(bare.select(*texts, broken))
+    batch = rows.join(valued, key, "left_semi")
+    return _into(spark, target, batch, rejected, TRAIN, (sale,))
+
+
+def load_merged(spark: SparkSession, path: str, target: DataFrame | None = None) -> Loaded:
+    return _into(spark, target, *_checked(spark, path, MERGED, _PROMOTION_DEFAULTS), MERGED)
+
+
+def load_all(
+    spark: SparkSession,
+    folder: str,
+    preprocessed: bool = False,
+    promotion_start: str = PROMOTION_START,
+) -> dict[str, Loaded]:
+    """All files of a folder, and the merged table; a preprocessed folder has no test sales."""
+    base = folder.rstrip("/")
+    if preprocessed:
+        return {
+            "stores": load_stores(spark, f"{base}/stores.csv"),
+            "features": load_features(spark, f"{base}/features_cleaned.csv", preprocessed=True),
+            "merged_data": load_merged(spark, f"{base}/merged_train.csv"),
+        }
+    loads = {
+        "stores": load_stores(spark, f"{base}/stores.csv"),
+        "features": load_features(
+            spark, f"{base}/features.csv", promotion_start=promotion_start
+        ),
+        "train_sales": load_sales(spark, f"{base}/train.csv"),
+        "test_sales": load_sales(spark, f"{base}/test.csv", holdout=True),
+    }
+    wide = merge_tables(*(loads[t].table for t in ("train_sales", "features", "stores")))
+    none = wide.limit(0)
+    counts = wide.agg(
+        F.count(F.lit(1)).alias("inserted"),
+        F.lit(0).cast("bigint").alias("updated"),
+        F.lit(0).cast("bigint").alias("rejected"),
+    )
+    return loads | {"merged_data": Loaded(wide, none, counts)}
+
+
+def summary(loads: dict[str, Loaded]) -> DataFrame:
+    """(measure, name, value): rows per table, and mean sales by store type and by holiday."""
+    counts = table_counts({name: load.table for name, load in loads.items()})
+    parts = [
+        counts.select(
+            F.lit("rows").alias("measure"),
+            F.col("table_name").alias("name"),
+            F.col("row_count").cast("double").alias("value"),
+        )
+    ]
+    merged = loads["merged_data"].table
+    for by in ("Type", "IsHoliday"):
+        means = average_by(merged, [by], name="value")
+        parts.append(
+            means.select(
+                F.lit(f"mean sales by {by}").alias("measure"),
+                F.col(by).cast("string").alias("name"),
+                "value",
+            )
+        )
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 def merge_tables(

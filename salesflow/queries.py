@@ -26,11 +26,11 @@ from salesflow.operators import stats as D
 from salesflow.operators import upsert as U
 from salesflow.operators import windows as W
 from salesflow.operators.split import mark_holdout, split
-from salesflow.plans import clean, features, forecast, load
+from salesflow.plans import clean, features, forecast, load, preprocess
 from salesflow.session import scratch_path
 from salesflow.sources import readers as R
 from salesflow.sources import zones as Z
-from salesflow.sources.catalog import ForecastInputs
+from salesflow.sources.catalog import ForecastInputs, load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -185,6 +185,76 @@ def clean_sales_job(spark, sf):
     return clean.clean_zone(spark, _raw_files(spark, sf), base, promotion_start=START)["train"]
 
 
+@query
+def preprocess_job(spark, sf):
+    """Raw files to the preprocessed zone; its merged file read back."""
+    zones = preprocess.preprocess(spark, _raw_files(spark, sf), scratch_path(spark, "zones"), START)
+    return clean.read_raw(spark, zones.preprocessed("merged_train.csv"), PREPROCESSED)
+
+
+#: The merged file as it is written: both IsHoliday columns, nulls where no features match.
+PREPROCESSED = contracts.Contract(
+    "merged_train",
+    contracts.MERGED.key,
+    tuple(
+        contracts.Field(n, "boolean")
+        if f.name == "IsHoliday"
+        else f
+        for f in contracts.MERGED.fields
+        for n in (("IsHoliday_x", "IsHoliday_y") if f.name == "IsHoliday" else (f.name,))
+    ),
+)
+
+
+def _shapes_of(inputs: ForecastInputs) -> DataFrame:
+    tables = {n: getattr(inputs, n) for n in ("merged", "features", "stores", "test")}
+    keys = [
+        df.agg(F.sum("Store").alias("store_sum")).select(F.lit(n).alias("table_name"), "store_sum")
+        for n, df in tables.items()
+    ]
+    return A.shapes(tables).join(union(keys), "table_name")
+
+
+@query
+def tables_from_files(spark, sf):
+    """The tables of a forecast run from the preprocessed and raw zones."""
+    base = scratch_path(spark, "zones")
+    raw = _raw_files(spark, sf)
+    preprocess.preprocess(spark, raw, base, START)
+    Z.land(spark, raw, Z.Zones(base).raw())
+    return _shapes_of(load_tables(spark, "files", base=base))
+
+
+@query
+def tables_from_documents(spark, sf):
+    """The same tables from document collections and a test file."""
+    base = scratch_path(spark, "collections")
+    for name, df in (
+        ("merged_data", wide(spark, sf)),
+        ("features", cleaned(spark, sf)),
+        ("stores", fixtures.stores(spark, sf)),
+    ):
+        R.write_documents(df, f"{base}/{name}")
+    R.write_csv(fixtures.test(spark, sf), Z.Zones(base).raw("test.csv"))
+    return _shapes_of(load_tables(spark, "documents", base=base))
+
+
+@query
+def report_run_job(spark, sf):
+    """Cleaned zone to enriched zone: the report by type and holiday as it was written."""
+    base = scratch_path(spark, "zones")
+    clean.clean_zone(spark, _raw_files(spark, sf), base, promotion_start=START)
+    return rounded(preprocess.report_run(spark, base).holiday_sales, 4)
+
+
+@query
+def report_run_merged(spark, sf):
+    """The joined table the report run writes."""
+    base = scratch_path(spark, "zones")
+    clean.clean_zone(spark, _raw_files(spark, sf), base, promotion_start=START)
+    return preprocess.report_run(spark, base).merged
+
+
 # Projections, filters, cleaning
 
 
@@ -335,47 +405,57 @@ def prepare_scoring(spark, sf):
 
 @query
 def report_markdown(spark, sf):
-    return A.promotion_report(inner(spark, sf))
+    return rounded(A.promotion_report(inner(spark, sf)), 4)
 
 
 @query
 def report_markdown_sql(spark, sf):
     text = """
-        SELECT hasMarkDown1, count(*) AS record_count,
-               CAST(sum(CAST(Weekly_Sales AS DECIMAL(18, 4))) AS DOUBLE) AS Total_Sales
+        SELECT hasMarkDown1, count(*) AS record_count, sum(Weekly_Sales) AS Total_Sales,
+               avg(Weekly_Sales) AS Avg_Sales
         FROM merged_sales GROUP BY hasMarkDown1 ORDER BY Total_Sales DESC
     """
-    return A.run_sql(inner(spark, sf), text)
+    return rounded(A.run_sql(inner(spark, sf), text), 4)
+
+
+@query
+def report_type_holiday_sql(spark, sf):
+    text = """
+        SELECT Type, IsHoliday, count(*) AS record_count, sum(Weekly_Sales) AS Total_Sales,
+               avg(Weekly_Sales) AS Avg_Sales
+        FROM merged_sales GROUP BY Type, IsHoliday ORDER BY Total_Sales DESC
+    """
+    return rounded(A.run_sql(inner(spark, sf), text), 4)
 
 
 @query
 def report_store_dept(spark, sf):
-    return A.average_by(inner(spark, sf), GROUP)
+    return rounded(A.average_by(inner(spark, sf), GROUP), 4)
 
 
 @query
 def report_type_holiday(spark, sf):
-    return A.type_holiday_report(inner(spark, sf))
+    return rounded(A.type_holiday_report(inner(spark, sf)), 4)
 
 
 @query
 def trend_weekly(spark, sf):
-    return A.trend(wide(spark, sf))
+    return rounded(A.trend(wide(spark, sf)), 4)
 
 
 @query
 def trend_monthly(spark, sf):
-    return A.trend(wide(spark, sf), ["Year", "Month"])
+    return rounded(A.trend(wide(spark, sf), ["Year", "Month"]), 4)
 
 
 @query
 def report_type(spark, sf):
-    return A.average_by_type(wide(spark, sf))
+    return rounded(A.average_by_type(wide(spark, sf)), 4)
 
 
 @query
 def report_holiday(spark, sf):
-    return A.average_by_holiday(wide(spark, sf))
+    return rounded(A.average_by_holiday(wide(spark, sf)), 4)
 
 
 def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -400,12 +480,23 @@ def table_shapes(spark, sf):
 
 @query
 def drill_store(spark, sf):
-    return A.drill_down(wide(spark, sf))
+    return rounded(A.drill_down(wide(spark, sf)), 4)
+
+
+@query
+def drill_one_store(spark, sf):
+    return rounded(A.drill_down(wide(spark, sf), where={"Store": 3}), 4)
+
+
+@query
+def drill_store_dept(spark, sf):
+    narrowed = A.drill_down(wide(spark, sf), by=["Store", "Dept"], where={"Store": 3, "Dept": 1})
+    return rounded(narrowed, 4)
 
 
 @query
 def drill_dept(spark, sf):
-    return A.drill_down(wide(spark, sf), by=["Dept"])
+    return rounded(A.drill_down(wide(spark, sf), by=["Dept"]), 4)
 
 
 @query
@@ -564,8 +655,19 @@ def forecast_features(spark, sf):
         fixtures.test(spark, sf), cleaned(spark, sf), fixtures.stores(spark, sf)
     )
     made = features.forecast_features(wide(spark, sf), test)
-    keep = list(dict.fromkeys([*KEY, *made.columns]))
-    return made.train.select(*keep).unionByName(made.test.select(*keep))
+    long = [
+        part.select(*KEY, *[F.col(c).cast("double").alias(f"value of {c}") for c in made.columns])
+        .unpivot(KEY, [f"value of {c}" for c in made.columns], "feature", "value")
+        for part in (made.train, made.test)
+    ]
+    return union(long).withColumn("feature", F.expr("substr(feature, 10)"))
+
+
+@query
+def features_target(spark, sf):
+    """A column the table lacks is left out, rows without a target go."""
+    rows = fixtures.train(spark, sf).unionByName(fixtures.test(spark, sf), allowMissingColumns=True)
+    return C.features_and_target(rows, ["IsHoliday", "Size"], keep=KEY)
 
 
 # Models and evaluation
@@ -598,22 +700,52 @@ def _scored(spark: SparkSession, sf: str, learner: M.Learner) -> DataFrame:
     return predicted.select(*KEY, F.col(M.TARGET).alias("actual"), "prediction")
 
 
+def _checked_scores(scored: DataFrame, train: DataFrame) -> DataFrame:
+    """Whether each prediction lies between the smallest and largest label learned from."""
+    low = train.agg(F.min(M.TARGET)).scalar()
+    high = train.agg(F.max(M.TARGET)).scalar()
+    inside = (F.col("prediction") >= low - 1e-6) & (F.col("prediction") <= high + 1e-6)
+    return scored.withColumn("in_range", inside)
+
+
 @query
 def model_rf_small(spark, sf):
-    scored = _scored(spark, sf, M.forest(**M.SMALL_FOREST))
-    return V.regression_metrics(scored, "actual")
+    """Hold-out rows of the small forest, and whether its metrics agree with each other."""
+    scored = _scored(spark, sf, M.forest(**M.SMALL_FOREST)).persist()
+    m = V.regression_metrics(scored, "actual")
+    total = scored.agg(F.count(F.lit(1)), F.var_pop("actual")).select(F.struct("*")).scalar()
+    agree = F.abs(1 - F.pow("RMSE", F.lit(2)) / total["var_pop(actual)"] - F.col("R2")) < 1e-6
+    return m.select(
+        total["count(1)"].alias("row_count"),
+        ((F.col("MAE") > 0) & (F.col("MAE") <= F.col("RMSE")) & agree).alias("metrics_agree"),
+    )
 
 
 @query
 def predict_rows(spark, sf):
-    return _scored(spark, sf, M.forest(**M.SMALL_FOREST))
+    """Hold-out rows with their predictions, which a forest keeps within the labels' range."""
+    train, _ = split(assembled(spark, sf), key=KEY)
+    scored = _checked_scores(_scored(spark, sf, M.forest(**M.SMALL_FOREST)), train)
+    return scored.select(*KEY, "actual", "in_range")
 
 
 @query
 def importances(spark, sf):
+    """The features by their share, shares being positive or zero and one in all."""
     train, _ = split(assembled(spark, sf), key=KEY)
     model = M.fit(M.forest(**M.SMALL_FOREST), train)
-    return M.importances(train, model, M.REPORT_FEATURES, top=20)
+    table = M.importances(train, model, M.REPORT_FEATURES, top=20)
+    total = table.agg(F.sum("score")).scalar()
+    return table.select("feature", ((F.col("score") >= 0) & (F.abs(total - 1) < 1e-9)).alias("valid"))
+
+
+@query
+def model_stump(spark, sf):
+    """One tree with one split of the month, on all rows: the best split and its two means."""
+    rows = M.assemble(wide(spark, sf), ["Month"], keep=("Month", M.TARGET))
+    stump = {"numTrees": 1, "maxDepth": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    predicted = M.predict(M.fit(M.forest(**stump, maxBins=M.BINS), rows), rows)
+    return rounded(predicted.groupBy("Month").agg(F.max("prediction").alias("prediction")), 3)
 
 
 def _one_feature(spark: SparkSession, sf: str, learner: M.Learner) -> DataFrame:
@@ -632,29 +764,6 @@ def model_ridge(spark, sf):
     return _one_feature(spark, sf, M.ridge())
 
 
-# The full learners (``M.learners()``) build 100 to 200 trees one level or one tree
-# after the other, minutes of job overhead on rows as few as these. The queries
-# grow fewer trees; depth, rates, sampling and leaf sizes are the full ones.
-FOREST = M.FOREST | {"numTrees": 10}
-BOOSTED = M.BOOSTED | {"maxIter": 10}
-SAMPLED_BOOSTED = M.SAMPLED_BOOSTED | {"maxIter": 10}
-
-
-@query
-def model_rf(spark, sf):
-    return V.regression_metrics(_scored(spark, sf, M.forest(**FOREST)), "actual")
-
-
-@query
-def model_gbt(spark, sf):
-    return V.regression_metrics(_scored(spark, sf, M.boosted(**BOOSTED)), "actual")
-
-
-@query
-def model_gbt_sampled(spark, sf):
-    return V.regression_metrics(_scored(spark, sf, M.boosted(**SAMPLED_BOOSTED)), "actual")
-
-
 def mean_predictor(
     train: DataFrame, rows: DataFrame, by: Sequence[str], otherwise: str = "overall"
 ) -> DataFrame:
@@ -713,36 +822,100 @@ def _inputs(spark: SparkSession, sf: str) -> ForecastInputs:
     )
 
 
-def _short_learners() -> dict[str, M.Learner]:
-    return {
-        "LinearRegression": M.linear(),
-        "Ridge": M.ridge(),
-        "RandomForest": M.forest(**FOREST),
-        "GradientBoosting": M.boosted(**BOOSTED),
-        "SampledBoosting": M.boosted(**SAMPLED_BOOSTED),
-    }
+_RUNS: dict[tuple[str, str], str] = {}
+
+
+def _full_run(spark: SparkSession, sf: str) -> str:
+    """Folder with the results of the whole forecast run: five full learners, the best one's scores.
+
+    Written once per session and table; the queries below read it.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        folder = scratch_path(spark, "forecast_run")
+        done = forecast.run(_inputs(spark, sf))
+        for name in ("comparison", "predictions", "fitted"):
+            getattr(done, name).write.parquet(f"{folder}/{name}")
+        trees = [
+            (name, type(model).__name__, int(model.getNumTrees))
+            for name, model in done.models.items()
+            if hasattr(model, "getNumTrees")
+        ]
+        spark.createDataFrame(trees, "Model string, kind string, trees int").write.parquet(
+            f"{folder}/trees"
+        )
+        _RUNS[key] = folder
+    return _RUNS[key]
+
+
+def _finite(name: str):
+    return F.col(name).isNotNull() & ~F.isnan(name) & (F.abs(name) < float("inf"))
+
+
+def _model_row(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A compared model: its trees, its hold-out rows, and whether its metrics are numbers."""
+    folder = _full_run(spark, sf)
+    row = spark.read.parquet(f"{folder}/comparison").where(F.col("Model") == name)
+    rows = spark.read.parquet(f"{folder}/fitted").agg(F.count(F.lit(1))).scalar()
+    trees = spark.read.parquet(f"{folder}/trees").select("Model", "trees")
+    good = [_finite(c) for c, kind in row.dtypes if kind == "double"]
+    return row.join(trees, "Model").select(
+        "Model", "trees", rows.alias("row_count"), reduce(lambda a, b: a & b, good).alias("finite")
+    )
+
+
+@query
+def model_rf(spark, sf):
+    return _model_row(spark, sf, "RandomForest")
+
+
+@query
+def model_gbt(spark, sf):
+    return _model_row(spark, sf, "GradientBoosting")
+
+
+@query
+def model_gbt_sampled(spark, sf):
+    return _model_row(spark, sf, "SampledBoosting")
 
 
 @query
 def model_comparison(spark, sf):
-    train, test = split(report_rows(spark, sf))
-    _, table = M.compare(
-        M.assemble(train, M.REPORT_FEATURES),
-        M.assemble(test, M.REPORT_FEATURES),
-        _short_learners(),
-    )
-    return table
+    """The compared models in long form, and whether each metric is a number in its range."""
+    table = spark.read.parquet(f"{_full_run(spark, sf)}/comparison")
+    metrics = [c for c, kind in table.dtypes if kind == "double"]
+    long = table.unpivot(["Model"], metrics, "metric", "value")
+    share = F.col("metric").rlike("Accuracy|Precision|Recall|F1")
+    ranged = F.when(share, F.col("value").between(0, 1)).when(
+        F.col("metric").contains("R2"), F.col("value") <= 1
+    ).otherwise(F.col("value") >= 0)
+    return long.select("Model", "metric", (_finite("value") & ranged).alias("valid"))
 
 
 @query
 def score_test(spark, sf):
-    chosen = {"GradientBoosting": M.boosted(**BOOSTED)}
-    return forecast.run(_inputs(spark, sf), chosen).predictions
+    """Every row to score, with a prediction of the best of the five models."""
+    rows = spark.read.parquet(f"{_full_run(spark, sf)}/predictions")
+    return rows.select(*KEY, _finite("Predicted_Weekly_Sales").alias("predicted"))
+
+
+@query
+def predicted_actual(spark, sf):
+    """Hold-out rows of the forecast run: actual value, and that there is a prediction."""
+    rows = spark.read.parquet(f"{_full_run(spark, sf)}/fitted")
+    return rows.select(*KEY, "actual", _finite("prediction").alias("predicted"))
 
 
 @query
 def forecast_run(spark, sf):
-    return forecast.run(_inputs(spark, sf), _short_learners()).comparison
+    """The models of the run, and that the best one's hold-out metrics are those of its rows."""
+    folder = _full_run(spark, sf)
+    table = spark.read.parquet(f"{folder}/comparison")
+    best = A.best_row(table).select("Model").scalar()
+    again = V.regression_metrics(spark.read.parquet(f"{folder}/fitted"), "actual")
+    r2 = again.select("R2").scalar()
+    same = (F.col("Model") != best) | (F.abs(F.col("Test_R2") - r2) < 1e-9)
+    return table.select("Model", same.alias("agrees"))
 
 
 # Contracts and upserts
@@ -849,31 +1022,108 @@ def upsert_replace(spark, sf):
     return U.replace_by_key(train, batch, KEY)
 
 
+@query
+def replace_duplicates(spark, sf):
+    """A batch that has every holiday row three times: the last one counts."""
+    train = fixtures.train(spark, sf)
+    again = train.where("IsHoliday")
+    batch = union(
+        [again.withColumns({"Weekly_Sales": F.lit(v), "at": F.lit(at)}) for v, at in ((1.0, 2), (2.0, 3), (3.0, 1))]
+    )
+    return U.replace_by_key(train, batch, KEY, ["at"])
+
+
 @query
 def load_stores_job(spark, sf):
     path = f"{_raw_files(spark, sf)}/stores.csv"
-    return load.load_stores(spark, path, load.load_stores(spark, path))
+    return load.load_stores(spark, path, load.load_stores(spark, path).table).table
 
 
 @query
 def load_features_job(spark, sf):
     """Loaded twice: the second load changes nothing."""
     path = f"{_raw_files(spark, sf)}/features.csv"
-    once = load.load_features(spark, path, promotion_start=START)
-    return load.load_features(spark, path, once, promotion_start=START)
+    once = load.load_features(spark, path, promotion_start=START).table
+    return load.load_features(spark, path, once, promotion_start=START).table
 
 
 @query
 def load_sales_job(spark, sf):
     path = f"{_raw_files(spark, sf)}/train.csv"
-    return load.load_sales(spark, path, load.load_sales(spark, path))
+    return load.load_sales(spark, path, load.load_sales(spark, path).table).table
+
+
+@query
+def load_test_job(spark, sf):
+    path = f"{_raw_files(spark, sf)}/test.csv"
+    return load.load_sales(spark, path, holdout=True).table
+
+
+@query
+def load_rejects(spark, sf):
+    """A store file with bad rows: what the load refuses, and why."""
+    key = F.col("Store") % 6
+    rows = as_text(fixtures.stores(spark, sf)).withColumns(
+        {
+            "Store": F.when(key == 0, F.lit(None)).when(key == 1, "x").otherwise(F.col("Store")),
+            "Type": F.when(key == 2, "Z").otherwise(F.col("Type")),
+            "Size": F.when(key == 3, F.lit(None)).when(key == 4, F.concat("Size", F.lit(".5"))).otherwise(F.concat("Size", F.lit(".0"))),
+        }
+    )
+    loaded = load.load_stores(spark, R.write_csv(rows, scratch_path(spark, "bad_stores")))
+    refused = loaded.rejected.select(
+        "Store", "Type", "Size", F.array_join("violations", ",").alias("reasons")
+    )
+    kept = as_text(loaded.table).withColumn("reasons", F.lit(""))
+    return refused.unionByName(kept)
+
+
+@query
+def load_twice_counts(spark, sf):
+    """The same file twice: the second load inserts and updates nothing."""
+    path = f"{_raw_files(spark, sf)}/features.csv"
+    first = load.load_features(spark, path, promotion_start=START)
+    second = load.load_features(spark, path, first.table, promotion_start=START)
+    return union(
+        [
+            part.counts.select(F.lit(n).alias("load"), "inserted", "updated", "rejected")
+            for n, part in ((1, first), (2, second))
+        ]
+    )
+
+
+@query
+def load_summary(spark, sf):
+    loads = load.load_all(spark, _raw_files(spark, sf), promotion_start=START)
+    return rounded(load.summary(loads), 4)
+
+
+@query
+def load_preprocessed_summary(spark, sf):
+    zones = preprocess.preprocess(spark, _raw_files(spark, sf), scratch_path(spark, "zones"), START)
+    return rounded(load.summary(load.load_all(spark, zones.preprocessed(), preprocessed=True)), 4)
+
+
+@query
+def coerce_whole_numbers(spark, sf):
+    """Order keys in several spellings, as whole numbers."""
+    ln, key = F.col("l_linenumber"), F.col("l_orderkey").cast("string")
+    text = (
+        F.when(ln % 5 == 0, F.concat(key, F.lit(".0")))
+        .when(ln % 5 == 1, F.concat(key, F.lit(".25")))
+        .when(ln % 5 == 2, F.concat(F.lit("99999999999"), key))
+        .when(ln % 5 == 3, F.concat(F.lit(" "), key))
+        .otherwise(F.concat(key, F.lit("x")))
+    )
+    rows = fixtures.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("raw"))
+    return rows.select("*", C.whole_number(F.trim("raw")).alias("number"))
 
 
 @query
 def load_merged_job(spark, sf):
     """Raw tables merged, written as the preprocessed file and loaded from there."""
     path = R.write_csv(wide(spark, sf), scratch_path(spark, "merged_train"))
-    return load.load_merged(spark, path)
+    return load.load_merged(spark, path).table
 
 
 @query

@@ -1,3 +1,4 @@
+import math
 from datetime import date
 
 import pytest
@@ -87,7 +88,7 @@ def test_sums_do_not_depend_on_partitioning(spark):
     df = spark.range(20_000).select((F.rand(7) * 1e6).alias("v"), (F.col("id") % 3).alias("k"))
     df = df.select("k", F.round("v", 4).alias("v")).persist()
     totals = {
-        n: [tuple(r) for r in df.repartition(n).groupBy("k").agg(exact_sum("v"), exact_mean("v")).orderBy("k").collect()]
+        n: [tuple(r) for r in df.repartition(n).groupBy("k").agg(exact_sum("v", 4), exact_mean("v", 4)).orderBy("k").collect()]
         for n in (1, 3, 7)
     }
     assert totals[1] == totals[3] == totals[7]
@@ -96,9 +97,18 @@ def test_sums_do_not_depend_on_partitioning(spark):
 
 def test_exact_sum_values(rows):
     df = rows("v double", (0.1,), (0.2,), (-5.05,), (None,))
-    row = df.agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).first()
+    row = df.agg(exact_sum("v", 4).alias("s"), exact_mean("v", 4).alias("m")).first()
     assert row.s == -4.75 and row.m == -4.75 / 3
     empty = df.where("v > 100").agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).first()
     assert empty.s is None and empty.m is None
     big = rows("v double", *[(9e10,)] * 40)
-    assert big.agg(exact_sum("v")).first()[0] == 36e11
+    assert big.agg(exact_sum("v", 4)).first()[0] == 36e11
+
+
+def test_sums_keep_digits_and_take_any_double(rows):
+    small = rows("v double, Weekly_Sales double", (0.00001, 1.0), (0.00002, 2.0), (0.00004, None))
+    row = small.agg(exact_mean("v").alias("m"), exact_sum("Weekly_Sales").alias("s")).first()
+    assert row.m == pytest.approx(7e-5 / 3) and row.s == 3.0
+    odd = rows("k int, Weekly_Sales double", (1, float("nan")), (1, 2.0), (2, 1e300), (3, 1e15), (3, 1.5))
+    got = {r.k: r.s for r in odd.groupBy("k").agg(exact_sum("Weekly_Sales").alias("s")).collect()}
+    assert math.isnan(got[1]) and got[2] == 1e300 and got[3] == 1e15 + 1.5

@@ -82,6 +82,20 @@ def test_replace_by_key(rows, target):
     assert out == [(1, None, None), (2, "old", 2), (3, "old", 3), (5, "n", 5)]
 
 
+def test_replace_by_key_takes_the_last_of_equal_keys(rows, target):
+    batch = rows("k int, a string, b int, at int", (1, "x", 1, 2), (1, "y", 2, 3), (1, "z", 3, 1))
+    out = U.replace_by_key(target, batch, ["k"], ["at"]).where("k = 1").collect()
+    assert list(map(tuple, out)) == [(1, "y", 2)]
+
+
+def test_a_row_without_a_key_is_refused(rows, target):
+    batch = rows("k int, a string, at int", (None, "x", 1))
+    with pytest.raises(Exception, match="without a key"):
+        U.upsert(target, batch, ["k"], ["at"]).collect()
+    with pytest.raises(Exception, match="without a key"):
+        U.replace_by_key(target, batch.drop("at"), ["k"]).collect()
+
+
 def test_hot_key_in_the_batch(spark, target):
     batch = spark.range(50_000).select(
         F.lit(1).alias("k"), F.col("id").cast("string").alias("a"), F.col("id").alias("at")

@@ -112,4 +112,15 @@ def test_full_settings_are_there(planted):
     ]
     forest = M.learners()["RandomForest"](planted)
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (100, 20, 2)
-    assert 16 <= M.tree_memory_mb(planted) <= 2048
+    boosted = M.learners()["SampledBoosting"](planted)
+    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getMaxBins()) == (200, 8, 256)
+
+
+def test_models_do_not_depend_on_the_partitioning(planted):
+    train = M.assemble(planted, ["a", "b", "c"])
+    settings = {"numTrees": 5, "maxDepth": 6, "maxBins": M.BINS}
+    found = [
+        M.predict(M.fit(M.forest(**settings), train.repartition(n)), train).orderBy(M.TARGET).select("prediction").collect()
+        for n in (1, 3, 7)
+    ]
+    assert found[0] == found[1] == found[2]

@@ -7,14 +7,6 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 ORACLE = entry.oracle_sql()
-SLOW = {
-    "model_rf",
-    "model_gbt",
-    "model_gbt_sampled",
-    "model_comparison",
-    "forecast_run",
-    "score_test",
-}
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +19,7 @@ def test_query_equals_sql(spark, db, name):
     assert compare(entry.queries()[name](spark, SF), db, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLE)))
 def test_query_without_sql_returns_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 

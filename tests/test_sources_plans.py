@@ -62,10 +62,27 @@ def test_last_line_of_the_file_wins(spark, tmp_path):
         "1,1,05/02/2010,10.0,FALSE\n1,1,2010-02-05,20.0,TRUE\n1,1,2010-02-05,NA,TRUE\n"
     )
     once = load.load_sales(spark, str(path))
-    # The last line has no value: it sets the holiday, and there is nothing to keep yet.
-    assert once.collect() == [(1, 1, date(2010, 2, 5), None, True)]
-    old = once.withColumn("Weekly_Sales", F.lit(7.0))
-    assert load.load_sales(spark, str(path), old).first().Weekly_Sales == 7.0
+    # The last line has no value: it sets the holiday and leaves the sale.
+    assert once.table.collect() == [(1, 1, date(2010, 2, 5), 20.0, True)]
+    assert once.rejected.count() == 0 and tuple(once.counts.first()) == (1, 0, 0)
+
+
+def test_a_line_without_a_sale_needs_one_before(spark, tmp_path):
+    path = tmp_path / "train.csv"
+    path.write_text(
+        "Store,Dept,Date,Weekly_Sales,IsHoliday\n1,1,2010-02-05,NA,TRUE\n2.0,1,2010-02-05,NA,TRUE\n"
+        ",1,2010-02-05,3,TRUE\n3.5,1,2010-02-05,3,TRUE\n4,1,someday,3,TRUE\n5,1,2010-02-05,3,TRUE\n"
+    )
+    old = spark.createDataFrame([(1, 1, date(2010, 2, 5), 7.0, False)], contracts.TRAIN.schema())
+    done = load.load_sales(spark, str(path), old)
+    assert sorted(done.table.collect()) == [(1, 1, date(2010, 2, 5), 7.0, True), (5, 1, date(2010, 2, 5), 3.0, True)]
+    reasons = sorted((r.Store, *r.violations) for r in done.rejected.fillna("").collect())
+    assert reasons == [
+        ("", "required:Store"), ("2", "required:Weekly_Sales"), ("3.5", "type:Store"), ("4", "type:Date"),
+    ]
+    assert tuple(done.counts.first()) == (1, 1, 4)
+    again = load.load_sales(spark, str(path), done.table)
+    assert tuple(again.counts.first()) == (0, 0, 4)
 
 
 def test_tables_from_files_and_documents(spark, tmp_path):
