@@ -15,7 +15,7 @@ from salesflow.llm.words import Lookup, buffers, spelled
 #: Words a Python worker remembers at most; others are encoded anew each time.
 REMEMBERED_WORDS = 250_000
 #: The same for tables of hashes, which take less memory.
-REMEMBERED_HASHES = 3_000_000
+REMEMBERED_HASHES = 1_200_000
 WORDS_AT_ONCE = 1000
 #: Characters of unseen words encoded at once.
 ENCODE_CHARS = 1 << 20
