@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.operators.cleaning import numeric_columns
@@ -17,6 +20,8 @@ from salesflow.session import cut
 FENCE = 1.5
 HISTOGRAM_BINS = 50
 DENSITY_POINTS = 200
+# Rows of a task held against the grid at once.
+_GRID_ROWS = 4096
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -30,17 +35,28 @@ def _fences(factor: float) -> dict[str, Column]:
     }
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A narrow frame that several passes read, held while they run."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def iqr_bounds(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE) -> DataFrame:
     """Quartiles, fences and the number of rows outside them; one row."""
-    bounds = cut(summary(df, value, QUARTILES).withColumns(_fences(factor)))
-    outside = _outside(value, bounds)
-    count = df.agg(F.count_if(outside).alias("outlier_count")).scalar()
-    return bounds.withColumn("outlier_count", count)
+    with kept(df.select(value)) as values:
+        bounds = cut(summary(values, value, QUARTILES).withColumns(_fences(factor)))
+        count = values.agg(F.count_if(_outside(value, bounds)).alias("outlier_count")).scalar()
+        return cut(bounds.withColumn("outlier_count", count))
 
 
 def iqr_outliers(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE) -> DataFrame:
     """The rows outside the fences."""
-    bounds = cut(summary(df, value, QUARTILES).withColumns(_fences(factor)))
+    with kept(df.select(value)) as values:
+        bounds = cut(summary(values, value, QUARTILES).withColumns(_fences(factor)))
     return df.where(_outside(value, bounds))
 
 
@@ -52,11 +68,12 @@ def _outside(value: str, bounds: DataFrame) -> Column:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, std, min, quartiles and max; one row per numeric column."""
+    """Count, mean, std, min, quartiles and max; one row per numeric column.
+
+    Moments come from one pass over the columns as they are; only the quantiles' value
+    counts are shuffled per column.
+    """
     columns = list(columns or numeric_columns(df))
-    long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "column", "value"
-    )
     moments = {
         "count": F.count,
         "mean": F.avg,
@@ -64,22 +81,27 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         "min": F.min,
         "max": F.max,
     }
-    found = summary(
-        long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"], extra=moments
-    )
-    # A column without any value still gets its row.
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return names.join(found, ["column"], "left").select(
-        "column",
-        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-        "mean",
-        "std",
-        "min",
-        "p25",
-        "p50",
-        "p75",
-        "max",
-    )
+    numbers = [F.col(c).cast("double") for c in columns]
+    clean = [F.when(~F.isnan(n), n).alias(c) for n, c in zip(numbers, columns, strict=True)]
+    with kept(df.select(clean)) as narrow:
+        wide = narrow.agg(
+            *[
+                F.struct(F.lit(c).alias("column"), *[f(c).alias(n) for n, f in moments.items()]).alias(c)
+                for c in columns
+            ]
+        )
+        rows = cut(wide.select(F.inline(F.array(*columns))))
+        quartiles = summary(
+            narrow.unpivot([], columns, "column", "value"),
+            "value",
+            {"p25": 0.25, "p50": 0.5, "p75": 0.75},
+            ["column"],
+        )
+        # A column without any value still has its row.
+        found = rows.join(quartiles, ["column"], "left")
+        return cut(
+            found.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+        )
 
 
 def _range(df: DataFrame, value: str) -> DataFrame:
@@ -130,26 +152,44 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum.
 
-    Every row counts at every grid point. Without ``bandwidth`` it is
-    ``std * n ** -0.2``. With ``scale_to_bins`` the curve is scaled to lie over
-    a histogram of that many bins.
+    Every row counts at every grid point; a task adds up its rows and emits one sum per
+    point. Without ``bandwidth`` it is ``std * n ** -0.2``; where that is zero there is no
+    density. With ``scale_to_bins`` the curve is scaled to lie over a histogram of that
+    many bins.
     """
-    span = _range(df, value)
-    h = F.col("std") * F.pow(F.col("n"), F.lit(-0.2)) if bandwidth is None else F.lit(bandwidth)
-    step = (F.col("hi") - F.col("lo")) / (points - 1)
-    grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("lo") + i * step)
-    setup = cut(span.select("*", h.alias("h"), grid.alias("grid")))
-    facts = setup.select(F.struct("*")).scalar()
-    per_row = df.where(F.col(value).isNotNull()).select(
-        F.col(value).cast("double").alias("_v"),
-        F.posexplode(setup.select("grid").scalar()).alias("point", "x"),
-    )
-    z = (F.col("x") - F.col("_v")) / facts["h"]
-    sums = per_row.groupBy("point", "x").agg(F.sum(F.exp(-z * z / 2)).alias("_sum"))
-    norm = F.lit(1.0) / (facts["n"] * facts["h"] * F.sqrt(F.lit(2.0) * F.pi()))
-    if scale_to_bins:
-        norm = norm * facts["n"] * (facts["hi"] - facts["lo"]) / scale_to_bins
-    return sums.select("point", "x", (F.col("_sum") * norm).alias("density"))
+    with kept(df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))) as rows:
+        span = _range(rows, "v").first()
+        if not span["n"]:
+            return rows.sparkSession.createDataFrame([], "point int, x double, density double")
+        lo, hi, n = span["lo"], span["hi"], span["n"]
+        h = bandwidth if bandwidth is not None else (span["std"] or 0.0) * n**-0.2
+        grid = lo + np.arange(points) * ((hi - lo) / (points - 1))
+
+        def reduce_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(points)
+            for batch in batches:
+                values = batch.column(0).to_numpy(zero_copy_only=False)
+                for at in range(0, len(values), _GRID_ROWS):
+                    z = (grid[:, None] - values[None, at : at + _GRID_ROWS]) / h
+                    total += np.exp(-z * z / 2).sum(1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(points, dtype=np.int32)), pa.array(grid), pa.array(total)],
+                ["point", "x", "_sum"],
+            )
+
+        if not h:
+            # One value, or one repeated, has no width.
+            flat = [(i, float(x), None) for i, x in enumerate(grid)]
+            return rows.sparkSession.createDataFrame(flat, "point int, x double, density double")
+        norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
+        if scale_to_bins:
+            norm = norm * n * (hi - lo) / scale_to_bins
+        sums = rows.mapInArrow(reduce_batches, "point int, x double, _sum double")
+        return cut(
+            sums.groupBy("point", "x")
+            .agg(F.sum("_sum").alias("_sum"))
+            .select("point", "x", (F.col("_sum") * norm).alias("density"))
+        )
 
 
 def box_stats(
@@ -159,32 +199,34 @@ def box_stats(
     factor: float = FENCE,
 ) -> DataFrame:
     """Per group: quartiles, whiskers (last rows inside the fences) and outlier count."""
-    quartiles = summary(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
-    bounds = cut(quartiles.withColumns(_fences(factor)))
-    fences = small_side(bounds.select(by, "lower_bound", "upper_bound"))
     v = F.col(value)
     inside = (v >= F.col("lower_bound")) & (v <= F.col("upper_bound"))
-    whiskers = (
-        df.where(v.isNotNull())
-        .join(fences, [by])
-        .groupBy(by)
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min(F.when(inside, v)).alias("whisker_low"),
-            F.max(F.when(inside, v)).alias("whisker_high"),
-            F.count_if(~inside).alias("outlier_count"),
+    with kept(df.select(by, value).where(v.isNotNull())) as rows:
+        quartiles = summary(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+        bounds = cut(quartiles.withColumns(_fences(factor)))
+        fences = small_side(bounds.select(by, "lower_bound", "upper_bound"))
+        whiskers = (
+            rows.join(fences, [by])
+            .groupBy(by)
+            .agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.min(F.when(inside, v)).alias("whisker_low"),
+                F.max(F.when(inside, v)).alias("whisker_high"),
+                F.count_if(~inside).alias("outlier_count"),
+            )
+        )
+        return cut(
+            bounds.join(whiskers, [by]).select(
+                by,
+                "row_count",
+                "q1",
+                "median",
+                "q3",
+                "whisker_low",
+                "whisker_high",
+                "outlier_count",
+            )
         )
-    )
-    return bounds.join(whiskers, [by]).select(
-        by,
-        "row_count",
-        "q1",
-        "median",
-        "q3",
-        "whisker_low",
-        "whisker_high",
-        "outlier_count",
-    )
 
 
 def scatter_points(
@@ -227,32 +269,34 @@ def target_correlations(
     return _correlations(df, columns, [target]).select(F.col("f1").alias("feature"), "corr")
 
 
-_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+_MOMENTS = ("n", "mx", "my", "cxx", "cyy", "cxy")
 
 
 def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
     """Correlations of all pairs of ``left`` and ``right`` from one pass over the rows.
 
     As single aggregates 25 columns are 300 pairs with three moments each, too
-    many for one generated function. So each Arrow batch is reduced to its
-    moment matrices by a few matrix products, a task emits one row per pair,
-    and Spark adds those up. Values are taken relative to the column means, so
-    that sums of squares keep their digits.
+    many for one generated function. So each task reduces its Arrow batches to moment
+    matrices by a few matrix products, relative to means of its own first batch so that
+    sums of squares keep their digits, and emits counts, means and central moments per
+    pair. Those of all tasks are combined by the parallel variance formula.
     """
     columns = list(dict.fromkeys([*left, *right]))
     narrow = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    means = narrow.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    shift = np.array([means[c] or 0.0 for c in columns])
     a = [columns.index(c) for c in left]
     b = [columns.index(c) for c in right]
 
     def reduce_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(_MOMENTS), len(a), len(b)))
+        total = np.zeros((6, len(a), len(b)))
+        shift = None
         for batch in batches:
             values = np.column_stack(
                 [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             ).astype(float)
             present = ~np.isnan(values)
+            if shift is None:
+                counts = np.maximum(present.sum(0), 1)
+                shift = np.where(present, values, 0.0).sum(0) / counts
             values = np.where(present, values - shift, 0.0)
             there = present.astype(float)
             x, y, in_x, in_y = values[:, a], values[:, b], there[:, a], there[:, b]
@@ -264,25 +308,48 @@ def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> D
                 in_x.T @ (y * y),
                 x.T @ y,
             )
+        if shift is None:
+            return
+        n, sx, sy, sxx, syy, sxy = total
+        rows = np.maximum(n, 1)
+        central = (
+            n,
+            shift[a][:, None] + sx / rows,
+            shift[b][None, :] + sy / rows,
+            sxx - sx * sx / rows,
+            syy - sy * sy / rows,
+            sxy - sx * sy / rows,
+        )
         f1 = np.repeat(np.array(left, dtype=object), len(b))
         f2 = np.tile(np.array(right, dtype=object), len(a))
-        moments = [pa.array(m.ravel()) for m in total]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(f1, pa.string()), pa.array(f2, pa.string()), *moments],
+            [pa.array(f1, pa.string()), pa.array(f2, pa.string()), *[pa.array(m.ravel()) for m in central]],
             names=["f1", "f2", *_MOMENTS],
         )
 
     schema = "f1 string, f2 string, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    parts = narrow.mapInArrow(reduce_batches, schema).where(F.col("n") > 0)
+    # One row per task and pair: the means of all rows, then what tasks' means add to the moments.
+    pair = Window.partitionBy("f1", "f2")
+    n = F.col("n")
+    dx = F.col("mx") - F.sum(n * F.col("mx")).over(pair) / F.sum("n").over(pair)
+    dy = F.col("my") - F.sum(n * F.col("my")).over(pair) / F.sum("n").over(pair)
     sums = (
-        narrow.mapInArrow(reduce_batches, schema)
+        parts.withColumns({"dx": dx, "dy": dy})
         .groupBy("f1", "f2")
-        .agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.col("cxx") + n * F.col("dx") ** 2).alias("cxx"),
+            F.sum(F.col("cyy") + n * F.col("dy") ** 2).alias("cyy"),
+            F.sum(F.col("cxy") + n * F.col("dx") * F.col("dy")).alias("cxy"),
+            F.max(F.abs("mx")).alias("ax"),
+            F.max(F.abs("my")).alias("ay"),
+        )
     )
-    n = F.nullif(F.col("n"), F.lit(0.0))
-    spread = (F.col("sxx") - F.col("sx") ** 2 / n) * (F.col("syy") - F.col("sy") ** 2 / n)
-    together = F.col("sxy") - F.col("sx") * F.col("sy") / n
     # What rounding leaves of a constant column's spread is no spread.
-    some = (F.col("sxx") - F.col("sx") ** 2 / n > 1e-12 * F.col("sxx")) & (
-        F.col("syy") - F.col("sy") ** 2 / n > 1e-12 * F.col("syy")
-    )
-    return sums.select("f1", "f2", F.when(some, together / F.sqrt(spread)).alias("corr"))
+    some = (F.col("cxx") > 1e-24 * F.col("n") * F.col("ax") ** 2) & (
+        F.col("cyy") > 1e-24 * F.col("n") * F.col("ay") ** 2
+    ) & (F.col("cxx") > 0) & (F.col("cyy") > 0)
+    corr = F.when(some, F.col("cxy") / F.sqrt(F.col("cxx") * F.col("cyy")))
+    pairs = df.sparkSession.createDataFrame([(x, y) for x in left for y in right], "f1 string, f2 string")
+    return pairs.join(sums.select("f1", "f2", corr.alias("corr")), ["f1", "f2"], "left")

@@ -428,6 +428,10 @@ def _boxes(by: str) -> str:
     )
 
 
+ORACLE["quantiles_narrowed"] = sql(
+    f"""SELECT Type, round(quantile_cont({TARGET}, 0.25), 7) AS q1, round(quantile_cont({TARGET}, 0.5), 7) AS median,
+    round(quantile_cont({TARGET}, 0.75), 7) AS q3 FROM wide GROUP BY Type"""
+)
 ORACLE["box_by_type"] = _boxes("Type")
 ORACLE["box_by_month"] = _boxes("Month")
 ORACLE["box_by_holiday"] = _boxes("IsHoliday")

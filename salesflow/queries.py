@@ -25,6 +25,7 @@ from salesflow.operators import selection as S
 from salesflow.operators import stats as D
 from salesflow.operators import upsert as U
 from salesflow.operators import windows as W
+from salesflow.operators.quantiles import summary
 from salesflow.operators.split import mark_holdout, split
 from salesflow.plans import clean, features, forecast, load, preprocess
 from salesflow.session import scratch_path
@@ -575,6 +576,15 @@ def iqr_bounds(spark, sf):
     return rounded(D.iqr_bounds(wide(spark, sf)), 7)
 
 
+@query
+def quantiles_narrowed(spark, sf):
+    """Quartiles per type with tasks of 100 rows only, so that groups have to be narrowed first."""
+    found = summary(
+        wide(spark, sf), "Weekly_Sales", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["Type"], task_rows=100, bins=16
+    )
+    return rounded(found, 7)
+
+
 @query
 def iqr_outliers(spark, sf):
     return D.iqr_outliers(wide(spark, sf)).select(*KEY, "Weekly_Sales")
