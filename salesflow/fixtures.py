@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The calendar of the views.
@@ -12,7 +12,6 @@ HOLDOUT_START = "2001-01-01"
 ECON_END = "2001-06-01"
 PROMOTION_START = "1998-01-01"
 HOLIDAY_WEEKS = (6, 36, 47, 52)
-STORE_WITHOUT_FEATURES = 7
 
 
 # The columns the views use. A declared schema saves reading file
@@ -23,6 +22,7 @@ SCHEMAS = {
         "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
         "l_shipdate timestamp_ntz"
     ),
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
     "supplier": "s_suppkey bigint, s_nationkey int",
     "nation": "n_nationkey int, n_name string",
 }
@@ -47,7 +47,7 @@ def _holiday():
 def base(
     spark: SparkSession, sf_dir: str, before: str | None = None, since: str | None = None
 ) -> DataFrame:
-    """Order lines as store, department and week (its Monday).
+    """Order lines as store, department and week of shipping (its Monday).
 
     ``before`` and ``since`` must be Mondays: then they mean the same for the
     week and for the ship date, and the filter reaches the scan.
@@ -57,10 +57,20 @@ def base(
         lines = lines.where(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     if since:
         lines = lines.where(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
-    suppliers = read(spark, sf_dir, "supplier")
-    day = F.col("l_shipdate").cast("date")
-    return lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).select(
-        F.col("s_nationkey").cast("int").alias("Store"),
+    return _lines(lines, F.col("l_shipdate").cast("date"))
+
+
+def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the week of the order: a store has no row for weeks without one."""
+    orders = read(spark, sf_dir, "orders")
+    lines = read(spark, sf_dir, "lineitem")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return _lines(joined, F.col("o_orderdate").cast("date"))
+
+
+def _lines(rows: DataFrame, day: Column) -> DataFrame:
+    return rows.select(
+        F.col("l_suppkey").cast("int").alias("Store"),
         (F.col("l_partkey") % 5).cast("int").alias("Dept"),
         F.date_sub(day, F.weekday(day)).alias("Date"),
         F.col("l_linenumber").alias("ln"),
@@ -73,8 +83,8 @@ def base(
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return read(spark, sf_dir, "nation").select(
+    key = F.col("s_suppkey")
+    return read(spark, sf_dir, "supplier").select(
         key.cast("int").alias("Store"),
         F.when(key % 3 == 0, "A").when(key % 3 == 1, "B").otherwise("C").alias("Type"),
         (F.lit(30000) + (key.cast("long") * 7919) % 190000).cast("int").alias("Size"),
@@ -82,7 +92,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir).where(F.col("Store") != STORE_WITHOUT_FEATURES)
+    rows = ordered(spark, sf_dir)
     n = F.count(F.lit(1))
     known = F.col("Date") < F.lit(ECON_END).cast("date")
     promotions = [

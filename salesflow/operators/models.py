@@ -66,7 +66,7 @@ SAMPLED_BOOSTED = {
 
 # Split statistics of one pass over the rows, per task. Fixed, because it sets the order in
 # which nodes draw their features: the same model on any cluster.
-TREE_MEMORY_MB = 128
+TREE_MEMORY_MB = 256
 # Boosting chains one tree to the next; a checkpoint every few trees keeps the
 # chain short enough to rebuild when an executor is lost.
 _CHECKPOINT_EVERY = 10

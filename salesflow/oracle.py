@@ -8,16 +8,22 @@ from __future__ import annotations
 
 _VIEWS = {
     "base": """
-        SELECT CAST(s_nationkey AS INT) AS Store, CAST(l_partkey % 5 AS INT) AS Dept,
+        SELECT CAST(l_suppkey AS INT) AS Store, CAST(l_partkey % 5 AS INT) AS Dept,
                CAST(date_trunc('week', l_shipdate) AS DATE) AS Date, l_linenumber AS ln,
                CAST(l_quantity AS DECIMAL(18,2)) AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS p,
                CAST(l_discount AS DECIMAL(4,2)) AS d, CAST(l_tax AS DECIMAL(4,2)) AS t
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
+        FROM lineitem""",
+    "ordered": """
+        SELECT CAST(l_suppkey AS INT) AS Store,
+               CAST(date_trunc('week', o_orderdate) AS DATE) AS Date, l_linenumber AS ln,
+               CAST(l_quantity AS DECIMAL(18,2)) AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS p,
+               CAST(l_discount AS DECIMAL(4,2)) AS d, CAST(l_tax AS DECIMAL(4,2)) AS t
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "stores": """
-        SELECT CAST(n_nationkey AS INT) AS Store,
-               CASE n_nationkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS Type,
-               CAST(30000 + (n_nationkey * 7919) % 190000 AS INT) AS Size
-        FROM nation""",
+        SELECT CAST(s_suppkey AS INT) AS Store,
+               CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS Type,
+               CAST(30000 + (s_suppkey * 7919) % 190000 AS INT) AS Size
+        FROM supplier""",
     "train": """
         SELECT Store, Dept, Date, CAST(sum(p * (1 - d)) AS DOUBLE) AS Weekly_Sales,
                weekofyear(Date) IN (6, 36, 47, 52) AS IsHoliday
@@ -36,7 +42,7 @@ _VIEWS = {
                CASE WHEN Date < DATE '2001-06-01' THEN CAST(sum(d) AS DOUBLE) / count(*) END AS CPI,
                CASE WHEN Date < DATE '2001-06-01' THEN CAST(count(*) AS DOUBLE) END AS Unemployment,
                weekofyear(Date) IN (6, 36, 47, 52) AS IsHoliday
-        FROM base WHERE Store <> 7 GROUP BY Store, Date""",
+        FROM ordered GROUP BY Store, Date""",
 }
 
 _PROMOTIONS = [f"MarkDown{i}" for i in range(1, 6)]
@@ -161,7 +167,8 @@ def _plain_sum(value: str = TARGET) -> str:
 
 
 def _plain_mean(value: str = TARGET) -> str:
-    return f"round(avg({value}), 4)"
+    """Sales have four decimals, so rounding a plain sum of them to four gives the exact sum."""
+    return f"{_plain_sum(value)} / nullif(count({value}), 0)"
 
 
 def _report(by: str, source: str) -> str:
@@ -169,6 +176,11 @@ def _report(by: str, source: str) -> str:
         {_plain_mean()} AS Avg_Sales FROM {source} GROUP BY ALL"""
 
 
+def _rounded_report(by: str) -> str:
+    return f"""SELECT {by}, count(*) AS record_count, {_plain_sum()} AS Total_Sales,
+        round(avg({TARGET}), 4) AS Avg_Sales FROM joined GROUP BY ALL"""
+
+
 ORACLE: dict[str, str] = {}
 
 # Sources and sinks
@@ -257,12 +269,12 @@ ORACLE["prepare_scoring"] = sql(
 
 # Reports
 ORACLE["report_markdown"] = sql(_report("hasMarkDown1", "joined"))
-ORACLE["report_markdown_sql"] = ORACLE["report_markdown"]
+ORACLE["report_markdown_sql"] = sql(_rounded_report("hasMarkDown1"))
 ORACLE["report_store_dept"] = sql(
     f"SELECT Store, Dept, {_plain_mean()} AS Avg_Weekly_Sales FROM joined GROUP BY ALL"
 )
 ORACLE["report_type_holiday"] = sql(_report("Type, IsHoliday", "joined"))
-ORACLE["report_type_holiday_sql"] = ORACLE["report_type_holiday"]
+ORACLE["report_type_holiday_sql"] = sql(_rounded_report("Type, IsHoliday"))
 ORACLE["report_run_job"] = ORACLE["report_type_holiday"]
 ORACLE["report_run_merged"] = sql("SELECT * FROM joined")
 ORACLE["trend_weekly"] = sql(f"SELECT Date, {_plain_sum()} AS Total_Sales FROM wide GROUP BY ALL")
@@ -645,8 +657,8 @@ ORACLE["upsert_set"] = sql(
     UNION ALL SELECT Store, Dept, Date, NULL, 5.0 FROM test"""
 )
 ORACLE["upsert_keep_on_null"] = sql(
-    """SELECT Store, Dept, Date, IsHoliday, CASE WHEN NOT IsHoliday OR Dept >= 3
-        THEN Weekly_Sales ELSE Weekly_Sales + 1 END AS Weekly_Sales FROM train
+    """SELECT Store, Dept, Date, IsHoliday,
+        CASE WHEN IsHoliday THEN Weekly_Sales + 1 ELSE Weekly_Sales END AS Weekly_Sales FROM train
     UNION ALL SELECT Store, Dept, Date, NULL, 5.0 FROM test"""
 )
 ORACLE["upsert_counts"] = sql(

@@ -245,7 +245,7 @@ def report_run_job(spark, sf):
     """Cleaned zone to enriched zone: the report by type and holiday as it was written."""
     base = scratch_path(spark, "zones")
     clean.clean_zone(spark, _raw_files(spark, sf), base, promotion_start=START)
-    return rounded(preprocess.report_run(spark, base).holiday_sales, 4)
+    return preprocess.report_run(spark, base).holiday_sales
 
 
 @query
@@ -406,7 +406,7 @@ def prepare_scoring(spark, sf):
 
 @query
 def report_markdown(spark, sf):
-    return rounded(A.promotion_report(inner(spark, sf)), 4)
+    return A.promotion_report(inner(spark, sf))
 
 
 @query
@@ -431,32 +431,32 @@ def report_type_holiday_sql(spark, sf):
 
 @query
 def report_store_dept(spark, sf):
-    return rounded(A.average_by(inner(spark, sf), GROUP), 4)
+    return A.average_by(inner(spark, sf), GROUP)
 
 
 @query
 def report_type_holiday(spark, sf):
-    return rounded(A.type_holiday_report(inner(spark, sf)), 4)
+    return A.type_holiday_report(inner(spark, sf))
 
 
 @query
 def trend_weekly(spark, sf):
-    return rounded(A.trend(wide(spark, sf)), 4)
+    return A.trend(wide(spark, sf))
 
 
 @query
 def trend_monthly(spark, sf):
-    return rounded(A.trend(wide(spark, sf), ["Year", "Month"]), 4)
+    return A.trend(wide(spark, sf), ["Year", "Month"])
 
 
 @query
 def report_type(spark, sf):
-    return rounded(A.average_by_type(wide(spark, sf)), 4)
+    return A.average_by_type(wide(spark, sf))
 
 
 @query
 def report_holiday(spark, sf):
-    return rounded(A.average_by_holiday(wide(spark, sf)), 4)
+    return A.average_by_holiday(wide(spark, sf))
 
 
 def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -481,23 +481,23 @@ def table_shapes(spark, sf):
 
 @query
 def drill_store(spark, sf):
-    return rounded(A.drill_down(wide(spark, sf)), 4)
+    return A.drill_down(wide(spark, sf))
 
 
 @query
 def drill_one_store(spark, sf):
-    return rounded(A.drill_down(wide(spark, sf), where={"Store": 3}), 4)
+    return A.drill_down(wide(spark, sf), where={"Store": 3})
 
 
 @query
 def drill_store_dept(spark, sf):
     narrowed = A.drill_down(wide(spark, sf), by=["Store", "Dept"], where={"Store": 3, "Dept": 1})
-    return rounded(narrowed, 4)
+    return narrowed
 
 
 @query
 def drill_dept(spark, sf):
-    return rounded(A.drill_down(wide(spark, sf), by=["Dept"]), 4)
+    return A.drill_down(wide(spark, sf), by=["Dept"])
 
 
 @query
@@ -833,6 +833,15 @@ def _inputs(spark: SparkSession, sf: str) -> ForecastInputs:
 
 
 _RUNS: dict[tuple[str, str], str] = {}
+FULL_RUN = (
+    "model_rf",
+    "model_gbt",
+    "model_gbt_sampled",
+    "model_comparison",
+    "score_test",
+    "predicted_actual",
+    "forecast_run",
+)
 
 
 def _full_run(spark: SparkSession, sf: str) -> str:
@@ -1105,13 +1114,13 @@ def load_twice_counts(spark, sf):
 @query
 def load_summary(spark, sf):
     loads = load.load_all(spark, _raw_files(spark, sf), promotion_start=START)
-    return rounded(load.summary(loads), 4)
+    return load.summary(loads)
 
 
 @query
 def load_preprocessed_summary(spark, sf):
     zones = preprocess.preprocess(spark, _raw_files(spark, sf), scratch_path(spark, "zones"), START)
-    return rounded(load.summary(load.load_all(spark, zones.preprocessed(), preprocessed=True)), 4)
+    return load.summary(load.load_all(spark, zones.preprocessed(), preprocessed=True))
 
 
 @query
