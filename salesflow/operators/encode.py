@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_LABELS = 10_000
+
+
 def fit_index(df: DataFrame, column: str, order: str = "alphabetAsc") -> StringIndexerModel:
     """Learn the categories: ``alphabetAsc``, or ``frequencyDesc`` with ties by name.
 
     The categories are held on the driver, so the column has to be an
-    enumeration, as store types are by contract.
+    enumeration, as store types are by contract: more than ``MOST_LABELS`` are refused.
     """
+    found = df.select(column).distinct().limit(MOST_LABELS + 1).count()
+    if found > MOST_LABELS:
+        raise ValueError(f"{column} has more than {MOST_LABELS} categories")
     return StringIndexer(
         inputCol=column,
         outputCol="_index",

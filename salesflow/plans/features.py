@@ -51,13 +51,15 @@ def forecast_features(
     target: str = "Weekly_Sales",
     minimum: float = MIN_TARGET_CORRELATION,
     redundancy: float = MAX_INTER_CORRELATION,
+    types: DataFrame | None = None,
 ) -> ForecastFeatures:
     """Calendar, Type and IsHoliday as numbers, then the columns the correlations choose.
 
     Correlations see the values before nulls become 0. Test rows get the same
-    columns; one they lack is 0.
+    columns; one they lack is 0. ``types`` is a small table to learn the store types from,
+    such as the stores; without it they are learned from the training rows.
     """
-    model = fit_index(train, "Type")
+    model = fit_index(train if types is None else types, "Type")
 
     def numbers(df: DataFrame) -> DataFrame:
         return resolve_clash(

@@ -43,7 +43,7 @@ def run(
     """
     merged = inputs.merged.persist(StorageLevel.MEMORY_AND_DISK)
     test_rows = scoring_input(inputs.test, inputs.features, inputs.stores)
-    made = forecast_features(merged, test_rows)
+    made = forecast_features(merged, test_rows, types=inputs.stores)
     train, holdout = split(features_and_target(made.train, made.columns, keep=KEY), key=KEY)
     models, comparison = M.compare(
         M.assemble(train, made.columns), M.assemble(holdout, made.columns), learners

@@ -73,7 +73,8 @@ def inner(spark: SparkSession, sf: str) -> DataFrame:
 
 def numeric(spark: SparkSession, sf: str) -> DataFrame:
     """The wide table with everything as numbers, nulls kept: what the correlations see."""
-    made = E.encode(add_calendar(wide(spark, sf), extended=True))
+    dated = add_calendar(wide(spark, sf), extended=True)
+    made = E.encode(dated, fitted_on=fixtures.stores(spark, sf))
     return C.resolve_clash(made)
 
 
@@ -664,7 +665,7 @@ def forecast_features(spark, sf):
     test = J.scoring_input(
         fixtures.test(spark, sf), cleaned(spark, sf), fixtures.stores(spark, sf)
     )
-    made = features.forecast_features(wide(spark, sf), test)
+    made = features.forecast_features(wide(spark, sf), test, types=fixtures.stores(spark, sf))
     long = [
         part.select(*KEY, *[F.col(c).cast("double").alias(f"value of {c}") for c in made.columns])
         .unpivot(KEY, [f"value of {c}" for c in made.columns], "feature", "value")
