@@ -65,8 +65,11 @@ def bands_for(
     return best
 
 
-def ngram_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(n-gram hashes of a batch, bounds per text, hash of each text's word sequence)."""
+def ngram_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(n-gram hashes of a batch, bounds per text, two hashes of each text's word sequence).
+
+    Two, because texts with equal sequences become one: 128 bits tell any number apart.
+    """
     words, bounds = word_hashes(column)
     counts = np.diff(bounds)
     grams = np.zeros(max(len(words) - n + 1, 0), np.uint64)
@@ -77,10 +80,11 @@ def ngram_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.nda
     # Position within the text, so that the sequence's hash is the same wherever it lies.
     place -= np.repeat(bounds[:-1], counts).astype(np.uint64)
     placed = mix(words + place * np.uint64(0x9E3779B97F4A7C15))
-    wholes = np.zeros(len(counts), np.uint64)
+    wholes, others = np.zeros((2, len(counts)), np.uint64)
     filled = np.flatnonzero(counts)
     if len(filled):
         wholes[filled] = np.add.reduceat(placed, bounds[:-1][filled])
+        others[filled] = np.add.reduceat(mix(placed * _PLACES[0] + _PLACES[2]), bounds[:-1][filled])
     wholes = mix(wholes + counts.astype(np.uint64))
     sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     ends = np.cumsum(sizes)
@@ -93,20 +97,20 @@ def ngram_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.nda
         out[where] = grams[where + take]
     short = (counts > 0) & ~long
     out[starts[short]] = wholes[short]
-    return out, np.append(starts, ends[-1:] if len(ends) else 0), wholes
+    return out, np.append(starts, ends[-1:] if len(ends) else 0), wholes, others
 
 
 def signatures(
     df: DataFrame, id: str, text: str, n: int = NGRAM, bands: int = 24, rows: int = 5
 ) -> DataFrame:
-    """(id, whole, bands, bytes): hash of the word sequence (0 without words) and band hashes."""
+    """(id, whole, other, bands, bytes): hashes of the word sequence (0 without words) and of the bands."""
     kind = dict(df.dtypes)[id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), 64):
                 part = batch.slice(lo, 64)
-                grams, bounds, wholes = ngram_sets(part.column(1), n)
+                grams, bounds, wholes, others = ngram_sets(part.column(1), n)
                 filled = np.flatnonzero(np.diff(bounds))
                 out = np.zeros((len(part), bands), np.uint64)
                 if len(filled):
@@ -124,12 +128,18 @@ def signatures(
                     np.arange(0, out.size + 1, bands, dtype=np.int32), out.view(np.int64).ravel()
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(wholes.view(np.int64)), lists, pa.array(8 * np.diff(bounds))],
-                    ["id", "whole", "bands", "bytes"],
+                    [
+                        part.column(0),
+                        pa.array(wholes.view(np.int64)),
+                        pa.array(others.view(np.int64)),
+                        lists,
+                        pa.array(8 * np.diff(bounds)),
+                    ],
+                    ["id", "whole", "other", "bands", "bytes"],
                 )
 
     return df.select(F.col(id), F.lower(text)).mapInArrow(
-        run, f"id {kind}, whole bigint, bands array<bigint>, bytes bigint"
+        run, f"id {kind}, whole bigint, other bigint, bands array<bigint>, bytes bigint"
     )
 
 
@@ -190,10 +200,15 @@ def join(
     )
     classes = cut(
         signed.where(F.col("whole").isNotNull())
-        .groupBy("whole")
-        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
+        .groupBy("whole", "other")
+        .agg(
+            F.min("id").alias("rep"),
+            F.count(F.lit(1)).alias("copies"),
+            F.first("bands").alias("bands"),
+            F.first("bytes").alias("bytes"),
+        )
     )
-    light = classes.select(F.col("rep").alias("id"), "whole", "copies")
+    light = classes.select(F.col("rep").alias("id"), "whole", "other", "copies")
     groups = pivots(
         classes.select(F.col("rep").alias("id"), F.explode("bands").alias("cell"), "bytes"),
         BLOCK_ROWS,
@@ -206,7 +221,7 @@ def join(
         for batch in batches:
             for lo in range(0, len(batch), 64):
                 part = batch.slice(lo, 64)
-                grams, bounds, wholes = ngram_sets(part.column("text"), n)
+                grams, bounds, wholes, _ = ngram_sets(part.column("text"), n)
                 # A repeated id may come with other texts than the class's own.
                 same = wholes.view(np.int64) == part.column("whole").to_numpy()
                 payload = [
@@ -231,12 +246,13 @@ def join(
         .join(roots, "id", "left")
         .select(
             "whole",
+            "other",
             F.coalesce("root", "id").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.col("copies").alias("n_copies"),
         )
     )
-    return signed.select("id", "whole").join(named, "whole", "left").select(
+    return signed.select("id", "whole", "other").join(named, ["whole", "other"], "left").select(
         F.col("id").alias(id),
         F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

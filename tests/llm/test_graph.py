@@ -1,7 +1,5 @@
 import random
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from salesflow.llm.graph import components
