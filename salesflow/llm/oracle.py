@@ -102,4 +102,48 @@ FROM judged j LEFT JOIN scores s ON j.host = s.host
 """
 
 
-ORACLE = {"op8_url_filters": _urls(), "op2_mix_sources": _mix(), "op6_warc": WARC}
+# Every pair of texts that shares an n-gram, compared on whole sets.
+NEAR_TEXTS = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END) AS g
+  FROM words WHERE doc_id IS NOT NULL),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM documents WHERE doc_id IS NOT NULL
+  UNION SELECT id, b FROM reach JOIN links ON r = a),
+copies AS (SELECT w, count(*) AS n FROM words WHERE len(w) > 0 AND doc_id IS NOT NULL GROUP BY w)
+SELECT d.doc_id, (SELECT min(r) FROM reach WHERE id = d.doc_id) AS class_id,
+  (SELECT count(*) FROM links WHERE a = d.doc_id) AS n_links,
+  CAST(coalesce(c.n, 1) AS BIGINT) AS n_copies
+FROM words d LEFT JOIN copies c ON d.w = c.w WHERE d.doc_id IS NOT NULL
+"""
+
+# Every pair of vectors, compared.
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS MATERIALIZED (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(e, e) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95 ELSE false END),
+reach AS (SELECT vec_id AS id, vec_id AS r FROM v UNION SELECT id, b FROM reach JOIN links ON r = a),
+named AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id,
+  vec_id = component_id AS kept
+FROM v JOIN named ON id = vec_id
+"""
+
+
+ORACLE = {
+    "op2_mix_sources": _mix(),
+    "op5_ngram_join": NEAR_TEXTS,
+    "op6_warc": WARC,
+    "op8_url_filters": _urls(),
+    "op10_lattice_dedup": NEAR_VECTORS,
+}
