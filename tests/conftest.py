@@ -10,7 +10,7 @@ from salesflow.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
@@ -18,6 +18,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
