@@ -50,23 +50,22 @@ class ByteBpe:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         chars = {chr(b): b for b in plain}
         chars |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {
             bytes(chars[c] for c in token): rank
             for token, rank in spec["model"]["vocab"].items()
-            if token not in self.special
+            if token not in special
         }
         self.encoding = tiktoken.Encoding(
             "file",
             pat_str=public_tokenizers.PATTERN,
             mergeable_ranks=ranks,
-            special_tokens=self.special,
+            special_tokens=special,
         )
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.array(self.encoding.encode(text, allowed_special="all"), np.uint32)
-        return np.array(self.encoding.encode_ordinary(text), np.uint32)
+        """Ids as the tokenizers library gives them; special tokens' strings are those tokens."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 def byte_bpe(path: str) -> ByteBpe:
