@@ -17,6 +17,7 @@ has rate 0. An empty table gives no rows. Extra columns pass through ``copies``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,11 +94,9 @@ def mixed(
     of these four names stays under it and the operator's goes to ``_mix_<name>``.
     """
     columns = list(df.columns if keep is None else keep)
-    light = cut(
-        df.select(
-            F.col(source).alias("of"), F.col(id).alias("id"), words(F.col(text)).alias("size")
-        )
-    )
+    light = df.select(
+        F.col(source).alias("of"), F.col(id).alias("id"), words(F.col(text)).alias("size")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = light.groupBy(F.col("of").alias("source")).agg(F.sum("size").alias("source_size"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(
         F.lit(0.0)
@@ -137,6 +136,8 @@ def mixed(
         F.col("rate").alias(f"{_OWN}rate"),
         nearest.alias(f"{_OWN}seed"),
     )
+    plan = cut(plan)
+    light.unpersist()
     plan = F.broadcast(plan) if small else plan
     rows = df.select(
         *[F.col(c) for c in columns],
