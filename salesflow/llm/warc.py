@@ -190,7 +190,12 @@ def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     while (head := stream.until(b"\r\n\r\n")) is not None:
         lines = head.decode("utf-8", "replace").strip().split("\r\n")
         pairs = [line.partition(":") for line in lines[1:]]
-        headers = {a.strip().lower(): c.strip() for a, _, c in pairs}
+        headers: dict[str, str] = {}
+        for a, _, c in pairs:
+            name, value = a.strip().lower(), c.strip()
+            # The one header that may be repeated; identifiers hold no spaces.
+            again = name == "warc-concurrent-to" and name in headers
+            headers[name] = f"{headers[name]} {value}" if again else value
         size = int(headers["content-length"])
         block = stream.take(size)
         if len(block) < size:
@@ -202,6 +207,7 @@ def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """All records of a folder of archives; size and hash are those of the payload as stored.
 
+    ``concurrent_to`` holds all identifiers a record names, with spaces between them;
     ``fields`` is the block of metadata records. With ``payloads`` the payload comes along.
     """
     schema = FIELDS + (", payload binary" if payloads else "")
@@ -253,9 +259,11 @@ def assemble(records: DataFrame) -> DataFrame:
     metadata without a capture make a row with a null capture. Only headers are grouped,
     never payloads.
     """
-    links = records.where(F.col("concurrent_to").isNotNull()).select("record_id", "concurrent_to")
+    named = records.where(F.col("concurrent_to").isNotNull())
+    links = named.select("record_id", F.explode(F.split("concurrent_to", " ")).alias("concurrent_to"))
     ahead = links.select(F.col("record_id").alias("concurrent_to"))
-    if links.join(ahead, "concurrent_to", "left_semi").isEmpty():
+    several = named.where(F.col("concurrent_to").contains(" "))
+    if several.isEmpty() and links.join(ahead, "concurrent_to", "left_semi").isEmpty():
         keyed = records.withColumn("transaction", F.coalesce("concurrent_to", "record_id"))
     else:
         roots = components(links, "record_id", "concurrent_to").withColumnRenamed("id", "record_id")

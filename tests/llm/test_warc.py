@@ -77,3 +77,15 @@ def test_chains_of_concurrent_records(spark):
         for r in out
     }
     assert found == {"r1": (["q1"], ["m1"]), "r3": ([], []), None: (["q2"], [])}
+
+
+def test_record_naming_two_others(spark):
+    head = "WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Concurrent-To: <r>\r\nWARC-Concurrent-To: <q>\r\nContent-Length: 0\r\n\r\n"
+    [(headers, _)] = warc.parse(head.encode() + b"\r\n\r\n")
+    assert headers["warc-concurrent-to"] == "<r> <q>"
+    names = [f.split()[0] for f in warc.FIELDS.split(", ")]
+    given = [("response", "<r>", None), ("request", "<q>", None), ("metadata", "<m>", headers["warc-concurrent-to"])]
+    rows = [tuple({"type": k, "record_id": n, "concurrent_to": to}.get(f) for f in names) for k, n, to in given]
+    [row] = warc.assemble(spark.createDataFrame(rows, warc.FIELDS)).collect()
+    assert row.capture.record_id == "<r>"
+    assert ([x.record_id for x in row.requests], [x.record_id for x in row.metadata]) == (["<q>"], ["<m>"])
