@@ -140,10 +140,85 @@ FROM v JOIN named ON id = vec_id
 """
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a short ASCII text, bit by bit."""
+    bit = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {bit}), 4294967295)"
+
+
+def _repair() -> str:
+    """Conversations from their last row to the first; each state keeps (cost, audit, lines)."""
+    after = [2, 2, 3, 2]
+    empty = {2: "'user:'", 3: "'assistant:'"}
+    said = {2: "'user:' || text", 3: "'assistant:' || text"}
+
+    def option(cost: str, letters: str, lines: str, of: str) -> str:
+        return f"struct_pack(c := {cost} + {of}.c, a := '{letters}' || {of}.a, l := list_concat([{lines}]::VARCHAR[], {of}.l))"
+
+    def least(options: list[str]) -> str:
+        return f"list_min(list_filter([{', '.join(options)}], lambda o: o IS NOT NULL))"
+
+    legal = [{"u": 2, "s": 1}, {"u": 2}, {"a": 3}, {"u": 2}]
+    rows, closed = [], []
+    for x in range(4):
+        keep = " ".join(f"WHEN initial = '{k}' THEN {option('extra', 'K', 'line', f't{y}')}" for k, y in legal[x].items())
+        rerole = option("3 + extra", "R", said[after[x]], f"t{after[x]}")
+        options = [option("4", "D", "", f"t{x}"), f"CASE WHEN forced THEN NULL {keep} END", f"CASE WHEN NOT forced THEN {rerole} END"]
+        rows.append(f"{least(options)} AS r{x}")
+        options, y, lines = [f"r{x}"], x, []
+        for j in range(1, 4):
+            y = after[y]
+            lines.append(empty[y])
+            options.append(option(str(3 * j), "I" * j, ", ".join(lines), f"r{y}"))
+        closed.append(f"{least(options)} AS t{x}")
+    ends = [(0, "", ""), (6, "II", "'user:', 'assistant:'"), (3, "I", "'assistant:'"), (0, "", "")]
+    first = ", ".join(f"struct_pack(c := {c}::BIGINT, a := '{a}', l := [{line}]::VARCHAR[]) AS t{x}" for x, (c, a, line) in enumerate(ends))
+    tail = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    hit = _crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")
+    return f"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {hit} % 20 AS hit FROM conversations),
+kept AS (SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE hit WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE hit <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    rtrim(text, {tail}) AS body FROM kept),
+faults AS MATERIALIZED (SELECT *, role[1:1] AS initial, role || ':' || text AS line,
+    CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counts AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, n + 1 AS i, {first} FROM counts
+  UNION ALL
+  SELECT conv_id, i, {", ".join(closed)} FROM (
+    SELECT conv_id, i, {", ".join(rows)} FROM (
+      SELECT f.conv_id, f.i, t0, t1, t2, t3, initial, line, text, fault IN ('blank', 'duplicate') AS forced,
+        CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra
+      FROM steps s JOIN faults f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i - 1))),
+best AS (SELECT conv_id, t0 FROM steps WHERE i = 1)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(t0.c, 0) AS BIGINT) AS cost,
+  coalesce(t0.a, '') AS audit, sha256(coalesce(array_to_string(t0.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+  LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
 ORACLE = {
     "op2_mix_sources": _mix(),
     "op5_ngram_join": NEAR_TEXTS,
     "op6_warc": WARC,
     "op8_url_filters": _urls(),
     "op10_lattice_dedup": NEAR_VECTORS,
+    "op11_conversation_repair": _repair(),
 }

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, url_filters, warc
+from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, repair, url_filters, warc
 
 
 def reachable(spark: SparkSession) -> None:
@@ -114,6 +114,25 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = read(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(said))
+    hashes = repair.digests(found.rows, "conv_id").withColumnRenamed("key", "_key")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    done = found.conversations.withColumnRenamed("conv_id", "_id")
+    ids = said.select("conv_id").distinct()
+    return (
+        ids.join(done, F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+        .join(hashes, repair.key("conv_id") == F.col("_key"), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
@@ -125,4 +144,5 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_bit_packing": op9_bit_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
 }
