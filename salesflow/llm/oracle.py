@@ -214,6 +214,33 @@ FROM (SELECT DISTINCT conv_id FROM conversations) d
 """
 
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k AS words, array_to_string(w[s:s + k - 1], ' ') AS phrase
+  FROM w, range(1, 5) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(s)),
+f AS MATERIALIZED (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE words > 1),
+cuts AS (SELECT lang, words, phrase, a, k, array_to_string(p[1:k], ' ') AS p1, array_to_string(p[k + 1:], ' ') AS p2
+  FROM c, unnest(range(1, words)) AS t(k)),
+scores AS (SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+    CAST((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = p1 JOIN f y ON y.lang = c.lang AND y.phrase = p2),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, array_to_string(p[s:s + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM c, unnest(range(2, words)) AS t(k), unnest(range(1, words - k + 2)) AS u(s) GROUP BY ALL),
+kept AS (SELECT l.* FROM lowest l LEFT JOIN inner_parts i ON i.lang = l.lang AND i.phrase = l.phrase
+  WHERE coalesce(100 * i.longer::HUGEINT < 80 * l.a::HUGEINT, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a, l, r.r AS r, n, score FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE rank <= 2000
+"""
+
+
 ORACLE = {
     "op2_mix_sources": _mix(),
     "op5_ngram_join": NEAR_TEXTS,
@@ -221,4 +248,5 @@ ORACLE = {
     "op8_url_filters": _urls(),
     "op10_lattice_dedup": NEAR_VECTORS,
     "op11_conversation_repair": _repair(),
+    "op13_collocations": PHRASES,
 }

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, repair, url_filters, warc
+from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, phrases, repair, url_filters, warc
 
 
 def reachable(spark: SparkSession) -> None:
@@ -133,6 +133,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
@@ -145,4 +149,5 @@ QUERIES = {
     "op9_bit_packing": op9_bit_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_collocations": op13_collocations,
 }

@@ -59,6 +59,32 @@ def _blocks(data: np.ndarray, lo: int, hi: int):
         lo = end
 
 
+def gathered(batches, column: str, size: int):
+    """Batches put together until ``column`` has about ``size`` bytes; a longer text stands alone.
+
+    Its rows come as one batch with large strings.
+    """
+    held, so_far = [], 0
+    for batch in batches:
+        for lo in range(0, len(batch), 256):
+            part = batch.slice(lo, 256)
+            held.append(part)
+            so_far += pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if so_far >= size:
+                yield _together(held, column)
+                held, so_far = [], 0
+    if held:
+        yield _together(held, column)
+
+
+def _together(parts: list[pa.RecordBatch], column: str) -> pa.RecordBatch:
+    table = pa.Table.from_batches(parts)
+    at = table.column_names.index(column)
+    table = table.set_column(at, column, table.column(at).cast(pa.large_string())).combine_chunks()
+    arrays = [pa.concat_arrays(c.chunks) for c in table.columns]
+    return pa.RecordBatch.from_arrays(arrays, table.column_names)
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a batch in order, and the bounds of each text's words."""
     data, bounds = buffers(column)
