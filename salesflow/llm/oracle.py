@@ -214,6 +214,20 @@ FROM (SELECT DISTINCT conv_id FROM conversations) d
 """
 
 
+# Every window of 35 words, spelled out and counted.
+REPEATS = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, s, array_to_string(w[s:s + 34], ' ') AS g FROM d, unnest(range(1, len(w) - 33)) AS t(s)),
+again AS (SELECT r, s FROM windows QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM again),
+one AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+kept AS (SELECT o.r, string_agg(o.word, ' ' ORDER BY o.p) AS text, count(*) AS n
+  FROM one o ANTI JOIN gone g ON g.r = o.r AND g.p = o.p GROUP BY o.r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON k.r = d.r
+"""
+
 PHRASES = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -248,5 +262,6 @@ ORACLE = {
     "op8_url_filters": _urls(),
     "op10_lattice_dedup": NEAR_VECTORS,
     "op11_conversation_repair": _repair(),
+    "op12_substring_dedup": REPEATS,
     "op13_collocations": PHRASES,
 }

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, phrases, repair, url_filters, warc
+from salesflow.llm import bit_packing, fingerprints, language_id, lattice, log_bilinear, mixing, ngram_join, packing, phrases, repair, substring, url_filters, warc
 
 
 def reachable(spark: SparkSession) -> None:
@@ -133,6 +133,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
@@ -149,5 +154,6 @@ QUERIES = {
     "op9_bit_packing": op9_bit_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_collocations": op13_collocations,
 }

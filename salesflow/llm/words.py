@@ -92,6 +92,12 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, ends
 
 
+def word_hashes_exact(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same with A-Z unlike a-z."""
+    hashes, _, _, ends = spelled(*buffers(column))
+    return hashes, ends
+
+
 def spelled(
     data: np.ndarray, bounds: np.ndarray, values: np.ndarray = _BYTE
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
