@@ -1,7 +1,9 @@
 """Bitmaps of 64-bit hashes: what is not in one was never put there.
 
-A bitmap has a fixed size, whatever was put in, so it may be broadcast. Hashes that share a
-bit are taken for each other: a reader that needs certainty checks the rows it lets through.
+A bitmap is broadcast, so its size is bounded: 2**``MOST_BITS`` bits (64 MB), and as much
+smaller as its hashes allow. Where so many are put in that it would hold little back there is
+none, and readers go on without. Hashes that share a bit are taken for each other: a reader
+that needs certainty checks the rows it lets through, so results never depend on it.
 """
 
 from __future__ import annotations
@@ -11,34 +13,46 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 26
+MOST_BITS = 29
+#: Bits for each hash, if that many fit; and the share of bits set that is too much.
+BITS_EACH = 16
+FULL = 0.25
 
 
 class Bitmap:
-    def __init__(self, words: np.ndarray, bits: int):
-        self.words, self.bits = words, bits
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.mask = np.uint64(64 * len(words) - 1)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         """Whether each hash may have been put in."""
-        place = hashes >> np.uint64(64 - self.bits)
+        place = hashes & self.mask
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
-def bitmap(hashes: DataFrame, column: str | Column, bits: int = BITS) -> Broadcast:
-    """A broadcast Bitmap of a column of hashes: 2**bits bits (8 MB by default).
+def bitmap(hashes: DataFrame, column: str | Column, bits: int = MOST_BITS) -> Broadcast | None:
+    """A broadcast Bitmap of a column of hashes, or None where there are too many.
 
-    The bits are put together in Spark; the driver reads at most 2**(bits - 6) rows.
+    The bits are put together in Spark; the driver reads at most 2**(bits - 6) rows of 12 bytes.
     """
     hash = F.col(column) if isinstance(column, str) else column
-    place = F.shiftrightunsigned(hash, 64 - bits)
-    bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    place = hash.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
     words = (
         hashes.select(place.alias("_place"))
-        .select(F.shiftright("_place", 6).cast("int").alias("word"), bit.alias("bit"))
+        .select(F.shiftright("_place", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(_place & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
     )
     full = np.zeros(1 << (bits - 6), np.uint64)
     full[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return hashes.sparkSession.sparkContext.broadcast(Bitmap(full, bits))
+    if np.bitwise_count(full).sum() > FULL * (1 << bits):
+        return None
+    while len(full) > 1 and BITS_EACH * np.bitwise_count(full).sum() < 32 * len(full):
+        full = full[: len(full) // 2] | full[len(full) // 2 :]
+    return hashes.sparkSession.sparkContext.broadcast(Bitmap(full))
+
+
+def maybe(filter: Broadcast | None, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash may be in the bitmap; without one, all may."""
+    return np.ones(len(hashes), bool) if filter is None else filter.value.has(hashes)

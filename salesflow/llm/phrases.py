@@ -12,7 +12,7 @@ all of it has a shard with at least ceil(support / SHARDS), so each shard is min
 at that support, in many tasks, and the phrases frequent in any shard are the candidates: those
 are counted over all shards, and those below the support go. Words come first, then pairs, then
 longer phrases, whose pairs all have to be frequent. What a task may skip it knows from bitmaps
-of a fixed size; they let some others through, which the count by the words themselves removes.
+of bounded size; they let some others through, which the count by the words themselves removes.
 Tasks count whole texts in blocks of ``BLOCK_BYTES`` (a longer text is a block of its own), so
 frequent phrases are added up before any shuffle.
 
@@ -33,15 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.llm import words
-from salesflow.llm.filters import bitmap
+from salesflow.llm.filters import bitmap, maybe
 from salesflow.session import cut
 
 SUPPORT = 30
 LONGEST = 4
-SHARDS = 10
+SHARDS = 3
 TOP = 2000
-#: About two million words.
-BLOCK_BYTES = 12_000_000
+#: About 700,000 words.
+BLOCK_BYTES = 4_000_000
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -64,7 +64,7 @@ class Block:
         seeds = np.array([xxhash.xxh64_intdigest(n.encode()) for n in self.names], np.uint64)
         self.lang = np.repeat(names.indices.to_numpy(), np.diff(ends))
         self.words = words.mix(hashes ^ seeds[self.lang]) if len(hashes) else hashes
-        seen = np.cumsum(breaks)[self.first] if len(hashes) else np.zeros(0, np.int64)
+        seen = np.cumsum(breaks, dtype=np.int32)[self.first] if len(hashes) else np.zeros(0, np.int64)
         new = np.ones(len(hashes), bool)
         new[1:] = seen[1:] != seen[:-1]
         new[ends[:-1][np.diff(ends) > 0]] = True
@@ -126,11 +126,21 @@ def _local(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> DataFr
 
 
 def _spelled(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> DataFrame:
-    """(lang, words, phrase, hash, n): the same with the phrases themselves."""
+    """(lang, words, phrase, hash, n): the same with the phrases themselves.
+
+    With single words come rows of 0 words: how many words a language has in all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lang", "words", "phrase", "hash", "n"]
         for block in _blocks(batches):
-            names = pa.array(block.names, pa.string())
+            langs = pa.array(block.names, pa.string())
+            if 1 in lengths:
+                all_words = np.bincount(block.lang, minlength=len(langs))
+                nothing = np.zeros(len(langs), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [langs, pa.array(nothing.astype(np.int32)), pa.array([""] * len(langs)), pa.array(nothing), pa.array(all_words)], names
+                )
             for n in lengths:
                 at, hashes = block.grams(n)
                 chosen = passes(block, at, hashes, n)
@@ -138,16 +148,14 @@ def _spelled(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> Data
                 first = at[chosen][where]
                 for lo in range(0, len(found), 1 << 15):
                     part = slice(lo, lo + (1 << 15))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            names.take(pa.array(block.lang[first[part]])),
-                            pa.array(np.full(len(found[part]), n, np.int32)),
-                            pa.array(block.spell(first[part], n), pa.binary()).cast(pa.string()),
-                            pa.array(found[part].view(np.int64)),
-                            pa.array(counts[part]),
-                        ],
-                        ["lang", "words", "phrase", "hash", "n"],
-                    )
+                    columns = [
+                        langs.take(pa.array(block.lang[first[part]])),
+                        pa.array(np.full(len(found[part]), n, np.int32)),
+                        pa.array(block.spell(first[part], n), pa.binary()).cast(pa.string()),
+                        pa.array(found[part].view(np.int64)),
+                        pa.array(counts[part]),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, "lang string, words int, phrase string, hash bigint, n bigint")
 
@@ -165,22 +173,22 @@ def _mined(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser, support:
 
     def candidates(block: Block, at: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
         chosen = passes(block, at, hashes, n)
-        return chosen[frequent.value.has(hashes[chosen])]
+        return chosen[maybe(frequent, hashes[chosen])]
 
-    return cut(_counted(_spelled(docs, lengths, candidates)).where(F.col("f") >= support))
+    return cut(_counted(_spelled(docs, lengths, candidates)).where((F.col("f") >= support) | (F.col("words") == 0)))
 
 
 def _everything(block: Block, at: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.arange(len(at))
 
 
-def _of_frequent(parts: Broadcast, size: int) -> Chooser:
+def _of_frequent(parts: Broadcast | None, size: int) -> Chooser:
     """Chooses phrases all of whose neighbouring ``size`` words may be frequent."""
 
     def passes(block: Block, at: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
         good = np.zeros(len(block.words) + 1, bool)
         starts, parts_of = block.grams(size)
-        good[starts] = parts.value.has(parts_of)
+        good[starts] = maybe(parts, parts_of)
         keep = np.ones(len(at), bool)
         for k in range(n - size + 1):
             keep &= good[at + k]
@@ -194,9 +202,9 @@ def frequent(
 ) -> tuple[DataFrame, DataFrame]:
     """((lang, words, phrase, f) with f >= support, (lang, n) of all words)."""
     docs = _rows(df, text, lang)
-    single = cut(_counted(_spelled(docs, (1,), _everything)))
-    sizes = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    levels = [single.where(F.col("f") >= support)]
+    single = _mined(docs, (1,), _everything, support)
+    sizes = single.where(F.col("words") == 0).select("lang", F.col("f").alias("n"))
+    levels = [single.where(F.col("words") == 1)]
     if longest > 1:
         levels.append(_mined(docs, (2,), _of_frequent(bitmap(levels[0], "hash"), 1), support))
     if longest > 2:
