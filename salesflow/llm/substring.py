@@ -6,7 +6,7 @@ else, in the same text too, is removed; windows are judged on the input.
 
 How: each window has an anchor, the shorter run of words in it with the least hash (the first of
 equal ones), so equal windows have equal anchors. Neighbouring windows with one anchor are a
-passage. Anchors met once are passed over, by a bitmap of a fixed size that may let others
+passage. Anchors met once are passed over, by a bitmap of bounded size that may let others
 through. Equal passages are counted, and of each one copy is fetched: these are the reference.
 It is dealt into shards of about ``SHARD_WORDS`` words, the passages of an anchor together.
 A task builds the suffix automaton of a shard, with the places each of its states ends at, and
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm import words
-from salesflow.llm.filters import bitmap
+from salesflow.llm.filters import bitmap, maybe
 from salesflow.session import cut
 
 LENGTH = 35
@@ -49,6 +49,7 @@ _SEGMENT = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_STEP = 0x9E3779B1
 _OWN = "_cut_"
 
 
@@ -110,8 +111,8 @@ class Passages:
         return np.concatenate(starts), np.concatenate(anchors)
 
     def places(self, texts: np.ndarray) -> np.ndarray:
-        """A hash of each passage's text and start, from hashes of the texts."""
-        return words.mix(texts.view(np.uint64)[self.text] + words.mix(self.start.astype(np.uint64) + np.uint64(1)))
+        """Where each passage stands, from hashes of the texts; as _place() has it."""
+        return (texts[self.text] ^ (self.start * _STEP)).view(np.uint64)
 
 
 class Automaton:
@@ -187,24 +188,32 @@ class Automaton:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """(key, passage, weight, words) rows, sorted by key and passage, in shards that end with a key."""
-    shard, size, before = [], 0, None
+    """(key, passage, weight, words) in shards that end with a key.
+
+    Rows come sorted by key and passage: one with the weight, then those with the words, from as
+    many tasks as fetched them. Words that nobody asked for have no weight before them.
+    """
+    shard, size, asked = [], 0, None
     for batch in batches:
-        for row in zip(*[batch.column(c).to_pylist() for c in ("key", "passage", "weight", "words")], strict=True):
-            if before is not None and row[:2] == before:
-                continue  # the same passage, fetched by two tasks
-            if size >= SHARD_WORDS and row[0] != before[0]:
-                yield shard
-                shard, size = [], 0
-            before = row[:2]
-            shard.append(row)
-            size += len(row[3]) // 8
+        for key, passage, weight, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if weight is not None:
+                asked = (key, passage, weight)
+            elif asked is not None and asked[:2] == (key, passage):
+                if size >= SHARD_WORDS and key != shard[-1][0]:
+                    yield shard
+                    shard, size = [], 0
+                shard.append((*asked, raw))
+                size += len(raw) // 8
+                asked = None
     if shard:
         yield shard
 
 
-def _judged(rows: DataFrame, length: int) -> DataFrame:
-    """(key, passage, mask): bit k is set where the passage's window k stands in two places."""
+def _judged(asked: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """(key, passage, mask): bit k is set where the passage's window k stands in two places.
+
+    ``asked`` has key, passage and weight, ``contents`` key, passage and words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
@@ -214,12 +223,13 @@ def _judged(rows: DataFrame, length: int) -> DataFrame:
             for sequence, _ in sequences:
                 found = automaton.statistics(sequence)[length - 1 :]
                 masks.append(sum(1 << k for k, n in enumerate(found) if n >= length))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[k] for row in shard], pa.int64()) for k in (0, 1)] + [pa.array(masks, pa.int64())],
-                ["key", "passage", "mask"],
-            )
+            columns = [[row[0] for row in shard], [row[1] for row in shard], masks]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "passage", "mask"])
 
-    together = rows.select("key", "passage", "weight", "words").repartition("key").sortWithinPartitions("key", "passage")
+    rows = asked.select("key", "passage", "weight", F.lit(None).cast("binary").alias("words")).union(
+        contents.select("key", "passage", F.lit(None).cast("long"), "words")
+    )
+    together = rows.repartition("key").sortWithinPartitions("key", "passage", F.col("weight").asc_nulls_last())
     return together.mapInArrow(run, "key bigint, passage bigint, mask bigint")
 
 
@@ -267,7 +277,7 @@ def _by_windows(rows: DataFrame, length: int) -> DataFrame:
     )
     each = windows.groupBy("window", "other").agg(F.sum("weight").alias("weight"), F.first("words").alias("words"))
     asked = each.select(F.col("window").alias("key"), F.col("other").alias("passage"), "weight", "words")
-    again = _judged(asked, length).where(F.col("mask") != 0).select(F.col("key").alias("window"), F.col("passage").alias("other"))
+    again = _judged(asked, asked, length).where(F.col("mask") != 0).select(F.col("key").alias("window"), F.col("passage").alias("other"))
     bit = F.expr("shiftleft(1L, bit)")
     return windows.join(again, ["window", "other"]).groupBy("key", "passage").agg(F.bit_or(bit).alias("mask"))
 
@@ -283,36 +293,55 @@ def repeated(docs: DataFrame, length: int = LENGTH, most_passages: int = MOST_PA
     several = bitmap(anchors, "anchor")
 
     def candidates(found: Passages, batch: pa.RecordBatch) -> list:
-        at = np.flatnonzero(several.value.has(found.anchor))
+        at = np.flatnonzero(maybe(several, found.anchor))
         h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
         text = found.text[at]
-        columns = [h1[text], h2[text], found.start[at].astype(np.int32), found.anchor[at], found.hash[at], found.places(h1)[at]]
-        return [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
+        return [h1[text], h2[text], found.start[at].astype(np.int32), found.anchor[at].view(np.int64), found.hash[at].view(np.int64)]
 
-    places = cut(
-        _hashed(docs, length, (candidates, "h1 bigint, h2 bigint, start int, key bigint, passage bigint, place bigint"))
-    )
-    passages = places.groupBy("key", "passage").agg(F.count(F.lit(1)).alias("weight"), F.min("place").alias("place"))
+    # Made twice, from the texts: that takes less than to keep it.
+    places = _hashed(docs, length, (candidates, "h1 bigint, h2 bigint, start int, key bigint, passage bigint"))
+    copy = F.min(F.struct("h1", "h2", "start"))
+    passages = places.groupBy("key", "passage").agg(F.count(F.lit(1)).alias("weight"), copy.alias("copy"))
     totals = passages.groupBy("key").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    reference = cut(passages.join(totals.where(F.col("total") > 1), "key"))
-    copies = bitmap(reference, "place")
+    reference = cut(
+        passages.join(totals.where(F.col("total") > 1), "key").select("key", "passage", "weight", "kinds", "copy.*")
+    )
+    contents = _contents(docs, reference, length)
+    some = F.col("kinds") <= most_passages
+    masks = _judged(reference.where(some), contents, length)
+    hot = reference.where(~some)
+    if not hot.isEmpty():
+        rows = contents.join(hot.select("key", "passage", "weight"), ["key", "passage"])
+        masks = masks.unionByName(_by_windows(rows.select("key", "passage", "weight", "words"), length))
+    gone = places.join(masks.where(F.col("mask") != 0), ["key", "passage"])
+    return gone.groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "mask")).alias("spans"))
+
+
+def _contents(docs: DataFrame, reference: DataFrame, length: int) -> DataFrame:
+    """(key, passage, words) of the copies named in the reference, and maybe of others.
+
+    By a bitmap of their places, or where there are too many, by a join with their texts.
+    """
+    place = F.col("h1").bitwiseXOR(F.col("start") * F.lit(_STEP).cast("long"))
+    copies = bitmap(reference, place)
+    if copies is None:
+        named = reference.groupBy("h1", "h2").agg(F.collect_set("start").alias("starts"))
+        docs = docs.join(named, ["h1", "h2"])
 
     def contents(found: Passages, batch: pa.RecordBatch) -> list:
-        h1 = batch.column("h1").to_numpy()
-        at = np.flatnonzero(copies.value.has(found.places(h1)))
+        if copies is None:
+            lists = batch.column("starts")
+            of = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
+            wanted = (of << 32) + lists.flatten().to_numpy()
+            at = np.flatnonzero(np.isin((found.text << 32) + found.start, wanted))
+        else:
+            at = np.flatnonzero(copies.value.has(found.places(batch.column("h1").to_numpy())))
         at = at[np.unique(found.hash[at], return_index=True)[1]]
         raw = found.words.tobytes()
         spans = zip((8 * found.begin[at]).tolist(), (8 * found.end[at]).tolist(), strict=True)
         return [found.anchor[at].view(np.int64), found.hash[at].view(np.int64), pa.array([raw[a:b] for a, b in spans], pa.binary())]
 
-    fetched = _hashed(docs, length, (contents, "key bigint, passage bigint, words binary"))
-    rows = fetched.join(reference.select("key", "passage", "weight", "kinds"), ["key", "passage"])
-    masks = _judged(rows.where(F.col("kinds") <= most_passages), length)
-    if not reference.where(F.col("kinds") > most_passages).isEmpty():
-        hot = rows.where(F.col("kinds") > most_passages).select("key", "passage", "weight", "words")
-        masks = masks.unionByName(_by_windows(hot, length))
-    gone = places.join(masks.where(F.col("mask") != 0), ["key", "passage"])
-    return gone.groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "mask")).alias("spans"))
+    return _hashed(docs, length, (contents, "key bigint, passage bigint, words binary"))
 
 
 def _count_anchors(found: Passages, batch: pa.RecordBatch) -> list:
