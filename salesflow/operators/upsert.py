@@ -8,11 +8,15 @@ copies the batch brings, because the reduction combines them before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators.quantiles import small_side
+from salesflow.session import cut
+
 
 def keyed(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows as they are; reading one with a null in its key fails."""
@@ -47,19 +51,66 @@ def last_per_key(
     return last.select(*key, F.struct(*values).alias("_new"))
 
 
-def _pair(
-    target: DataFrame,
-    batch: DataFrame,
-    key: Sequence[str],
-    order: Sequence[str],
-    keep_on_null: Sequence[str] = (),
-) -> tuple[DataFrame, list[str], list[str]]:
-    """Target and batch side by side per key, each packed into one struct."""
-    new = last_per_key(batch, key, order, keep_on_null)
+INSERTED = "_inserted"
+CHANGED = "_changed"
+
+
+@dataclass(frozen=True)
+class Pairs:
+    """Target and batch side by side per key, each packed into one struct; null where absent."""
+
+    rows: DataFrame
+    kept: list[str]
+    incoming: list[str]
+
+    @property
+    def names(self) -> list[str]:
+        return [*[c for c in self.rows.columns if c not in ("_old", "_new")], *self.kept, *self.incoming]
+
+
+def paired(target: DataFrame, new: DataFrame, key: Sequence[str]) -> Pairs:
+    """``new`` comes from last_per_key and is kept. The target is only ever the streamed side, so
+    a batch of few rows, which are counted, is broadcast and the target is not shuffled; of a
+    larger one both sides are. Keys to insert are the batch's without those found in the target.
+    """
+    new = small_side(new)
     incoming = new.schema["_new"].dataType.names
     kept = [c for c in target.columns if c not in key]
     old = keyed(target, key).select(*key, F.struct(*kept).alias("_old"))
-    return old.join(new, list(key), "full"), kept, incoming
+    found = target.select(*key).join(new.select(*key), list(key), "left_semi")
+    added = new.join(found, list(key), "left_anti")
+    nothing = F.lit(None).cast(old.schema["_old"].dataType).alias("_old")
+    rows = old.join(new, list(key), "left").unionByName(added.select(*key, nothing, "_new"))
+    return Pairs(rows, kept, incoming)
+
+
+def resolved(
+    pairs: Pairs, key: Sequence[str], keep_on_null: Sequence[str] = (), changes: bool = False
+) -> DataFrame:
+    """The rows after an upsert; with ``changes``, also which are inserted or really changed."""
+    arrived, there = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+
+    def value(name: str) -> Column:
+        if name not in pairs.incoming:
+            return F.col(f"_old.{name}")
+        if name not in pairs.kept:
+            return F.col(f"_new.{name}")
+        if name in keep_on_null:
+            return F.coalesce(F.col(f"_new.{name}"), F.col(f"_old.{name}"))
+        return F.when(arrived, F.col(f"_new.{name}")).otherwise(F.col(f"_old.{name}"))
+
+    names = [*pairs.kept, *[c for c in pairs.incoming if c not in pairs.kept]]
+    flags = []
+    if changes:
+        changed = F.lit(False)
+        for c in pairs.incoming:
+            if c not in pairs.kept:
+                changed = changed | F.col(f"_new.{c}").isNotNull()
+                continue
+            differs = ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+            changed = changed | (differs & F.col(f"_new.{c}").isNotNull() if c in keep_on_null else differs)
+        flags = [(arrived & ~there).alias(INSERTED), (arrived & there & changed).alias(CHANGED)]
+    return pairs.rows.select(*key, *[value(n).alias(n) for n in names], *flags)
 
 
 def upsert(
@@ -74,20 +125,8 @@ def upsert(
     Columns the batch lacks keep their value. A null in the batch is a value to
     set, except in ``keep_on_null`` columns.
     """
-    paired, kept, incoming = _pair(target, batch, key, order, keep_on_null)
-    arrived = F.col("_new").isNotNull()
-
-    def value(name: str) -> Column:
-        if name not in incoming:
-            return F.col(f"_old.{name}")
-        if name not in kept:
-            return F.col(f"_new.{name}")
-        if name in keep_on_null:
-            return F.coalesce(F.col(f"_new.{name}"), F.col(f"_old.{name}"))
-        return F.when(arrived, F.col(f"_new.{name}")).otherwise(F.col(f"_old.{name}"))
-
-    names = [*kept, *[c for c in incoming if c not in kept]]
-    return paired.select(*key, *[value(n).alias(n) for n in names])
+    pairs = paired(target, cut(last_per_key(batch, key, order, keep_on_null)), key)
+    return resolved(pairs, key, keep_on_null)
 
 
 def upsert_counts(
@@ -98,21 +137,9 @@ def upsert_counts(
     keep_on_null: Sequence[str] = (),
 ) -> DataFrame:
     """How many keys an upsert inserts and how many it really changes; one row."""
-    paired, kept, incoming = _pair(target, batch, key, order, keep_on_null)
-    shared = [c for c in kept if c in incoming]
-    changed = F.lit(False)
-    for c in shared:
-        differs = ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
-        if c in keep_on_null:
-            differs = differs & F.col(f"_new.{c}").isNotNull()
-        changed = changed | differs
-    for c in incoming:
-        if c not in kept:
-            changed = changed | F.col(f"_new.{c}").isNotNull()
-    arrived, there = F.col("_new").isNotNull(), F.col("_old").isNotNull()
-    return paired.agg(
-        F.count_if(arrived & ~there).alias("inserted"),
-        F.count_if(arrived & there & changed).alias("updated"),
+    pairs = paired(target, cut(last_per_key(batch, key, order, keep_on_null)), key)
+    return resolved(pairs, key, keep_on_null, changes=True).agg(
+        F.count_if(INSERTED).alias("inserted"), F.count_if(CHANGED).alias("updated")
     )
 
 

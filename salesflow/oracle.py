@@ -672,6 +672,15 @@ ORACLE["upsert_replace"] = sql(
 ORACLE["load_stores_job"] = sql("SELECT * FROM stores")
 ORACLE["load_features_job"] = ORACLE["markdown_zeroed"]
 ORACLE["load_sales_job"] = sql("SELECT * FROM train")
+ORACLE["stored_loads"] = sql("SELECT * FROM train")
+ORACLE["stored_load_counts"] = sql(
+    """SELECT 1 AS load, count(*) FILTER (Date < '1997-01-01') AS inserted, 0::BIGINT AS updated, 0::BIGINT AS rejected FROM train
+    UNION ALL SELECT 2, count(*) FILTER (Date >= '1997-01-01'), 0, 0 FROM train UNION ALL SELECT 3, 0, 0, 0"""
+)
+ORACLE["stored_upsert"] = sql(
+    "SELECT * REPLACE (CASE WHEN IsHoliday THEN Weekly_Sales + 1 ELSE Weekly_Sales END AS Weekly_Sales) FROM train"
+)
+ORACLE["stored_merge"] = sql("SELECT * FROM wide")
 ORACLE["load_merged_job"] = sql("SELECT * FROM wide")
 ORACLE["merge_tables_job"] = sql("SELECT * FROM wide")
 ORACLE["load_test_job"] = sql("SELECT * FROM test")

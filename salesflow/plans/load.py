@@ -24,7 +24,9 @@ from salesflow.operators.cleaning import clean_promotions, coerce
 from salesflow.operators.joins import merge_wide
 from salesflow.operators.reports import average_by, table_counts
 from salesflow.operators.upsert import replace_by_key, upsert, upsert_counts
+from salesflow.session import cut
 from salesflow.sources.readers import ORDER, scan_csv
+from salesflow.sources.stored import StoredTable
 
 _PROMOTION_DEFAULTS = dict.fromkeys(PROMOTIONS, 0.0) | dict.fromkeys(PROMOTION_FLAGS, 0)
 
@@ -54,7 +56,8 @@ def _checked(
     raw = raw.withColumns(
         {c: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(str(v))) for c, v in filled.items()}
     )
-    valid, rejected = split_valid(raw, contract)
+    # Read and parsed once, for the table, the refused rows and the counts.
+    valid, rejected = split_valid(cut(raw), contract)
     return coerce(valid, contract, defaults, keep=[ORDER]), rejected.drop(ORDER)
 
 
@@ -64,12 +67,20 @@ def _empty(spark: SparkSession, contract: Contract) -> DataFrame:
 
 def _into(
     spark: SparkSession,
-    target: DataFrame | None,
+    target: DataFrame | StoredTable | None,
     batch: DataFrame,
     rejected: DataFrame,
     contract: Contract,
     keep_on_null: tuple[str, ...] = (),
 ) -> Loaded:
+    """A stored table is changed where it lies; a frame gives the changed frame."""
+    if isinstance(target, StoredTable):
+        done = target.merge(batch, [ORDER], keep_on_null)
+        counts = spark.range(1).select(
+            F.lit(done.inserted).cast("bigint").alias("inserted"), F.lit(done.updated).cast("bigint").alias("updated")
+        )
+        refused = rejected.agg(F.count(F.lit(1))).scalar().alias("rejected")
+        return Loaded(target.read(), rejected, counts.select("*", refused))
     if target is None:
         target = _empty(spark, contract)
     refused = rejected.agg(F.count(F.lit(1))).scalar().alias("rejected")
@@ -80,14 +91,14 @@ def _into(
     )
 
 
-def load_stores(spark: SparkSession, path: str, target: DataFrame | None = None) -> Loaded:
+def load_stores(spark: SparkSession, path: str, target: DataFrame | StoredTable | None = None) -> Loaded:
     return _into(spark, target, *_checked(spark, path, STORES), STORES)
 
 
 def load_features(
     spark: SparkSession,
     path: str,
-    target: DataFrame | None = None,
+    target: DataFrame | StoredTable | None = None,
     preprocessed: bool = False,
     promotion_start: str = PROMOTION_START,
 ) -> Loaded:
@@ -101,7 +112,7 @@ def load_features(
 
 
 def load_sales(
-    spark: SparkSession, path: str, target: DataFrame | None = None, holdout: bool = False
+    spark: SparkSession, path: str, target: DataFrame | StoredTable | None = None, holdout: bool = False
 ) -> Loaded:
     """A line without a sale leaves the value already there; where there is none it is refused."""
     if holdout:
@@ -109,7 +120,8 @@ def load_sales(
     key, sale = list(TRAIN.key), "Weekly_Sales"
     optional = [replace(f, required=False, nullable=True) if f.name == sale else f for f in TRAIN.fields]
     rows, rejected = _checked(spark, path, replace(TRAIN, fields=tuple(optional)))
-    known = [df.where(F.col(sale).isNotNull()).select(*key) for df in (rows, target) if df is not None]
+    stored = target.read() if isinstance(target, StoredTable) else target
+    known = [df.where(F.col(sale).isNotNull()).select(*key) for df in (rows, stored) if df is not None]
     valued = known[0] if len(known) == 1 else known[0].union(known[1])
     bare = rows.where(F.col(sale).isNull()).join(valued, key, "left_anti")
     texts = [
@@ -123,7 +135,7 @@ def load_sales(
     return _into(spark, target, batch, rejected, TRAIN, (sale,))
 
 
-def load_merged(spark: SparkSession, path: str, target: DataFrame | None = None) -> Loaded:
+def load_merged(spark: SparkSession, path: str, target: DataFrame | StoredTable | None = None) -> Loaded:
     return _into(spark, target, *_checked(spark, path, MERGED, _PROMOTION_DEFAULTS), MERGED)
 
 
@@ -186,8 +198,11 @@ def merge_tables(
     train: DataFrame,
     features: DataFrame,
     stores: DataFrame,
-    target: DataFrame | None = None,
+    target: DataFrame | StoredTable | None = None,
 ) -> DataFrame:
     """The wide table, put into ``target`` row by row: matching keys are replaced whole."""
     wide = merge_wide(train, features, stores)
+    if isinstance(target, StoredTable):
+        target.merge(wide, whole=True)
+        return target.read()
     return wide if target is None else replace_by_key(target, wide, MERGED.key)

@@ -32,6 +32,7 @@ from salesflow.session import scratch_path
 from salesflow.sources import readers as R
 from salesflow.sources import zones as Z
 from salesflow.sources.catalog import ForecastInputs, load_tables
+from salesflow.sources.stored import StoredTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1079,6 +1080,46 @@ def load_test_job(spark, sf):
     return load.load_sales(spark, path, holdout=True).table
 
 
+def _three_loads(spark: SparkSession, sf: str) -> tuple[StoredTable, list[DataFrame]]:
+    """A stored table after the sales before 1997, all sales, and all sales again."""
+    table = StoredTable(spark, scratch_path(spark, "stored_sales"), contracts.TRAIN)
+    train = fixtures.train(spark, sf)
+    early = R.write_csv(train.where("Date < '1997-01-01'"), scratch_path(spark, "early"))
+    whole = R.write_csv(train, scratch_path(spark, "whole"))
+    return table, [load.load_sales(spark, path, table).counts for path in (early, whole, whole)]
+
+
+@query
+def stored_loads(spark, sf):
+    """A stored table after three loads, by the readers' way."""
+    return _three_loads(spark, sf)[0].read()
+
+
+@query
+def stored_load_counts(spark, sf):
+    _, counts = _three_loads(spark, sf)
+    return union([c.select(F.lit(k).alias("load"), "*") for k, c in enumerate(counts, 1)])
+
+
+@query
+def stored_upsert(spark, sf):
+    """A batch with nulls to set and rows to insert, merged into a stored table."""
+    table = StoredTable(spark, scratch_path(spark, "stored_upsert"), contracts.TRAIN)
+    table.merge(fixtures.train(spark, sf))
+    hot = fixtures.train(spark, sf).where("IsHoliday").select(*KEY, F.col("Weekly_Sales") + 1, "IsHoliday")
+    table.merge(hot.toDF(*KEY, "Weekly_Sales", "IsHoliday"))
+    return table.read()
+
+
+@query
+def stored_merge(spark, sf):
+    """The wide table merged into a stored one that has some of its rows, with other values."""
+    table = StoredTable(spark, scratch_path(spark, "stored_wide"), contracts.MERGED)
+    table.merge(wide(spark, sf).where("IsHoliday").withColumn("Weekly_Sales", F.lit(0.0)))
+    parts = (fixtures.train(spark, sf), cleaned(spark, sf), fixtures.stores(spark, sf))
+    return load.merge_tables(*parts, target=table)
+
+
 @query
 def load_rejects(spark, sf):
     """A store file with bad rows: what the load refuses, and why."""
