@@ -4,7 +4,7 @@ number of rows to split.
 Each feature's values are put into bins, by its exact quantiles or one bin for each of a few
 values. A tree grows level by level: tasks add up, for each open node, column and bin, the
 gradients, the Hessians and the rows, Spark adds those up, and only these sums leave the tasks:
-at most nodes x columns x bins rows, whatever the table. The best split of a node has the largest
+at most ``MOST_SUMS`` a pass, whatever the table. The best split of a node has the largest
 gain
 
     G_l^2 / (H_l + penalty) + G_r^2 / (H_r + penalty) - G^2 / (H + penalty)
@@ -219,14 +219,14 @@ def _sums(rows: DataFrame, model: TreeModel, edges: list[np.ndarray], open_: lis
                 used = np.flatnonzero((slot >= 0) & (weight > 0))
                 size = len(nodes) * width * spread
                 sums = totals.setdefault(number, np.zeros((3, size), np.int64))
+                slot, weight, g = slot[used], weight[used], gradient[used] * weight[used]
+                # Halves of a whole number: floating sums of each are exact.
+                parts = (g >> 20, g & 0xFFFFF, weight, None)
                 for c in range(width):
-                    cell = (slot[used] * width + c) * spread + bins[c, used]
-                    order = np.argsort(cell, kind="stable")
-                    found, first = np.unique(cell[order], return_index=True)
-                    g = gradient[used][order] * weight[used][order]
-                    sums[0, found] += np.add.reduceat(g, first) if len(first) else 0
-                    sums[1, found] += np.add.reduceat(weight[used][order], first) if len(first) else 0
-                    sums[2, found] += np.diff(first, append=len(order)) if len(first) else 0
+                    cell = slot * spread + bins[c, used]
+                    high, low, h, n = (np.bincount(cell, p, len(nodes) * spread).astype(np.int64) for p in parts)
+                    place = slice(c * len(nodes) * spread, (c + 1) * len(nodes) * spread)
+                    sums[:, place] += np.stack([(high << 20) + low, h, n])
         for number, sums in totals.items():
             cells = np.flatnonzero(sums[2])
             columns = [np.full(len(cells), number), cells, *(s[cells] for s in sums)]
@@ -239,7 +239,7 @@ def _sums(rows: DataFrame, model: TreeModel, edges: list[np.ndarray], open_: lis
         mine = added.filter(pa.compute.equal(added.column("tree"), number))
         sums = np.zeros((3, len(nodes) * width * spread))
         sums[:, mine.column("cell").to_numpy()] = [mine.column(c).to_numpy() for c in ("g", "h", "n")]
-        out.append(sums.reshape(3, len(nodes), width, spread))
+        out.append(sums.reshape(3, width, len(nodes), spread).transpose(0, 2, 1, 3))
     return out
 
 
@@ -280,17 +280,38 @@ def _best(sums: np.ndarray, columns: np.ndarray, settings: Settings) -> tuple[fl
     return float(gain[c, b]), int(columns[c]), b
 
 
+#: Sums of one pass: nodes x columns x bins. More nodes are worked through in several passes.
+MOST_SUMS = 4_000_000
+
+
+def _in_passes(
+    rows: DataFrame, model: TreeModel, edges: list[np.ndarray], waiting: list[tuple[int, int]], shapes: dict, settings: Settings
+) -> Iterator[tuple]:
+    """The open nodes of each tree with their sums, so many at a time that the sums stay bounded."""
+    each = len(edges) * max([len(e) + 1 for e in edges], default=1)
+    step = max(1, MOST_SUMS // max(each, 1))
+    for lo in range(0, len(waiting), step):
+        nodes: dict[int, dict[int, int]] = {}
+        for k, n in waiting[lo : lo + step]:
+            mine = nodes.setdefault(k, {})
+            mine[n] = len(mine)
+        asked = [(k, shapes[k], mine) for k, mine in nodes.items()]
+        yield from zip(asked, _sums(rows, model, edges, asked, settings), strict=True)
+
+
 def _grow(rows: DataFrame, model: TreeModel, edges: list[np.ndarray], numbers: Sequence[int], settings: Settings) -> list[Tree]:
     """Trees of a forest side by side, or the one next tree of a boosted model."""
     trees = {k: Tree(leaves={1: 0.0}) for k in numbers}
     open_ = {k: [1] for k in numbers}
     share = settings.rate if settings.boosted else 1.0
     for level in range(settings.depth + 1):
-        asked = [(k, _in_bins(trees[k], edges), {n: i for i, n in enumerate(nodes)}) for k, nodes in open_.items() if nodes]
-        if not asked:
+        waiting = [(k, n) for k, nodes in open_.items() for n in nodes]
+        if not waiting:
             break
-        for (k, _, nodes), sums in zip(asked, _sums(rows, model, edges, asked, settings), strict=True):
-            tree, columns, further = trees[k], _columns_of(settings, k, len(edges)), []
+        shapes = {k: _in_bins(trees[k], edges) for k in numbers}
+        open_ = {k: [] for k in numbers}
+        for (k, _, nodes), sums in _in_passes(rows, model, edges, waiting, shapes, settings):
+            tree, columns, further = trees[k], _columns_of(settings, k, len(edges)), open_[k]
             for node, i in nodes.items():
                 g, h = sums[0, i, 0].sum() / SCALE, sums[1, i, 0].sum()
                 tree.leaves[node] = -share * g / (h + settings.penalty) if h + settings.penalty > 0 else 0.0
@@ -303,14 +324,9 @@ def _grow(rows: DataFrame, model: TreeModel, edges: list[np.ndarray], numbers: S
                     del tree.leaves[node]
                     tree.leaves |= {2 * node: 0.0, 2 * node + 1: 0.0}
                     further += [2 * node, 2 * node + 1]
-            open_[k] = further
     return list(trees.values())
 
 
-#: Sums that one pass may have: nodes x columns x bins of the trees that grow together.
-MOST_SUMS = 4_000_000
-
-
 def fit(df: DataFrame, features: Sequence[str], label: str, settings: Settings = SECOND_ORDER) -> TreeModel:
     """Learn from the rows of ``df``; boosting adds tree to tree, a forest grows trees together."""
     edges = thresholds(df.select(*[_number(c).alias(c) for c in features]), features, settings.bins)
@@ -327,11 +343,7 @@ def fit(df: DataFrame, features: Sequence[str], label: str, settings: Settings =
             for k in range(settings.trees):
                 model.trees += _grow(rows, model, edges, [k], settings)
         else:
-            cells = sum(len(e) + 1 for e in edges)
-            nodes = min(2**settings.depth, max(1, total["n"] // max(settings.split_rows, 1)))
-            together = max(1, MOST_SUMS // max(1, nodes * cells))
-            for lo in range(0, settings.trees, together):
-                model.trees += _grow(rows, model, edges, range(lo, min(lo + together, settings.trees)), settings)
+            model.trees += _grow(rows, model, edges, range(settings.trees), settings)
         return model
     finally:
         rows.unpersist()

@@ -768,14 +768,6 @@ ORACLE["forecast_features"] = sql(
     recursive=True,
 )
 _MARKED = {"marked_rows": f"SELECT *, {_HOLDOUT} AS is_test FROM engineered"}
-ORACLE["model_rf_small"] = sql(
-    "SELECT count(*) AS row_count, true AS metrics_agree FROM marked_rows WHERE is_test", _MARKED
-)
-ORACLE["predict_rows"] = sql(
-    "SELECT Store, Dept, Date, Weekly_Sales AS actual, true AS in_range FROM marked_rows WHERE is_test",
-    _MARKED,
-)
-ORACLE["importances"] = " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS valid" for c in _INPUTS)
 ORACLE["model_stump"] = sql(
     """SELECT m.Month, round(CASE WHEN m.Month <= t THEN low ELSE high END, 3) AS prediction
     FROM (SELECT DISTINCT Month FROM wide) m, (
@@ -786,42 +778,92 @@ ORACLE["model_stump"] = sql(
         FROM wide, (SELECT DISTINCT Month FROM wide) cut
         WHERE cut.Month < (SELECT max(Month) FROM wide) GROUP BY cut.Month ORDER BY rest LIMIT 1)"""
 )
-_COMPARED = {
-    "LinearRegression": None,
-    "Ridge": None,
-    "RandomForest": 100,
-    "GradientBoosting": 100,
-    "SampledBoosting": 200,
-}
-for _key, _name in (
-    ("model_rf", "RandomForest"),
-    ("model_gbt", "GradientBoosting"),
-    ("model_gbt_sampled", "SampledBoosting"),
-):
-    ORACLE[_key] = sql(
-        f"""SELECT '{_name}' AS Model, CAST({_COMPARED[_name]} AS INT) AS trees, count(*) AS row_count,
-        true AS finite FROM (SELECT *, {_HOLDOUT} AS is_test FROM train) WHERE is_test"""
-    )
-_METRICS = [
-    f"{part}_{m}"
-    for m, parts in {
-        "MAE": ("Train", "Test"),
-        "RMSE": ("Train", "Test"),
-        "R2": ("Train", "Test"),
-        "Accuracy": ("Test",),
-        "Precision": ("Test",),
-        "Recall": ("Test",),
-        "F1": ("Test",),
-    }.items()
-    for part in parts
-]
-ORACLE["model_comparison"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS Model, '{m}' AS metric, true AS valid" for name in _COMPARED for m in _METRICS
+
+
+def _tree(rows: str, deep: bool = True, names: tuple[str, ...] = ("Month", "Dept")) -> dict[str, str]:
+    """Views of a least squares tree on a table: ``best1``, ``best2`` are the splits of its levels,
+    ``leaves`` the rows with their node and prediction."""
+
+    def best(source: str) -> str:
+        options = " UNION ALL ".join(
+            f"SELECT node, {k} AS pos, '{f}' AS feature, {f} AS v, sum(y) AS s, count(*) AS n FROM {source} GROUP BY ALL"
+            for k, f in enumerate(names)
+        )
+        return f"""SELECT * FROM (SELECT node, pos, feature, v, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain
+            FROM (SELECT node, pos, feature, v, sum(s) OVER w AS sl, sum(n) OVER w AS nl,
+                sum(s) OVER (PARTITION BY node, feature) AS s, sum(n) OVER (PARTITION BY node, feature) AS n
+              FROM ({options}) WINDOW w AS (PARTITION BY node, feature ORDER BY v))
+            WHERE n >= 5 AND nl >= 2 AND n - nl >= 2)
+          WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, pos, v) = 1"""
+
+    def below(source: str, split: str) -> str:
+        value = " ".join(f"WHEN '{f}' THEN r.{f}" for f in names)
+        return f"""SELECT r.* REPLACE (CASE WHEN b.node IS NULL THEN r.node ELSE 2 * r.node
+            + CASE WHEN CASE b.feature {value} END <= b.v THEN 0 ELSE 1 END END AS node)
+          FROM {source} r LEFT JOIN {split} b ON b.node = r.node"""
+
+    return {
+        "middle": f"SELECT avg(Weekly_Sales) AS mean FROM {rows}",
+        "level0": f"SELECT *, 1 AS node, Weekly_Sales - mean AS y FROM {rows}, middle",
+        "best1": best("level0"),
+        "level1": below("level0", "best1"),
+        "best2": best("level1"),
+        "level2": below("level1", "best2"),
+        "nodes": "SELECT node, any_value(mean) + avg(y) AS prediction FROM level2 GROUP BY node",
+    }
+
+
+ORACLE["model_tree"] = sql(
+    "SELECT DISTINCT Month, Dept, round(prediction, 3) AS prediction FROM level2 JOIN nodes USING (node)", _tree("wide")
 )
-ORACLE["score_test"] = sql("SELECT Store, Dept, Date, true AS predicted FROM test")
-ORACLE["predicted_actual"] = sql(
-    f"SELECT Store, Dept, Date, Weekly_Sales AS actual, true AS predicted FROM train WHERE {_HOLDOUT}"
+ORACLE["model_tree_importances"] = sql(
+    """SELECT f.feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM (SELECT gain FROM best1 UNION ALL SELECT gain FROM best2)), 6) AS score
+    FROM (SELECT unnest(['Month', 'Dept']) AS feature) f
+    LEFT JOIN (SELECT feature, gain FROM best1 UNION ALL SELECT feature, gain FROM best2) b ON b.feature = f.feature GROUP BY f.feature""",
+    _tree("wide"),
 )
-ORACLE["forecast_run"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS Model, true AS agrees" for name in _COMPARED
+_ROUND = """SELECT v, sl / (nl + 1) AS low, (s - sl) / (n - nl + 1) AS high FROM (
+    SELECT Month AS v, sum(sum(y)) OVER (ORDER BY Month) AS sl, sum(count(*)) OVER (ORDER BY Month) AS nl,
+      sum(sum(y)) OVER () AS s, sum(count(*)) OVER () AS n FROM {rows} GROUP BY Month)
+  WHERE nl < n ORDER BY sl * sl / (nl + 1) + (s - sl) * (s - sl) / (n - nl + 1) DESC, v LIMIT 1"""
+ORACLE["model_boosted_rounds"] = sql(
+    """SELECT DISTINCT Month, round(said + 0.1 * CASE WHEN Month <= v THEN low ELSE high END, 3) AS prediction FROM second, round2""",
+    {
+        "first": "SELECT Month, Weekly_Sales, mean AS said, Weekly_Sales - mean AS y FROM wide, (SELECT avg(Weekly_Sales) AS mean FROM wide)",
+        "round1": _ROUND.format(rows="first"),
+        "second": """SELECT Month, said + step AS said, y - step AS y FROM (
+            SELECT *, 0.1 * CASE WHEN Month <= v THEN low ELSE high END AS step FROM first, round1)""",
+        "round2": _ROUND.format(rows="second"),
+    },
+)
+_SPLIT_TREE = {"parts": f"SELECT *, {_HOLDOUT} AS is_test FROM wide", "learned": "SELECT * FROM parts WHERE NOT is_test"} | _tree("learned") | {
+    "side1": "SELECT * FROM best1",
+    "walked1": """SELECT p.*, 2 + CASE WHEN CASE b.feature WHEN 'Month' THEN p.Month ELSE p.Dept END <= b.v THEN 0 ELSE 1 END AS up
+        FROM parts p, side1 b""",
+    "walked": """SELECT w.*, CASE WHEN b.node IS NULL THEN up ELSE 2 * up
+        + CASE WHEN CASE b.feature WHEN 'Month' THEN w.Month ELSE w.Dept END <= b.v THEN 0 ELSE 1 END END AS node
+        FROM walked1 w LEFT JOIN best2 b ON b.node = w.up""",
+    "said": "SELECT w.*, prediction FROM walked w JOIN nodes USING (node)",
+}
+ORACLE["tree_predictions"] = sql(
+    "SELECT Store, Dept, Date, Weekly_Sales AS actual, round(prediction, 3) AS prediction FROM said WHERE is_test", _SPLIT_TREE
+)
+ORACLE["tree_metrics"] = sql(
+    """SELECT 'Tree' AS Model, round(m1, 5) AS Train_MAE, round(r1, 5) AS Train_RMSE, round(1 - r1 * r1 / v1, 5) AS Train_R2,
+      round(m2, 5) AS Test_MAE, round(r2, 5) AS Test_RMSE, round(1 - r2 * r2 / v2, 5) AS Test_R2,
+      round(accuracy, 5) AS Test_Accuracy, round(weighted_precision, 5) AS Test_Precision, round(accuracy, 5) AS Test_Recall,
+      round(weighted_f1, 5) AS Test_F1
+    FROM errors, shares""",
+    _SPLIT_TREE
+    | {
+        "errors": """SELECT avg(abs(Weekly_Sales - prediction)) FILTER (NOT is_test) AS m1, avg(abs(Weekly_Sales - prediction)) FILTER (is_test) AS m2,
+            sqrt(avg((Weekly_Sales - prediction) ** 2) FILTER (NOT is_test)) AS r1, sqrt(avg((Weekly_Sales - prediction) ** 2) FILTER (is_test)) AS r2,
+            var_pop(Weekly_Sales) FILTER (NOT is_test) AS v1, var_pop(Weekly_Sales) FILTER (is_test) AS v2 FROM said""",
+        "classes": """SELECT CAST(Weekly_Sales >= edge AS INT) AS a, CAST(prediction >= edge AS INT) AS p
+            FROM said, (SELECT quantile_cont(Weekly_Sales, 0.75) AS edge FROM said WHERE is_test) WHERE is_test""",
+        "confusion": """SELECT c, count(*) FILTER (a = c) AS real, count(*) FILTER (p = c) AS told, count(*) FILTER (a = c AND p = c) AS hit, count(*) AS n
+            FROM classes, (SELECT unnest([0, 1]) AS c) GROUP BY c""",
+        "shares": """SELECT sum(hit) / any_value(n) AS accuracy, sum(real * CASE WHEN told > 0 THEN hit / told ELSE 0 END) / any_value(n) AS weighted_precision,
+            sum(real * CASE WHEN real + told > 0 THEN 2.0 * hit / (real + told) ELSE 0 END) / any_value(n) AS weighted_f1 FROM confusion""",
+    },
 )

@@ -18,6 +18,7 @@ from salesflow.operators import checks as Q
 from salesflow.operators import cleaning as C
 from salesflow.operators import encode as E
 from salesflow.operators import evaluate as V
+from salesflow.operators import histogram_trees as H
 from salesflow.operators import joins as J
 from salesflow.operators import models as M
 from salesflow.operators import reports as A
@@ -28,7 +29,7 @@ from salesflow.operators import windows as W
 from salesflow.operators.quantiles import summary
 from salesflow.operators.split import mark_holdout, split
 from salesflow.plans import clean, features, forecast, load, preprocess
-from salesflow.session import scratch_path
+from salesflow.session import cut, scratch_path
 from salesflow.sources import readers as R
 from salesflow.sources import zones as Z
 from salesflow.sources.catalog import ForecastInputs, load_tables
@@ -712,43 +713,79 @@ def _scored(spark: SparkSession, sf: str, learner: M.Learner) -> DataFrame:
     return predicted.select(*KEY, F.col(M.TARGET).alias("actual"), "prediction")
 
 
-def _checked_scores(scored: DataFrame, train: DataFrame) -> DataFrame:
-    """Whether each prediction lies between the smallest and largest label learned from."""
-    low = train.agg(F.min(M.TARGET)).scalar()
-    high = train.agg(F.max(M.TARGET)).scalar()
-    inside = (F.col("prediction") >= low - 1e-6) & (F.col("prediction") <= high + 1e-6)
-    return scored.withColumn("in_range", inside)
-
-
 @query
 def model_rf_small(spark, sf):
-    """Hold-out rows of the small forest, and whether its metrics agree with each other."""
-    scored = _scored(spark, sf, M.forest(**M.SMALL_FOREST)).persist()
-    m = V.regression_metrics(scored, "actual")
-    total = scored.agg(F.count(F.lit(1)), F.var_pop("actual")).select(F.struct("*")).scalar()
-    agree = F.abs(1 - F.pow("RMSE", F.lit(2)) / total["var_pop(actual)"] - F.col("R2")) < 1e-6
-    return m.select(
-        total["count(1)"].alias("row_count"),
-        ((F.col("MAE") > 0) & (F.col("MAE") <= F.col("RMSE")) & agree).alias("metrics_agree"),
+    """Hold-out metrics of the small forest."""
+    scored = cut(_scored(spark, sf, M.forest(**M.SMALL_FOREST)))
+    return V.regression_metrics(scored, "actual").select(
+        scored.agg(F.count(F.lit(1))).scalar().alias("row_count"), "MAE", "RMSE", "R2"
     )
 
 
 @query
 def predict_rows(spark, sf):
-    """Hold-out rows with their predictions, which a forest keeps within the labels' range."""
-    train, _ = split(assembled(spark, sf), key=KEY)
-    scored = _checked_scores(_scored(spark, sf, M.forest(**M.SMALL_FOREST)), train)
-    return scored.select(*KEY, "actual", "in_range")
+    """Hold-out rows with the small forest's predictions."""
+    return _scored(spark, sf, M.forest(**M.SMALL_FOREST))
 
 
 @query
 def importances(spark, sf):
-    """The features by their share, shares being positive or zero and one in all."""
+    """The small forest's features and their scores, the greatest first."""
     train, _ = split(assembled(spark, sf), key=KEY)
     model = M.fit(M.forest(**M.SMALL_FOREST), train)
-    table = M.importances(train, model, M.REPORT_FEATURES, top=20)
-    total = table.agg(F.sum("score")).scalar()
-    return table.select("feature", ((F.col("score") >= 0) & (F.abs(total - 1) < 1e-9)).alias("valid"))
+    return M.importances(train, model, M.REPORT_FEATURES, top=20)
+
+
+TREE = H.Settings(trees=1, depth=2, rate=1.0, penalty=0.0, least_rows=2, split_rows=5, boosted=False)
+ROUNDS = H.Settings(trees=2, depth=1, rate=0.1, penalty=1.0)
+
+
+def _by_group(model: H.TreeModel, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    predicted = model.predict(rows).groupBy(*by).agg(F.max("prediction").alias("prediction"))
+    return rounded(predicted, 3)
+
+
+@query
+def model_tree(spark, sf):
+    """One tree of two levels on month and department, with a least number of rows to split."""
+    rows = wide(spark, sf)
+    return _by_group(H.fit(rows, ["Month", "Dept"], M.TARGET, TREE), rows, ["Month", "Dept"])
+
+
+@query
+def model_tree_importances(spark, sf):
+    """The same tree's features by their share of the gains, the greatest first."""
+    shares = H.fit(wide(spark, sf), ["Month", "Dept"], M.TARGET, TREE).importances()
+    table = spark.createDataFrame(shares, "feature string, score double").orderBy(F.col("score").desc(), "feature")
+    return rounded(table, 6)
+
+
+@query
+def model_boosted_rounds(spark, sf):
+    """Two rounds of second-order boosting on the month: each leaf shrunk by penalty and rate."""
+    rows = wide(spark, sf)
+    return _by_group(H.fit(rows, ["Month"], M.TARGET, ROUNDS), rows, ["Month"])
+
+
+def _holdout_tree(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Training and hold-out rows with the predictions of the tree, learned from the former."""
+    train, test = split(wide(spark, sf), key=KEY)
+    model = H.fit(train, ["Month", "Dept"], M.TARGET, TREE)
+    return model.predict(train), model.predict(test)
+
+
+@query
+def tree_predictions(spark, sf):
+    """Hold-out rows: actual value, and what the tree says."""
+    _, test = _holdout_tree(spark, sf)
+    return rounded(test.select(*KEY, F.col(M.TARGET).alias("actual"), "prediction"), 3, "prediction")
+
+
+@query
+def tree_metrics(spark, sf):
+    """The tree's row of a model comparison: errors and classes of training and hold-out rows."""
+    train, test = _holdout_tree(spark, sf)
+    return rounded(V.evaluation_row("Tree", cut(train), cut(test), M.TARGET), 5)
 
 
 @query
@@ -869,20 +906,11 @@ def _full_run(spark: SparkSession, sf: str) -> str:
     return _RUNS[key]
 
 
-def _finite(name: str):
-    return F.col(name).isNotNull() & ~F.isnan(name) & (F.abs(name) < float("inf"))
-
-
 def _model_row(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A compared model: its trees, its hold-out rows, and whether its metrics are numbers."""
+    """A compared model: its trees and its metrics."""
     folder = _full_run(spark, sf)
     row = spark.read.parquet(f"{folder}/comparison").where(F.col("Model") == name)
-    rows = spark.read.parquet(f"{folder}/fitted").agg(F.count(F.lit(1))).scalar()
-    trees = spark.read.parquet(f"{folder}/trees").select("Model", "trees")
-    good = [_finite(c) for c, kind in row.dtypes if kind == "double"]
-    return row.join(trees, "Model").select(
-        "Model", "trees", rows.alias("row_count"), reduce(lambda a, b: a & b, good).alias("finite")
-    )
+    return row.join(spark.read.parquet(f"{folder}/trees").select("Model", "trees"), "Model")
 
 
 @query
@@ -902,41 +930,31 @@ def model_gbt_sampled(spark, sf):
 
 @query
 def model_comparison(spark, sf):
-    """The compared models in long form, and whether each metric is a number in its range."""
-    table = spark.read.parquet(f"{_full_run(spark, sf)}/comparison")
-    metrics = [c for c, kind in table.dtypes if kind == "double"]
-    long = table.unpivot(["Model"], metrics, "metric", "value")
-    share = F.col("metric").rlike("Accuracy|Precision|Recall|F1")
-    ranged = F.when(share, F.col("value").between(0, 1)).when(
-        F.col("metric").contains("R2"), F.col("value") <= 1
-    ).otherwise(F.col("value") >= 0)
-    return long.select("Model", "metric", (_finite("value") & ranged).alias("valid"))
+    """The five compared models with their ten metrics."""
+    return spark.read.parquet(f"{_full_run(spark, sf)}/comparison")
 
 
 @query
 def score_test(spark, sf):
-    """Every row to score, with a prediction of the best of the five models."""
-    rows = spark.read.parquet(f"{_full_run(spark, sf)}/predictions")
-    return rows.select(*KEY, _finite("Predicted_Weekly_Sales").alias("predicted"))
+    """Every row to score, with what the best of the five models predicts."""
+    return spark.read.parquet(f"{_full_run(spark, sf)}/predictions")
 
 
 @query
 def predicted_actual(spark, sf):
-    """Hold-out rows of the forecast run: actual value, and that there is a prediction."""
-    rows = spark.read.parquet(f"{_full_run(spark, sf)}/fitted")
-    return rows.select(*KEY, "actual", _finite("prediction").alias("predicted"))
+    """Hold-out rows of the forecast run: actual value and prediction."""
+    return spark.read.parquet(f"{_full_run(spark, sf)}/fitted")
 
 
 @query
 def forecast_run(spark, sf):
-    """The models of the run, and that the best one's hold-out metrics are those of its rows."""
+    """The models of the run, the best one marked, with hold-out metrics made again from its rows."""
     folder = _full_run(spark, sf)
     table = spark.read.parquet(f"{folder}/comparison")
     best = A.best_row(table).select("Model").scalar()
     again = V.regression_metrics(spark.read.parquet(f"{folder}/fitted"), "actual")
-    r2 = again.select("R2").scalar()
-    same = (F.col("Model") != best) | (F.abs(F.col("Test_R2") - r2) < 1e-9)
-    return table.select("Model", same.alias("agrees"))
+    made = [F.when(F.col("Model") == best, again.select(m).scalar()).alias(f"again_{m}") for m in ("MAE", "RMSE", "R2")]
+    return table.select("Model", "Test_MAE", "Test_RMSE", "Test_R2", (F.col("Model") == best).alias("best"), *made)
 
 
 # Contracts and upserts
