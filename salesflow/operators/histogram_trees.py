@@ -4,8 +4,8 @@ number of rows to split.
 Each feature's values are put into bins, by its exact quantiles or one bin for each of a few
 values. A tree grows level by level: tasks add up, for each open node, column and bin, the
 gradients, the Hessians and the rows, Spark adds those up, and only these sums leave the tasks:
-at most ``MOST_SUMS`` a pass, whatever the table. The best split of a node has the largest
-gain
+at most ``MOST_SUMS`` a pass, whatever the table. A node with few rows is grown to its end by
+one task, with the same result. The best split of a node has the largest gain
 
     G_l^2 / (H_l + penalty) + G_r^2 / (H_r + penalty) - G^2 / (H + penalty)
 
@@ -91,7 +91,7 @@ class TreeModel:
         """Each feature's share of all gains, the greatest first."""
         total = dict.fromkeys(range(len(self.features)), 0.0)
         for tree in self.trees:
-            for column, gain in tree.gains.values():
+            for _, (column, gain) in sorted(tree.gains.items()):
                 total[column] += gain
         whole = sum(total.values()) or 1.0
         return sorted(((self.features[c], g / whole) for c, g in total.items()), key=lambda x: (-x[1], x[0]))
@@ -280,6 +280,8 @@ def _best(sums: np.ndarray, columns: np.ndarray, settings: Settings) -> tuple[fl
     return float(gain[c, b]), int(columns[c]), b
 
 
+#: Rows times trees that are grown together.
+MOST_MEMBERS = 50_000_000
 #: Sums of one pass: nodes x columns x bins. More nodes are worked through in several passes.
 MOST_SUMS = 4_000_000
 
@@ -299,11 +301,16 @@ def _in_passes(
         yield from zip(asked, _sums(rows, model, edges, asked, settings), strict=True)
 
 
-def _grow(rows: DataFrame, model: TreeModel, edges: list[np.ndarray], numbers: Sequence[int], settings: Settings) -> list[Tree]:
+def _grow(
+    rows: DataFrame, model: TreeModel, edges: list[np.ndarray], numbers: Sequence[int], settings: Settings, rows_in_all: int
+) -> list[Tree]:
     """Trees of a forest side by side, or the one next tree of a boosted model."""
     trees = {k: Tree(leaves={1: 0.0}) for k in numbers}
     open_ = {k: [1] for k in numbers}
     share = settings.rate if settings.boosted else 1.0
+    local = {k: [] for k in numbers}
+    if rows_in_all <= LOCAL_ROWS:
+        open_, local = local, open_
     for level in range(settings.depth + 1):
         waiting = [(k, n) for k, nodes in open_.items() for n in nodes]
         if not waiting:
@@ -323,10 +330,97 @@ def _grow(rows: DataFrame, model: TreeModel, edges: list[np.ndarray], numbers: S
                     tree.gains[node] = (column, gain)
                     del tree.leaves[node]
                     tree.leaves |= {2 * node: 0.0, 2 * node + 1: 0.0}
-                    further += [2 * node, 2 * node + 1]
+                    left = int(sums[2, i, column, : place + 1].sum())
+                    for child, n in ((2 * node, left), (2 * node + 1, int(sums[2, i, column].sum()) - left)):
+                        (local[k] if n <= LOCAL_ROWS else further).append(child)
+    if any(local.values()):
+        _finish(rows, model, edges, trees, local, settings)
     return list(trees.values())
 
 
+#: A node of no more rows is grown to its end in one task: the same tree in fewer passes.
+LOCAL_ROWS = 50_000
+
+
+def _finish(
+    rows: DataFrame, model: TreeModel, edges: list[np.ndarray], trees: dict[int, Tree], local: dict[int, list[int]], settings: Settings
+) -> None:
+    """Grow the given nodes of each tree to their ends, a node in a task."""
+    growing = [(k, _in_bins(trees[k], edges), np.array(sorted(nodes))) for k, nodes in local.items() if nodes]
+    shared = rows.sparkSession.sparkContext.broadcast((model.base, [_in_bins(t, edges) for t in model.trees] if settings.boosted else [], growing))
+    width, spread = len(edges), max([len(e) + 1 for e in edges], default=1)
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, before, asked = shared.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            raw = batch.column(2)
+            bins = np.frombuffer(b"".join(raw.to_pylist()), "<u2").reshape(len(batch), width).T.astype(np.int64)
+            score = np.full(len(batch), base)
+            for tree in before:
+                score += _walk(tree, bins)[1]
+            gradient = np.rint((score - batch.column(1).to_numpy()) * SCALE).astype(np.int64)
+            for number, splits, nodes in asked:
+                weight = _weights(batch.column(0).to_numpy(), settings, number)
+                at, _ = _walk(splits, bins)
+                used = np.flatnonzero(np.isin(at, nodes) & (weight > 0))
+                columns = [pa.array(np.full(len(used), number)), pa.array(at[used]), raw.take(pa.array(used))]
+                columns += [pa.array(gradient[used] * weight[used]), pa.array(weight[used])]
+                yield pa.RecordBatch.from_arrays(columns, ["tree", "node", "bins", "g", "h"])
+
+    def grown(table: pa.Table) -> pa.Table:
+        number, root = (table.column(c)[0].as_py() for c in ("tree", "node"))
+        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), "<u2").reshape(len(table), width).T.astype(np.int64)
+        found = _subtree(root, bins, table.column("g").to_numpy(), table.column("h").to_numpy(), spread, _columns_of(settings, number, width), settings)
+        names = ["node", "at", "place", "gain", "value"]
+        columns = [pa.array([r[k] for r in found], pa.int64() if k < 3 else pa.float64()) for k in range(5)]
+        return pa.Table.from_arrays([pa.array(np.full(len(found), number)), *columns], ["tree", *names])
+
+    parted = rows.mapInArrow(members, "tree bigint, node bigint, bins binary, g bigint, h bigint")
+    done = parted.groupBy("tree", "node").applyInArrow(
+        grown, "tree bigint, node bigint, at bigint, place bigint, gain double, value double"
+    )
+    for k, node, column, place, gain, value in zip(*[c.to_pylist() for c in done.toArrow().columns], strict=True):
+        tree = trees[k]
+        if column < 0:
+            tree.leaves[node] = value
+        else:
+            tree.leaves.pop(node, None)
+            tree.splits[node] = (column, float(edges[column][place]))
+            tree.gains[node] = (column, gain)
+
+
+def _subtree(
+    root: int, bins: np.ndarray, g: np.ndarray, h: np.ndarray, spread: int, columns: np.ndarray, settings: Settings
+) -> list[tuple]:
+    """(node, column or -1, bin, gain, value) of a node and all below it, from its rows."""
+    share = settings.rate if settings.boosted else 1.0
+    width = len(bins)
+    offset = spread * np.arange(width)[:, None]
+    halves = (g >> 20, g & 0xFFFFF, h)
+    out, waiting = [], [(root, np.arange(len(g)))]
+    while waiting:
+        node, rows = waiting.pop()
+        total_g, total_h = g[rows].sum() / SCALE, h[rows].sum()
+        value = -share * total_g / (total_h + settings.penalty) if total_h + settings.penalty > 0 else 0.0
+        gain = -1.0
+        if node.bit_length() <= settings.depth:
+            cells = (bins[:, rows] + offset).ravel()
+            high, low, hess = (np.bincount(cells, np.tile(p[rows], width), width * spread) for p in halves)
+            count = np.bincount(cells, minlength=width * spread)
+            whole = (high.astype(np.int64) << 20) + low.astype(np.int64)
+            sums = np.stack([whole.astype(float), hess, count.astype(float)]).reshape(3, width, spread)
+            gain, column, place = _best(sums, columns, settings)
+        if gain > settings.least_gain:
+            out.append((node, column, place, gain, 0.0))
+            low_side = bins[column, rows] <= place
+            waiting += [(2 * node, rows[low_side]), (2 * node + 1, rows[~low_side])]
+        else:
+            out.append((node, -1, 0, 0.0, value))
+    return out
+
+
 def fit(df: DataFrame, features: Sequence[str], label: str, settings: Settings = SECOND_ORDER) -> TreeModel:
     """Learn from the rows of ``df``; boosting adds tree to tree, a forest grows trees together."""
     edges = thresholds(df.select(*[_number(c).alias(c) for c in features]), features, settings.bins)
@@ -341,9 +435,12 @@ def fit(df: DataFrame, features: Sequence[str], label: str, settings: Settings =
             return model
         if settings.boosted:
             for k in range(settings.trees):
-                model.trees += _grow(rows, model, edges, [k], settings)
+                model.trees += _grow(rows, model, edges, [k], settings, total["n"])
         else:
-            model.trees += _grow(rows, model, edges, range(settings.trees), settings)
+            # A row goes to each tree's tasks: so many trees at a time.
+            step = max(1, MOST_MEMBERS // total["n"])
+            for lo in range(0, settings.trees, step):
+                model.trees += _grow(rows, model, edges, range(lo, min(lo + step, settings.trees)), settings, total["n"])
         return model
     finally:
         rows.unpersist()
