@@ -373,22 +373,57 @@ def _finish(
         number, root = (table.column(c)[0].as_py() for c in ("tree", "node"))
         bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), "<u2").reshape(len(table), width).T.astype(np.int64)
         found = _subtree(root, bins, table.column("g").to_numpy(), table.column("h").to_numpy(), spread, _columns_of(settings, number, width), settings)
-        names = ["node", "at", "place", "gain", "value"]
-        columns = [pa.array([r[k] for r in found], pa.int64() if k < 3 else pa.float64()) for k in range(5)]
-        return pa.Table.from_arrays([pa.array(np.full(len(found), number)), *columns], ["tree", *names])
+        return _as_table([(number, *r) for r in found])
 
     parted = rows.mapInArrow(members, "tree bigint, node bigint, bins binary, g bigint, h bigint")
-    done = parted.groupBy("tree", "node").applyInArrow(
-        grown, "tree bigint, node bigint, at bigint, place bigint, gain double, value double"
-    )
-    for k, node, column, place, gain, value in zip(*[c.to_pylist() for c in done.toArrow().columns], strict=True):
-        tree = trees[k]
-        if column < 0:
-            tree.leaves[node] = value
-        else:
-            tree.leaves.pop(node, None)
-            tree.splits[node] = (column, float(edges[column][place]))
-            tree.gains[node] = (column, gain)
+    done = parted.groupBy("tree", "node").applyInArrow(grown, _NODES)
+    for k, *node in zip(*[c.to_pylist() for c in done.toArrow().columns], strict=True):
+        _put(trees[k], edges, *node)
+
+
+_NODES = "tree bigint, node bigint, at bigint, place bigint, gain double, value double"
+
+
+def _as_table(nodes: list[tuple]) -> pa.Table:
+    names = [c.split()[0] for c in _NODES.split(", ")]
+    columns = [pa.array([r[k] for r in nodes], pa.int64() if k < 4 else pa.float64()) for k in range(6)]
+    return pa.Table.from_arrays(columns, names)
+
+
+def _put(tree: Tree, edges: list[np.ndarray], node: int, column: int, place: int, gain: float, value: float) -> None:
+    if column < 0:
+        tree.leaves[node] = value
+    else:
+        tree.leaves.pop(node, None)
+        tree.splits[node] = (column, float(edges[column][place]))
+        tree.gains[node] = (column, gain)
+
+
+def _all_rounds(rows: DataFrame, base: float, edges: list[np.ndarray], settings: Settings) -> list[Tree]:
+    """All trees of a boosted model of at most ``LOCAL_ROWS`` rows, in one task."""
+    width, spread = len(edges), max([len(e) + 1 for e in edges], default=1)
+
+    def grown(table: pa.Table) -> pa.Table:
+        ids, labels = (table.column(c).to_numpy() for c in ("id", "label"))
+        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), "<u2").reshape(len(table), width).T.astype(np.int64)
+        score, nodes = np.full(len(ids), base), []
+        for number in range(settings.trees):
+            gradient = np.rint((score - labels) * SCALE).astype(np.int64)
+            weight = _weights(ids, settings, number)
+            used = np.flatnonzero(weight > 0)
+            found = _subtree(1, bins[:, used], gradient[used] * weight[used], weight[used], spread, _columns_of(settings, number, width), settings)
+            tree = Tree()
+            for node in found:
+                _put(tree, edges, *node)
+            score += _walk(_in_bins(tree, edges), bins)[1]
+            nodes += [(number, *node) for node in found]
+        return _as_table(nodes)
+
+    done = rows.withColumn("all", F.col("id") * 0).groupBy("all").applyInArrow(grown, _NODES).toArrow()
+    trees = [Tree() for _ in range(settings.trees)]
+    for k, *node in zip(*[c.to_pylist() for c in done.columns], strict=True):
+        _put(trees[k], edges, *node)
+    return trees
 
 
 def _subtree(
@@ -433,7 +468,9 @@ def fit(df: DataFrame, features: Sequence[str], label: str, settings: Settings =
         model = TreeModel(tuple(features), base, [], settings.boosted)
         if not total["n"]:
             return model
-        if settings.boosted:
+        if settings.boosted and total["n"] <= LOCAL_ROWS:
+            model.trees = _all_rounds(rows, base, edges, settings)
+        elif settings.boosted:
             for k in range(settings.trees):
                 model.trees += _grow(rows, model, edges, [k], settings, total["n"])
         else:

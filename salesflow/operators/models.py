@@ -1,18 +1,22 @@
-"""Regressors on MLlib: assemble, fit, compare, explain and score."""
+"""Regressors: assemble, fit, compare, explain and score. Linear models and first-order
+boosting are MLlib's; the deep forest and second-order boosting grow from histograms."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators import histogram_trees
 from salesflow.operators.evaluate import class_edges, evaluation_row
 from salesflow.operators.split import SEED
 from salesflow.session import cut, shared_folder
@@ -47,22 +51,7 @@ BINS = 256
 # The learners' settings.
 RIDGE_ALPHA = 1.0
 SMALL_FOREST = {"numTrees": 20, "maxDepth": 6}
-FOREST = {
-    "numTrees": 100,
-    "maxDepth": 20,
-    "maxBins": BINS,
-    "minInstancesPerNode": 2,
-    "featureSubsetStrategy": "all",
-}
 BOOSTED = {"maxIter": 100, "maxDepth": 6, "maxBins": BINS, "stepSize": 0.1}
-SAMPLED_BOOSTED = {
-    "maxIter": 200,
-    "maxDepth": 8,
-    "maxBins": BINS,
-    "stepSize": 0.1,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
-}
 
 # Split statistics of one pass over the rows, per task. Fixed, because it sets the order in
 # which nodes draw their features: the same model on any cluster.
@@ -71,10 +60,11 @@ TREE_MEMORY_MB = 256
 # chain short enough to rebuild when an executor is lost.
 _CHECKPOINT_EVERY = 10
 
-# Training rows per partition, and the most partitions: by the rows alone, so that bagging
-# draws the same rows on any cluster.
-_ROWS_PER_PARTITION = 5_000
-_MOST_PARTITIONS = 4_096
+# Training rows per partition: the fewest, the partitions beyond which there are more, and the
+# most. By the rows alone, so that bagging draws the same rows on any cluster.
+_FEWEST_ROWS = 5_000
+_USUAL_PARTITIONS = 4_096
+_MOST_ROWS = 200_000
 
 Learner = Callable[[DataFrame], Estimator]
 
@@ -114,7 +104,7 @@ def forest(**settings) -> Learner:
         # Deep trees: remember each row's node instead of walking down again per pass.
         cacheNodeIds=True,
         checkpointInterval=_CHECKPOINT_EVERY,
-        **(settings or FOREST),
+        **(settings or SMALL_FOREST),
     )
 
 
@@ -129,14 +119,54 @@ def boosted(**settings) -> Learner:
     )
 
 
+class HistogramModel:
+    """A histogram model on assembled rows, with what the other models offer."""
+
+    def __init__(self, model: histogram_trees.TreeModel):
+        self.model = model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        wide = _unpacked(df, self.model.features)
+        return self.model.predict(wide).drop(*self.model.features)
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        share = dict(self.model.importances())
+        return Vectors.dense([share[f] for f in self.model.features])
+
+    @property
+    def getNumTrees(self) -> int:
+        return len(self.model.trees)
+
+
+class HistogramLearner:
+    def __init__(self, settings: histogram_trees.Settings):
+        self.settings = settings
+
+    def fit(self, rows: DataFrame) -> HistogramModel:
+        width = rows.schema[VECTOR].metadata["ml_attr"]["num_attrs"]
+        names = [f"_h_{i}" for i in range(width)]
+        return HistogramModel(histogram_trees.fit(_unpacked(rows, names), names, TARGET, self.settings))
+
+
+def _unpacked(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The vector's places as columns besides."""
+    values = vector_to_array(VECTOR)
+    return df.select("*", *[values[i].alias(n) for i, n in enumerate(names)])
+
+
+def histograms(settings: histogram_trees.Settings) -> Learner:
+    return lambda train: HistogramLearner(settings)
+
+
 def learners() -> dict[str, Learner]:
     """The five compared models."""
     return {
         "LinearRegression": linear(),
         "Ridge": ridge(),
-        "RandomForest": forest(**FOREST),
+        "RandomForest": histograms(histogram_trees.DEEP_FOREST),
         "GradientBoosting": boosted(**BOOSTED),
-        "SampledBoosting": boosted(**SAMPLED_BOOSTED),
+        "SampledBoosting": histograms(histogram_trees.SECOND_ORDER),
     }
 
 
@@ -160,7 +190,9 @@ def arranged(train: DataFrame) -> DataFrame:
     the same on any number of cores.
     """
     place = F.xxhash64(vector_to_array(VECTOR), TARGET)
-    parts = max(1, min(_MOST_PARTITIONS, -(-train.count() // _ROWS_PER_PARTITION)))
+    count = train.count()
+    each = min(max(_FEWEST_ROWS, -(-count // _USUAL_PARTITIONS)), _MOST_ROWS)
+    parts = max(1, -(-count // each))
     return (
         train.withColumn("_place", place)
         .repartition(parts, "_place")
@@ -213,24 +245,34 @@ def compare(
 ) -> tuple[dict[str, Model], DataFrame]:
     """Fit each learner and put its metrics into one table.
 
-    ``train`` and ``test`` are assembled rows. They are read many times, so they
-    are kept while this runs; what does not fit in memory goes to disk.
+    ``train`` and ``test`` are assembled rows. They are read many times, so they are kept, the
+    former arranged once for all, while this runs; what does not fit in memory goes to disk.
+    The learners are fitted side by side.
     """
     level = StorageLevel.MEMORY_AND_DISK
-    train, test = train.persist(level), test.persist(level)
+    shared_folder(train.sparkSession)
+    rows, test = arranged(train).persist(level), test.persist(level)
+    context = train.sparkSession.sparkContext
     try:
         edges = class_edges(test, TARGET)
-        models, rows = {}, []
-        for name, learner in (chosen or learners()).items():
-            model = models[name] = fit(learner, train)
-            row = evaluation_row(
-                name, predict(model, train), predict(model, test), TARGET, edges=edges
-            )
-            rows.append(cut(row))
+        rows.count()
+
+        def one(name: str, learner: Learner) -> tuple[Model, DataFrame]:
+            # Where the scheduler is fair, each learner has its share; else they take turns.
+            context.setLocalProperty("spark.scheduler.pool", name)
+            model = learner(rows).fit(rows)
+            row = evaluation_row(name, predict(model, rows), predict(model, test), TARGET, edges=edges)
+            return model, cut(row)
+
+        wanted = chosen or learners()
+        # Boosting waits for its last tree, which leaves cores to the others.
+        with ThreadPoolExecutor(len(wanted)) as pool:
+            begun = {n: pool.submit(inheritable_thread_target(train.sparkSession)(one), n, f) for n, f in wanted.items()}
+            done = {n: f.result() for n, f in begun.items()}
     finally:
-        train.unpersist()
+        rows.unpersist()
         test.unpersist()
-    return models, reduce(DataFrame.unionByName, rows)
+    return {n: m for n, (m, _) in done.items()}, reduce(DataFrame.unionByName, [r for _, r in done.values()])
 
 
 def score(
