@@ -129,8 +129,8 @@ def _number(name: str):
 def thresholds(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Upper edges of the bins of each feature, the last bin open; at most ``bins - 1``.
 
-    A feature with few values gets an edge between each two of them; of others each bin has
-    about equal rows, by one pass of the built-in quantile summaries.
+    A feature with few values gets an edge between each two of them; of others a frequent value
+    gets a bin, and the others bins of about equal rows, by the built-in quantile summaries.
     """
     shares = [k / bins for k in range(1, bins)]
     few = df.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
@@ -146,8 +146,15 @@ def thresholds(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list
         if c in exact:
             values = np.array(exact[c])
             out.append((values[:-1] + values[1:]) / 2 if len(values) > 1 else np.zeros(0))
-        else:
-            out.append(np.unique(np.array(marks[c], float)))
+            continue
+        edges, seen = np.unique(np.array(marks[c], float), return_counts=True)
+        if len(edges) < len(shares):
+            # Frequent values took several marks: those go to the other values.
+            often = [float(v) for v in edges[seen > 1]]
+            left = max(2, bins - len(often))
+            others = df.where(~F.col(c).isin(often)).approxQuantile(c, [k / left for k in range(1, left)], 1 / (8 * bins))
+            edges = np.unique([*often, *others])[: bins - 1]
+        out.append(edges)
     return out
 
 

@@ -139,3 +139,9 @@ def test_many_values_get_bins_of_like_size(spark):
     model = H.fit(rows, FEATURES, "y", H.Settings(trees=1, depth=6, bins=64, boosted=False, penalty=0.0))
     error = model.predict(rows).agg(F.avg(F.abs(F.col("y") - F.col("prediction")))).first()[0]
     assert error < 200
+
+
+def test_a_frequent_value_leaves_bins_to_the_others(spark):
+    rows = spark.range(10_000).selectExpr("cast(if(id % 10 = 0, id, 0) as double) a", "0.0 b", "0.0 c", "cast(id as double) y")
+    edges = H.thresholds(rows, FEATURES, bins=64)[0]
+    assert len(edges) >= 60 and edges[0] == 0 and len(np.unique(edges)) == len(edges)

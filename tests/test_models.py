@@ -111,9 +111,10 @@ def test_full_settings_are_there(planted):
         "SampledBoosting",
     ]
     forest = M.learners()["RandomForest"](planted)
-    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (100, 20, 2)
-    boosted = M.learners()["SampledBoosting"](planted)
-    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getMaxBins()) == (200, 8, 256)
+    s = forest.settings
+    assert (s.trees, s.depth, s.least_rows, s.split_rows, s.bins, s.boosted) == (100, 20, 2, 5, 256, False)
+    s = M.learners()["SampledBoosting"](planted).settings
+    assert (s.trees, s.depth, s.rate, s.rows, s.columns, s.boosted) == (200, 8, 0.1, 0.8, 0.8, True)
 
 
 def test_models_do_not_depend_on_the_partitioning(planted):
