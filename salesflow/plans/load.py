@@ -25,7 +25,7 @@ from salesflow.operators.joins import merge_wide
 from salesflow.operators.reports import average_by, table_counts
 from salesflow.operators.upsert import replace_by_key, upsert, upsert_counts
 from salesflow.session import cut
-from salesflow.sources.readers import ORDER, scan_csv
+from salesflow.sources.readers import BROKEN, ORDER, scan_csv
 from salesflow.sources.stored import StoredTable
 
 _PROMOTION_DEFAULTS = dict.fromkeys(PROMOTIONS, 0.0) | dict.fromkeys(PROMOTION_FLAGS, 0)
@@ -47,9 +47,13 @@ class Loaded:
 def _checked(
     spark: SparkSession, path: str, contract: Contract, defaults: dict | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The file's valid rows in contract types, in input order, and its other rows as text."""
+    """The file's valid rows in contract types, in input order, and its other rows as text.
+
+    A line that does not have the header's number of fields is refused whole: its violation is
+    ``line:`` and the line, and it is not read any further.
+    """
     header = spark.read.options(header=True).csv(path).schema
-    raw = scan_csv(spark, path, header, input_order=True)
+    raw = scan_csv(spark, path, header, input_order=True, broken_lines=True)
     if "IsHoliday_x" in raw.columns and "IsHoliday" not in raw.columns:
         raw = raw.withColumnRenamed("IsHoliday_x", "IsHoliday")
     filled = {c: v for c, v in (defaults or {}).items() if c in raw.columns}
@@ -57,8 +61,12 @@ def _checked(
         {c: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(str(v))) for c, v in filled.items()}
     )
     # Read and parsed once, for the table, the refused rows and the counts.
-    valid, rejected = split_valid(cut(raw), contract)
-    return coerce(valid, contract, defaults, keep=[ORDER]), rejected.drop(ORDER)
+    rows = cut(raw)
+    whole = F.col(BROKEN).isNull()
+    valid, rejected = split_valid(rows.where(whole).drop(BROKEN), contract)
+    lines = rows.where(~whole).withColumn(VIOLATIONS, F.array(F.concat(F.lit("line:"), F.col(BROKEN)))).drop(BROKEN)
+    refused = rejected.unionByName(lines)
+    return coerce(valid, contract, defaults, keep=[ORDER]), refused.drop(ORDER)
 
 
 def _empty(spark: SparkSession, contract: Contract) -> DataFrame:

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed value: how the files spell a missing value.
 NULL_TEXT = "NA"
 
 ORDER = "_order"
+BROKEN = "_broken"
 
 
 def scan_csv(
@@ -20,13 +21,20 @@ def scan_csv(
     path: str,
     schema: StructType | None = None,
     input_order: bool = False,
+    broken_lines: bool = False,
 ) -> DataFrame:
     """CSV with a header. Without a schema the types are inferred, at the price of a pass.
 
+    ``broken_lines`` adds ``_broken``: the whole line where it does not have the schema's number
+    of fields (too many, too few, a quote that stays open), else null. It needs a schema.
+
     ``input_order`` adds ``_order``, which sorts rows as they stand in the files:
     by file, by block within the file, by row within the block.
     """
     reader = spark.read.options(header=True, nullValue=NULL_TEXT)
+    if broken_lines:
+        schema = StructType([*schema, StructField(BROKEN, StringType())])
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN)
     reader = reader.schema(schema) if schema is not None else reader.options(inferSchema=True)
     df = reader.csv(path)
     if not input_order:

@@ -127,3 +127,15 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
     # The only rows shuffled are the few that the target and the batch share.
     assert "FullOuter" not in plan and "Exchange hashpartitioning" not in plan.split("Union")[1].split("BroadcastHashJoin")[0]
+
+
+def test_lines_that_do_not_parse_are_refused_whole(spark, tmp_path):
+    lines = ["Store,Type,Size", "1,A,5", "2,B,6,7", "3,C", '4,"A,5', "5,D,1", '6,"B",8', "", "7,A,NA"]
+    (tmp_path / "stores.csv").write_text("\n".join(lines) + "\n")
+    loaded = load.load_stores(spark, str(tmp_path / "stores.csv"))
+    assert sorted(r.Store for r in loaded.table.collect()) == [1, 6]
+    refused = {r.violations[0] for r in loaded.rejected.collect()}
+    assert refused == {"line:2,B,6,7", "line:3,C", 'line:4,"A,5', "enum:Type", "required:Size"}
+    counts = loaded.counts.first()
+    # All lines but the header and the empty one.
+    assert counts.inserted + counts.updated + counts.rejected == len(lines) - 2
