@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Families of languages by their codes; a language outside is a family of its own.
@@ -38,6 +38,7 @@ FAMILIES = {
 UNKNOWN = "und"
 PER_LANGUAGE = 400
 SAMPLE_ROWS = 4000
+MOST_LABELS = 1000
 BINS = (1 << 8, 1 << 12, 1 << 13)
 CHUNK_BYTES = 1 << 20
 TEXTS_AT_ONCE = 128
@@ -163,22 +164,29 @@ def fit(
     per_language: int = PER_LANGUAGE,
     sample_rows: int = SAMPLE_ROWS,
 ) -> Model | None:
-    """Train on about ``per_language`` rows of each label, picked by a hash of the id.
+    """Train on about ``per_language`` texts of each label, picked by a hash of id and text.
 
-    Only the feature vectors of the sample reach the driver: at most ``2 * per_language``
-    per label, and with many labels fewer each, ``sample_rows`` over all.
+    Equal texts of one id count once, so every label has some. Only the feature vectors of the
+    sample reach the driver: at most ``2 * per_language`` per label, which Spark sees to, and with
+    many labels fewer each, ``sample_rows`` over all. More than ``MOST_LABELS`` labels are an error.
     """
     rows = df.where(F.col(text).isNotNull() & F.col(label).isNotNull() & F.col(id).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
-    # Labels are few; a table of 1,000 or more is no language column.
-    if not counts or len(counts) > 1000:
+    place = F.xxhash64(F.col(id), F.col(text), F.lit("language sample"))
+    labelled = rows.select(F.col(label).alias("label"), F.col(text).alias("text"), place.alias("place"))
+    sizes = labelled.groupBy("label").agg(F.approx_count_distinct("place").alias("n"))
+    counts = {r[0]: r[1] for r in sizes.limit(MOST_LABELS + 1).collect()}
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels in {label}: no column of languages")
+    if not counts:
         return None
     per_language = max(4, min(per_language, sample_rows // len(counts)))
-    place = F.pmod(F.xxhash64(F.col(id), F.lit("language sample")), F.lit(1 << 30))
     share = F.create_map(
         *[F.lit(v) for k, n in counts.items() for v in (k, int(min(1.0, per_language / n) * (1 << 30)))]
     )
-    sample = rows.where(place < share[F.col(label)]).select(F.col(text), F.col(label))
+    chosen = labelled.where(F.pmod("place", F.lit(1 << 30)) < share[F.col("label")]).dropDuplicates(["label", "place"])
+    first = Window.partitionBy("label").orderBy("place")
+    bounded = chosen.withColumn("k", F.row_number().over(first)).where(F.col("k") <= 2 * per_language)
+    sample = bounded.select("text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,13 +201,9 @@ def fit(
             )
 
     kept = sample.mapInArrow(run, "label string, x binary").collect()
-    # A count may grow between the two reads; the bound holds all the same.
-    taken, kinds, vectors = dict.fromkeys(counts, 0), [], []
-    for row in sorted(kept, key=lambda r: (r[0], bytes(r[1]))):
-        if taken.get(row[0], 0) < 2 * per_language:
-            taken[row[0]] = taken.get(row[0], 0) + 1
-            kinds.append(row[0])
-            vectors.append(np.frombuffer(row[1], np.float16))
+    kept.sort(key=lambda r: (r[0], bytes(r[1])))
+    kinds = [r[0] for r in kept]
+    vectors = [np.frombuffer(r[1], np.float16) for r in kept]
     return Model(np.array(vectors, np.float32), kinds) if kinds else None
 
 

@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pytest
 
 from conftest import SF
 from salesflow.llm import language_id as L
@@ -38,6 +39,21 @@ def test_nothing_learned_and_empty_table(spark, odd):
     assert answers(spark, odd.limit(0), L.fit(odd)) == []
 
 
+def test_a_hot_id_and_a_hot_text_are_learned_from(spark):
+    rows = [(7, f"the words of text {k} with the other and this") for k in range(3000)]
+    english = spark.createDataFrame([(*r, "en") for r in rows], "doc_id int, text string, lang string")
+    german = spark.createDataFrame([(8, "und der die das nicht mit von", "de")] * 3000, english.schema)
+    model = L.fit(english.union(german))
+    got = {lang for _, lang, _ in answers(spark, english, model)}, {lang for _, lang, _ in answers(spark, german, model)}
+    assert got == ({"en"}, {"de"})
+
+
+def test_too_many_labels_are_an_error(spark):
+    many = spark.range(1001).selectExpr("id doc_id", "'some text' text", "concat('l', id) lang")
+    with pytest.raises(ValueError, match="1000 labels"):
+        L.fit(many)
+
+
 def test_one_language_is_always_the_answer(spark, odd):
     model = L.fit(odd.where("lang = 'en'"))
     assert {lang for d, lang, _ in answers(spark, odd, model) if d in (1, 6, 8)} == {"en"}
