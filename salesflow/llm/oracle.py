@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from salesflow.llm.mixing import MOST, SEEDS, TOTAL, WEIGHTS
 from salesflow.llm.queries import URL_RULES
-from salesflow.llm.url_filters import DAMPING, LINK, ROUNDS, THRESHOLD
+from salesflow.llm.url_filters import DAMPING, LINK, THRESHOLD, TOLERANCE
 
 
 def _mix() -> str:
     weight = "CASE rank % {n} {cases} END".format(
         n=len(WEIGHTS), cases=" ".join(f"WHEN {i} THEN {float(w)}" for i, w in enumerate(WEIGHTS))
     )
-    hashed = "CAST(CAST('0x' || substr(md5({seed} || ':' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
+    hashed = "CAST(CAST('0x' || substr(md5({seed} || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || content), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
     return f"""
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS content,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -31,7 +31,7 @@ first_level AS (SELECT arg_min(level, ord) AS water FROM l WHERE level * weight
 t AS (SELECT source, source_size, CAST(least({MOST} * source_size, water * weight) AS DOUBLE) AS target
   FROM l, first_level),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM t),
-j AS (SELECT d.doc_id, d.size, p.* FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+j AS (SELECT d.doc_id, d.size, d.content, p.* FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 k AS (SELECT CAST(range AS INTEGER) AS seed FROM range({SEEDS})),
 c AS (SELECT doc_id, size, source, source_size, target, seed,
     size * CAST(floor(rate) + CASE WHEN {hashed.format(seed='seed')} < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken
@@ -56,7 +56,7 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 
 
 def _urls() -> str:
-    """The same rounds, one after the other; both directions at once."""
+    """The same rounds until the ranks stand; both directions at once."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     cases = []
     for rule in sorted(URL_RULES, key=len, reverse=True):
@@ -66,18 +66,8 @@ def _urls() -> str:
         )
     verdicts = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in URL_RULES.items())
     link = LINK.replace("'", "''")
-    steps = ["r0 AS (SELECT host, kind, 1.0::DOUBLE AS rank FROM seeds)"]
-    for k in range(1, ROUNDS + 1):
-        steps.append(f"""
-i{k} AS MATERIALIZED (SELECT e.target AS host, e.kind, sum(e.share * r.rank) AS inward
-  FROM shares e JOIN r{k - 1} r ON e.host = r.host AND e.kind = r.kind GROUP BY ALL),
-b{k} AS (SELECT m.kind, {1 - DAMPING} + {DAMPING} * (m.mass - coalesce(sum(i.inward), 0)) / m.mass AS back
-  FROM (SELECT kind, count(*) AS mass FROM seeds GROUP BY kind) m LEFT JOIN i{k} i ON i.kind = m.kind GROUP BY m.kind, m.mass),
-r{k} AS MATERIALIZED (SELECT coalesce(s.host, i.host) AS host, coalesce(s.kind, i.kind) AS kind,
-    CASE WHEN s.host IS NULL THEN 0 ELSE b.back END + {DAMPING} * coalesce(i.inward, 0) AS rank
-  FROM seeds s FULL JOIN i{k} i ON s.host = i.host AND s.kind = i.kind LEFT JOIN b{k} b ON b.kind = s.kind)""")
     return f"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, html,
     translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{upper}', '{lower}') AS host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
@@ -93,9 +83,24 @@ edges AS (SELECT source, target, count(*) AS n FROM found WHERE source <> '' AND
 both_ways AS (SELECT source AS host, target, n, 'trust' AS kind FROM edges
   UNION ALL SELECT target, source, n, 'distrust' FROM edges),
 shares AS MATERIALIZED (SELECT host, target, kind, n / sum(n) OVER (PARTITION BY host, kind) AS share FROM both_ways),
-{",".join(steps)},
+mass AS MATERIALIZED (SELECT kind, count(*) AS m FROM seeds GROUP BY kind),
+ranks AS (
+  SELECT 0 AS round, host, kind, 1.0::DOUBLE AS seed, 1.0::DOUBLE AS rank, true AS moving FROM seeds
+  UNION ALL
+  SELECT round, host, kind, seed, rank, sum(abs(rank - old)) OVER () > {TOLERANCE} * (SELECT sum(m) FROM mass)
+      OR count(*) FILTER (fresh) OVER () > 0
+  FROM (SELECT t.round, t.host, t.kind, seed, old, fresh, {DAMPING} * inward + seed * ({1 - DAMPING} + {DAMPING}
+        * (m - sum(inward) OVER (PARTITION BY t.kind)) / m) AS rank
+    FROM (SELECT max(round) + 1 AS round, host, kind, sum(seed) AS seed, sum(inward) AS inward, sum(old) AS old,
+          count(old) = 0 AS fresh
+        FROM (SELECT round, host, kind, seed, 0.0 AS inward, rank AS old FROM ranks WHERE moving
+          UNION ALL SELECT round, e.target, e.kind, 0.0, e.share * r.rank, NULL
+          FROM shares e JOIN ranks r ON e.host = r.host AND e.kind = r.kind WHERE moving)
+        GROUP BY host, kind) t JOIN mass ON mass.kind = t.kind)
+  ),
 scores AS (SELECT host, coalesce(sum(rank) FILTER (kind = 'trust'), 0) AS trust,
-    coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS distrust FROM r{ROUNDS} GROUP BY host)
+    coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS distrust FROM ranks
+  WHERE round = (SELECT max(round) FROM ranks) GROUP BY host)
 SELECT page_id, j.host, path, rule,
   coalesce(ruling, CASE WHEN s.distrust > {THRESHOLD} * (s.trust + s.distrust) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged j LEFT JOIN scores s ON j.host = s.host

@@ -7,8 +7,8 @@ links to them. A host is blocked if distrust makes up more than ``threshold`` of
 a host that neither reaches is allowed. Rules decide before the method does.
 
 Links are counted per pair of hosts before they are shuffled. Every round is one join and
-one aggregation over host pairs, written to the checkpoint folder; nothing grows on the
-driver but one number per round.
+one aggregation over host pairs, written to the checkpoint folder; the driver sees a few
+sums of it. Rounds follow from the links: hosts at the end of a long chain are reached too.
 
 A null url or one without ``://`` has an empty host and path, no rule, and is allowed.
 Null html has no links. Repeated rows are judged alike. Hosts are compared as written in
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from salesflow.session import cut
 
 DAMPING = 0.85
-ROUNDS = 20
+#: Change of a round, as a share of what the seeds hold, below which the ranks stand.
+TOLERANCE = 1e-6
 THRESHOLD = 0.5
 BROADCAST_HOSTS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -72,12 +73,13 @@ def links(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """(host, kind, rank) of hosts that are reached, for kinds ``trust`` and ``distrust``.
 
     ``edges`` has (source, target, n) rows, ``seeds`` (host, kind, seed). What hosts without
-    a way on would pass on returns to the seeds. Stops early only when nothing changes.
+    a way on would pass on returns to the seeds. Rounds go on until one reaches no new host
+    and changes the ranks by no more than ``tolerance`` times what the seeds hold.
     """
     both = edges.select("source", "target", "n", F.lit("trust").alias("kind")).union(
         edges.select("target", "source", "n", F.lit("distrust"))
@@ -88,34 +90,35 @@ def propagate(
             F.col("source").alias("host"), "kind", "target", (F.col("n") / F.col("total")).alias("share")
         )
     )
-    seeds = cut(seeds)
-    mass = {r[0]: r[1] for r in seeds.groupBy("kind").agg(F.sum("seed")).collect()}
-    ranks = seeds.select("host", "kind", F.col("seed").alias("rank"))
-    for _ in range(rounds):
-        passed = cut(
-            shares.join(ranks, ["host", "kind"])
-            .groupBy(F.col("target").alias("host"), "kind")
-            .agg(F.sum(F.col("share") * F.col("rank")).alias("inward"))
+    ranks = cut(seeds.select("host", "kind", "seed", F.col("seed").alias("rank")))
+    mass = {r[0]: r[1] for r in ranks.groupBy("kind").agg(F.sum("seed")).collect()}
+    reached = ranks.count()
+    none = F.lit(0.0)
+    while True:
+        passed = shares.join(ranks, ["host", "kind"]).select(
+            F.col("target").alias("host"), "kind", none, (F.col("share") * F.col("rank")), none
         )
-        inward = {r[0]: r[1] for r in passed.groupBy("kind").agg(F.sum("inward")).collect()}
-        if not inward:
-            # No seed has a link in its direction: all of it returns to the seeds.
-            return ranks
+        held = ranks.select("host", "kind", "seed", none.alias("inward"), F.col("rank").alias("old"))
+        step = cut(
+            held.union(passed)
+            .groupBy("host", "kind")
+            .agg(*[F.sum(c).alias(c) for c in ("seed", "inward", "old")])
+        )
+        inward = {r[0]: r[1] for r in step.groupBy("kind").agg(F.sum("inward")).collect()}
         back = F.coalesce(
             *[
-                F.when(F.col("kind") == k, 1 - damping + damping * (m - inward.get(k, 0.0)) / m)
+                F.when(F.col("kind") == k, 1 - damping + damping * (m - inward[k]) / m)
                 for k, m in mass.items()
                 if m > 0
             ],
-            F.lit(0.0),
-        )
-        ranks = seeds.join(passed, ["host", "kind"], "full").select(
-            "host",
-            "kind",
-            (F.coalesce("seed", F.lit(0.0)) * back + damping * F.coalesce("inward", F.lit(0.0))).alias("rank"),
+            none,
         )
-        ranks = cut(ranks)
-    return ranks
+        rank = F.col("seed") * back + damping * F.col("inward")
+        after = step.agg(F.count(F.lit(1)).alias("hosts"), F.sum(F.abs(rank - F.col("old"))).alias("moved")).first()
+        ranks = step.select("host", "kind", "seed", rank.alias("rank"))
+        if after["hosts"] == reached and (after["moved"] or 0.0) <= tolerance * sum(mass.values()):
+            return ranks.drop("seed")
+        reached = after["hosts"]
 
 
 def judge(

@@ -62,3 +62,19 @@ def test_odd_rows(spark, odd):
     assert emitted.columns == odd.columns
     assert emitted.count() == sum(r["_mix_copies"] for r in rows)
     assert mixing.emit(odd.limit(0)).count() == 0 and mixing.mixed(odd.limit(0)).count() == 0
+
+
+def test_rows_without_ids_meet_their_targets(spark):
+    texts = [("a" if k % 3 else "b", f"w{k} " * 10) for k in range(2_000)]
+    df = spark.createDataFrame(texts, "source string, text string").selectExpr("cast(null as bigint) as doc_id", "*")
+    by = mixing.mixed(df).selectExpr("source", "target", "size * copies as taken").toPandas().groupby("source")
+    assert (abs(by.taken.sum() - by.target.first()) / by.target.first()).max() < 0.05
+
+
+def test_columns_named_like_its_own(spark):
+    rows = [(k, f"w{k} " * 5, "a", 1, 2, 3, 4) for k in range(9)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", "_mix_source", "_MIX_size", "_mix_rate", "Copies"])
+    got = mixing.mixed(df)
+    assert got.columns == [*df.columns, "size", "source_size", "target", "__mix_copies"]
+    assert got.count() == 9 and mixing.emit(df).columns == df.columns
+    assert mixing.emit(df).count() == sum(r["__mix_copies"] for r in got.collect())
