@@ -68,8 +68,15 @@ def test_odd_documents_pass_all_stages(spark, odd, empty):
     assert ids <= {1, 6, 7, 8, None} and 7 in ids | {1, 6, 8}
 
 
-def test_repeated_ids_leave_one_row(spark, odd):
+def test_null_and_shared_ids_are_compared(spark, odd):
     rows = C.deduplicated(spark, odd, SF).collect()
-    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 2, 3, 4, 5, 6, 7, 8, 9]
-    assert sum(r.doc_id is None for r in rows) == 1
+    assert sorted(r.doc_id for r in rows) == [1, 2, 3, 4, 5, 6, 7, 8, 9]
     assert fill([1], [5], 1.5, 2.0) == [1.5]
+    text = " ".join(f"word{k}" for k in range(40))
+    near, other = text + " more", " ".join(f"other{k}" for k in range(40))
+    data = [(None, text)] * 3 + [(None, near), (7, near), (7, text), (7, other), (None, other + " x"), (None, None), (None, "")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    kept = sorted(C.deduplicated(spark, df, SF).collect(), key=repr)
+    texts = [r.text for r in kept if r.doc_id == 7]
+    assert len(texts) == 2 and other in texts and (text in texts or near in texts)
+    assert sorted(repr(r.text) for r in kept if r.doc_id is None) == ["''", "None"]
