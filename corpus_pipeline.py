@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from salesflow.llm import language_id, mixing, ngram_join, packing  # noqa: E402
 from salesflow.llm.queries import reachable, tokenizer  # noqa: E402
-from salesflow.session import scratch_path  # noqa: E402
+from salesflow.session import cut, scratch_path  # noqa: E402
 
 _OWN = "_pipeline_"
 
@@ -39,21 +39,29 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id.
+    """One document of each group of near duplicates: the one with the smallest id, null last.
 
-    Documents without words and those with a null id are in no group and stay. Of rows that
-    repeat an id, one stays: the first in the order of their texts.
+    Rows are told apart by id and text, so those with a null or shared id are compared like
+    all others. Documents without words are in no group and stay. Of rows that repeat both id
+    and text, one stays.
     """
     reachable(spark)
-    classes = ngram_join.join(docs)
-    leaders = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    kept = (
-        docs.join(leaders, "doc_id", "left_semi")
+    key, id = f"{_OWN}key", f"{_OWN}id"
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    classes = ngram_join.join(keyed, id=key).select(key, "class_id")
+    # Of rows in a class the least is found by partial minima, so a large class is no large group.
+    least = F.min(F.struct(F.col(id).isNull().alias("none"), id, key)).alias("least")
+    ids = keyed.select(key, F.col("doc_id").alias(id))
+    leaders = cut(classes.join(ids, key).groupBy("class_id").agg(least).select(f"least.{key}"))
+    # Rows of one key have the same id and text; the first by the remaining columns stays.
+    rest = [F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy(key).orderBy(F.col("text").asc_nulls_last(), *rest)
+    return (
+        keyed.join(leaders, key, "left_semi")
         .withColumn(f"{_OWN}row", F.row_number().over(order))
         .where(F.col(f"{_OWN}row") == 1)
+        .select(*docs.columns)
     )
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
