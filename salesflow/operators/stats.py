@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,9 @@ from salesflow.session import cut
 FENCE = 1.5
 HISTOGRAM_BINS = 50
 DENSITY_POINTS = 200
-# Rows of a task held against the grid at once.
+# Bins of the density a bandwidth wide, powers kept of a bin, and bins held against the grid at once.
+_BINS_A_WIDTH = 4
+_POWERS = 10
 _GRID_ROWS = 4096
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
@@ -152,8 +156,10 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum.
 
-    Every row counts at every grid point; a task adds up its rows and emits one sum per
-    point. Without ``bandwidth`` it is ``std * n ** -0.2``; where that is zero there is no
+    Rows are added up by bins a quarter of the bandwidth wide, as sums of the powers of their
+    distance to the bin's middle; the series of the kernel around the middles gives the curve.
+    What the series leaves out is below 1e-12 of a row's own peak, so all rows count at all
+    points, but only bins meet the grid. Without ``bandwidth`` it is ``std * n ** -0.2``; where that is zero there is no
     density. With ``scale_to_bins`` the curve is scaled to lie over a histogram of that
     many bins.
     """
@@ -168,10 +174,17 @@ def density(
         def reduce_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(points)
             for batch in batches:
-                values = batch.column(0).to_numpy(zero_copy_only=False)
-                for at in range(0, len(values), _GRID_ROWS):
-                    z = (grid[:, None] - values[None, at : at + _GRID_ROWS]) / h
-                    total += np.exp(-z * z / 2).sum(1)
+                for at in range(0, len(batch), _GRID_ROWS):
+                    part = batch.slice(at, _GRID_ROWS)
+                    middle = lo + (part.column(0).to_numpy() + 0.5) * width
+                    # Beyond 40 bandwidths the kernel is zero in double precision.
+                    z = np.clip((grid[:, None] - middle[None, :]) / h, -40.0, 40.0)
+                    before, now = np.zeros_like(z), np.ones_like(z)
+                    series = np.zeros_like(z)
+                    for k in range(_POWERS):
+                        series += now * (part.column(k + 1).to_numpy() / math.factorial(k))
+                        before, now = now, z * now - k * before
+                    total += (np.exp(-z * z / 2) * series).sum(1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(points, dtype=np.int32)), pa.array(grid), pa.array(total)],
                 ["point", "x", "_sum"],
@@ -181,10 +194,15 @@ def density(
             # One value, or one repeated, has no width.
             flat = [(i, float(x), None) for i, x in enumerate(grid)]
             return rows.sparkSession.createDataFrame(flat, "point int, x double, density double")
+        width = h / _BINS_A_WIDTH
+        place = F.floor((F.col("v") - lo) / width).alias("bin")
+        apart = rows.select(place, "v").select("bin", ((F.col("v") - lo) / h - (F.col("bin") + 0.5) / _BINS_A_WIDTH).alias("d"))
+        powers = [reduce(mul, [F.col("d")] * k, F.lit(1.0)) for k in range(_POWERS)]
+        bins = apart.groupBy("bin").agg(*[F.sum(p).alias(f"p{k}") for k, p in enumerate(powers)])
         norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
         if scale_to_bins:
             norm = norm * n * (hi - lo) / scale_to_bins
-        sums = rows.mapInArrow(reduce_batches, "point int, x double, _sum double")
+        sums = bins.mapInArrow(reduce_batches, "point int, x double, _sum double")
         return cut(
             sums.groupBy("point", "x")
             .agg(F.sum("_sum").alias("_sum"))

@@ -94,6 +94,18 @@ def test_density_equals_numpy(spark):
     assert np.allclose(got["density"], want)
 
 
+def test_density_of_far_and_crowded_values_equals_numpy(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=3_000), np.full(1_000, 2.5), rng.normal(1e4, 5.0, size=50), [-1e6]])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    for bandwidth in (None, 0.01, 3.0):
+        got = D.density(df, "v", points=301, bandwidth=bandwidth, scale_to_bins=None).orderBy("point").toPandas()
+        h = bandwidth or values.std(ddof=1) * len(values) ** -0.2
+        z = (got["x"].to_numpy()[:, None] - values[None, :]) / h
+        want = np.exp(-z * z / 2).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+        assert np.allclose(got["density"], want, rtol=1e-9, atol=1e-11 / h)
+
+
 def test_correlations_equal_pandas(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame(rng.normal(1e6, 1.0, size=(300, 4)), columns=list("abcd"))
