@@ -195,6 +195,21 @@ ORACLE["scan_parquet"] = """
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
     GROUP BY n_name"""
 ORACLE["sink_parquet_roundtrip"] = sql("SELECT * FROM wide")
+_PATTERNS = {
+    "Type": "Type = 'B'",
+    "IsHoliday": "IsHoliday",
+    "Store": "Store = 3",
+    "Dept": "Dept = 2",
+    "Date": "Date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31'",
+    "Store, Dept, Date": "Store = 3 AND Dept = 2 AND Date < DATE '1996-01-01'",
+}
+ORACLE["layout_interleaved"] = sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS pattern, count(*) AS row_count, round(sum(Weekly_Sales), 2) AS sales FROM wide WHERE {kept}"
+    for name, kept in _PATTERNS.items()
+))
+ORACLE["layout_bucketed"] = sql(
+    "SELECT * FROM train JOIN (SELECT * EXCLUDE (IsHoliday) FROM cleaned) USING (Store, Date)"
+)
 ORACLE["sink_csv_roundtrip"] = sql("SELECT * FROM wide")
 ORACLE["scan_documents"] = sql("SELECT * FROM cleaned")
 ORACLE["land_zone"] = sql("SELECT * FROM feats")

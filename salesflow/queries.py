@@ -30,6 +30,7 @@ from salesflow.operators.quantiles import summary
 from salesflow.operators.split import mark_holdout, split
 from salesflow.plans import clean, features, forecast, load, preprocess
 from salesflow.session import cut, scratch_path
+from salesflow.sources import layout as L
 from salesflow.sources import readers as R
 from salesflow.sources import zones as Z
 from salesflow.sources.catalog import ForecastInputs, load_tables
@@ -145,6 +146,43 @@ def sink_parquet_roundtrip(spark, sf):
     return R.scan_parquet(spark, path)
 
 
+CURVE = ["Type", "IsHoliday", "Store", "Dept", "Date"]
+
+
+@query
+def layout_interleaved(spark, sf):
+    """Rows and sales of each access pattern, read from one table in the order of a curve."""
+    path = L.write_interleaved(wide(spark, sf), scratch_path(spark, "curve"), CURVE)
+    table = R.scan_parquet(spark, path, [*CURVE, "Weekly_Sales"])
+    patterns = {
+        "Type": F.col("Type") == "B",
+        "IsHoliday": F.col("IsHoliday"),
+        "Store": F.col("Store") == 3,
+        "Dept": F.col("Dept") == 2,
+        "Date": F.col("Date").between(F.lit("1997-01-01").cast("date"), F.lit("1997-03-31").cast("date")),
+        "Store, Dept, Date": (F.col("Store") == 3) & (F.col("Dept") == 2) & (F.col("Date") < F.lit("1996-01-01").cast("date")),
+    }
+    found = [
+        table.where(kept).agg(
+            F.lit(name).alias("pattern"), F.count(F.lit(1)).alias("row_count"), F.sum("Weekly_Sales").alias("sales")
+        )
+        for name, kept in patterns.items()
+    ]
+    return rounded(union(found), 2, "sales")
+
+
+@query
+def layout_bucketed(spark, sf):
+    """The inner join of sales and features from tables hashed by its key, without an exchange."""
+    sides = []
+    for name, df in [("sales", fixtures.train(spark, sf)), ("features", cleaned(spark, sf))]:
+        path = scratch_path(spark, f"bucketed_{name}")
+        table = L.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, ["Store", "Date"], 8)
+        sides.append(spark.table(table))
+        L.drop_table(spark, table)
+    return J.join_features(*sides, how="inner")
+
+
 @query
 def sink_csv_roundtrip(spark, sf):
     path = R.write_csv(wide(spark, sf), scratch_path(spark, "sink_csv"))
