@@ -13,8 +13,9 @@ protocol leaves no part of a lost or repeated task and which reaches any file sy
 does. Reading takes whole files as Spark's binary source gives them; ``docs_per_file``
 bounds their size.
 
-Rows are ordered by id (nulls last), then text; null text is no token but the end id.
-Repeated rows are written as often as they occur. An empty table gives an archive without
+Rows are ordered by id (nulls last), then by a hash of the text, then text, so that files cut
+rows of one id, or of none, too, where their texts differ; null text is no token but the end id.
+Repeated rows are written as often as they occur, equal ones into one file. An empty table gives an archive without
 documents. Columns other than the named ones are not read.
 """
 
@@ -165,9 +166,8 @@ def write(
     ``drops_space`` says that the tokenizer splits at all white space and keeps none of it.
     """
     bits = width_of(vocabulary)
-    rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("tie"))
     files = max(-(-df.count() // docs_per_file), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = [F.col("id").asc_nulls_last(), F.col("text").asc_nulls_first()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], np.uint32)
@@ -189,8 +189,9 @@ def write(
         for piece in _pieces(documents(), bits, block_ids):
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.binary())], ["piece"])
 
-    # Ranges by id alone: the rows that Spark samples for them then hold no texts.
-    ordered = rows.repartitionByRange(files, F.col("id").asc_nulls_last()).sortWithinPartitions(*order)
+    # The rows that Spark samples for the ranges hold no texts, and many rows of one id get several files.
+    ranges = [F.col("id").asc_nulls_last(), F.col("tie")]
+    ordered = rows.repartitionByRange(files, *ranges).sortWithinPartitions(*ranges, "text").drop("tie")
     # The bytes as they are: this cast checks and changes nothing.
     pieces = ordered.mapInArrow(run, "piece binary").select(F.col("piece").cast("string").alias("value"))
     with small_batches(df.sparkSession, TEXTS_AT_ONCE):

@@ -1,9 +1,11 @@
 import zlib
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from public_tokenizers import path
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF
@@ -30,10 +32,16 @@ def test_width():
     assert [B.width_of(v) for v in (1, 2, 3, 49_408, 65_536, 65_537)] == [1, 1, 2, 16, 16, 17]
 
 
+def tie(text):
+    """Spark's xxhash64 of a text; a null leaves the seed."""
+    value = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
 def expected(rows, end=2):
     plain = Tokenizer.from_file(FILE)
     at, out = 0, []
-    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, tie(r[1]), (r[1] or "").encode()))
     for key, text in order:
         ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, end], "<u4")
         out.append((key, at, len(ids), zlib.crc32(ids.tobytes())))
@@ -66,5 +74,18 @@ def test_odd_rows_other_widths_and_random_access(spark, odd):
                 assert whole[-1] == 2 and file.ids(start + size // 2, size - size // 2).tolist() == whole[size // 2 :].tolist()
 
 
+def test_rows_of_one_id_spread_over_files(spark):
+    one = spark.range(1200).select(
+        F.when(F.col("id") % 3 > 0, F.lit(5)).cast("bigint").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text")
+    )
+    where = scratch_path(spark, "archive")
+    B.write(one, where, FILE, 49_408, 2, docs_per_file=100, drops_space=True)
+    per_file = [r["count"] for r in B.read(spark, where).groupBy("file").count().collect()]
+    assert sum(per_file) == 1200 and len(per_file) >= 8 and max(per_file) <= 300
+    got = B.read(spark, where).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    want = expected([tuple(r) for r in one.collect()])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
 def test_empty_table(spark, odd):
     assert B.round_trip(odd.limit(0), FILE, 49_408, 2).collect() == []
