@@ -2,7 +2,7 @@
 
 The lexicon holds the terms whose document frequency lies in a band (so inverse document
 frequency does); each is given, by its hash, to some of several randomised lexicon subsets,
-which hold from a half down to a 4096th of it. A document's distinct terms are looked up,
+which hold from a half down to a 65536th of it. A document's distinct terms are looked up,
 and a subset's signature is the sum of the hashes of its terms: like hashing the sorted
 terms it depends on the set alone, and it is added up before the shuffle. A signature
 counts where the subset holds one to ``MOST_TERMS`` terms of the document, so that texts of
@@ -30,8 +30,8 @@ from salesflow.session import cut
 LEAST_SHARE = 0.0005
 LEAST_DOCUMENTS = 2
 MOST_SHARE = 0.2
-#: Share of the lexicon in each subset, as powers of 1/2.
-SUBSETS = tuple(level for level in range(1, 13) for _ in range(3))
+#: Share of the lexicon in each subset, as powers of 1/2; the thinnest are for texts of some 100,000 terms.
+SUBSETS = (*(level for level in range(1, 13) for _ in range(3)), 13, 14, 15, 15, 16, 16)
 MOST_TERMS = 4
 _COUNT = 42
 BROADCAST_TERMS = 2_000_000

@@ -125,3 +125,16 @@ def test_odd_tables(spark, odd):
     assert nameless.count() == odd.count()
     alone = P.compared(spark.createDataFrame([(1, "a b c d")], SCHEMA)).first()
     assert alone.near_next == 1.0 and alone.edited_sha256 == hashlib.sha256(b"a b c a").hexdigest()
+
+
+@pytest.mark.parametrize("salt", ["a", "b", "c"])
+def test_near_copies_of_very_long_texts(spark, salt):
+    terms = [f"{salt}{n}" for n in range(100_000)]
+    edited = [f"other{n}" if n % 1000 == 0 else t for n, t in enumerate(terms)]
+    df = spark.createDataFrame([(1, " ".join(terms)), (2, " ".join(edited)), (3, "short text")], SCHEMA)
+    found = {r.doc_id: r.fingerprint for r in P.fingerprints(df, P.lexicon(df), ["doc_id"], {"own": "text"}).collect()}
+    # Only the shared terms are in the band, so both have the same ones.
+    assert not found[1].startswith("text:") and found[1] == found[2]
+    wide = P.lexicon(df, least=1, most_share=1.0)
+    own = {r.doc_id: r.fingerprint for r in P.fingerprints(df, wide, ["doc_id"], {"own": "text"}).collect()}
+    assert not own[1].startswith("text:") and like(own[1], own[2]) > 0.3
