@@ -212,6 +212,7 @@ ORACLE["layout_bucketed"] = sql(
 )
 ORACLE["sink_csv_roundtrip"] = sql("SELECT * FROM wide")
 ORACLE["scan_documents"] = sql("SELECT * FROM cleaned")
+ORACLE["scan_document_dump"] = ORACLE["scan_documents"]
 ORACLE["land_zone"] = sql("SELECT * FROM feats")
 ORACLE["clean_features_job"] = sql("SELECT * FROM cleaned")
 ORACLE["clean_sales_job"] = sql("SELECT * FROM train")

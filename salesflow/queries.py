@@ -34,6 +34,7 @@ from salesflow.sources import layout as L
 from salesflow.sources import readers as R
 from salesflow.sources import zones as Z
 from salesflow.sources.catalog import ForecastInputs, load_tables
+from salesflow.sources.dumps import write_dump
 from salesflow.sources.stored import StoredTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +198,14 @@ def scan_documents(spark, sf):
     return R.scan_documents(spark, path, schema=schema)
 
 
+@query
+def scan_document_dump(spark, sf):
+    documents = cleaned(spark, sf).withColumn("_id", F.concat_ws("/", "Store", "Date"))
+    path = write_dump(documents, scratch_path(spark, "dump"))
+    schema = T.StructType([T.StructField("_id", T.StringType()), *contracts.FEATURES.schema()])
+    return R.scan_documents(spark, path, "bson", schema=schema)
+
+
 def _raw_files(spark: SparkSession, sf: str) -> str:
     """The four raw files: features with day-first dates, the others with year-first ones."""
     folder = scratch_path(spark, "raw_files")

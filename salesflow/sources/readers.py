@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from salesflow.sources.dumps import scan_dump
+
 # Fixed value: how the files spell a missing value.
 NULL_TEXT = "NA"
 
@@ -61,9 +63,12 @@ def scan_documents(
 ) -> DataFrame:
     """A document collection without its ``_id``.
 
-    ``fmt`` is JSON lines here; with a connector on the class path it is the
-    connector's format name, and ``options`` hold its connection settings.
+    ``fmt`` is ``json`` for JSON lines and ``bson`` for the files of a collection dump; with a
+    connector on the class path it is the connector's format name, and ``options`` hold its
+    connection settings.
     """
+    if fmt == "bson":
+        return scan_dump(spark, path, schema).drop("_id")
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
