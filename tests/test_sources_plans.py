@@ -158,3 +158,49 @@ def test_forecast_run(spark, tmp_path):
     saved = R.scan_csv(spark, str(tmp_path / "predictions"))
     assert saved.columns == ["Store", "Dept", "Date", "Predicted_Weekly_Sales"]
     assert run.fitted.columns == [*X.KEY, "actual", "prediction"]
+
+
+def _unrelated(rows):
+    """Sales that no column is related to: each store and week has the same ones, mean 20."""
+    days = [date(2010, 1, 4 + 7 * w) for w in range(4)]
+    sales = [(s, d, day, v) for s in (1, 2) for day in days for d, v in ((1, 10.0), (2, 30.0), (3, 10.0), (4, 30.0), (5, 20.0))]
+    flat = [(s, day, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, False) for s in (1, 2) for day in days]
+    names = [f"{f.name} {f.type}" for f in contracts.RAW_FEATURES.fields]
+    # A department has the same mean as the opposite one.
+    train = rows("Store int, Dept int, Date date, Weekly_Sales double, IsHoliday boolean", *[(s, abs(d - 3), day, v, False) for s, d, day, v in sales])
+    return train, rows(", ".join(names), *flat), rows("Store int, Type string, Size int", (1, "A", 5), (2, "A", 5))
+
+
+def test_forecast_without_a_related_feature_predicts_the_mean(spark, rows, tmp_path):
+    train, feats, stores = _unrelated(rows)
+    test = train.drop("Weekly_Sales").withColumn("Date", F.date_add("Date", 700))
+    feats = X.C.clean_promotions(feats, start="2012-01-01")
+    assert features.forecast_features(X.J.merge_wide(train, feats, stores), types=stores).columns == []
+    settings = {"trees": 3, "depth": 3}
+    learners = {
+        "LinearRegression": X.M.linear(),
+        "Ridge": X.M.ridge(),
+        "RandomForest": X.M.histograms(X.H.Settings(**settings, rate=1.0, penalty=0.0, boosted=False, rows=0)),
+        "GradientBoosting": X.M.boosted(maxIter=3, maxDepth=3),
+        "SampledBoosting": X.M.histograms(X.H.Settings(**settings)),
+    }
+    inputs = catalog.ForecastInputs(X.J.merge_wide(train, feats, stores), feats, stores, test)
+    run = forecast.run(inputs, learners, output=str(tmp_path))
+    assert {r.Model for r in run.comparison.collect()} == set(learners)
+    kept = X.split(inputs.merged, key=X.KEY)[0].agg(F.avg("Weekly_Sales")).first()[0]
+    for name, model in run.models.items():
+        found = X.M.score(model, test, []).collect()
+        assert len(found) == test.count(), name
+        assert all(r.Predicted_Weekly_Sales == pytest.approx(kept, abs=0.01) for r in found), name
+        if hasattr(model, "featureImportances"):
+            assert X.M.importances(train, model, []).count() == 0
+
+
+def test_forecast_features_query_without_a_related_feature(spark, rows, monkeypatch):
+    train, feats, stores = _unrelated(rows)
+    monkeypatch.setattr(X.fixtures, "train", lambda *_: train)
+    monkeypatch.setattr(X.fixtures, "test", lambda *_: train.drop("Weekly_Sales"))
+    monkeypatch.setattr(X.fixtures, "features", lambda *_: feats)
+    monkeypatch.setattr(X.fixtures, "stores", lambda *_: stores)
+    found = X.forecast_features(spark, "")
+    assert found.collect() == [] and found.columns == [*X.KEY, "feature", "value"]
