@@ -204,3 +204,17 @@ def test_forecast_features_query_without_a_related_feature(spark, rows, monkeypa
     monkeypatch.setattr(X.fixtures, "stores", lambda *_: stores)
     found = X.forecast_features(spark, "")
     assert found.collect() == [] and found.columns == [*X.KEY, "feature", "value"]
+
+
+def test_a_load_parses_its_file_once(spark, tmp_path):
+    path = tmp_path / "train.csv"
+    path.write_text("Store,Dept,Date,Weekly_Sales,IsHoliday\n1,1,2010-02-05,1.5,false\n1,1,05/02/2010,2.5,false\n1,x,2010-02-05,1,true\n1,2,2010-02-05\n")
+    found = load.load_sales(spark, str(path))
+    assert [tuple(r) for r in found.table.collect()] == [(1, 1, date(2010, 2, 5), 2.5, False)]
+    assert sorted((r.Dept, r.violations) for r in found.rejected.collect() if r.Dept == "x") == [("x", ["type:Dept"])]
+    assert any(r.violations == ["line:1,2,2010-02-05"] for r in found.rejected.collect())
+    assert found.counts.first().asDict() == {"inserted": 1, "updated": 0, "rejected": 2}
+    # The table is made of typed rows: nothing is parsed again when it is read.
+    for made in (found.table, found.counts, found.rejected):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "gettimestamp" not in plan and "decimal(38,10)" not in plan
