@@ -2,8 +2,9 @@
 
 Unit vectors are projected to eight dimensions by several random matrices and decoded to
 the nearest point of the E8 lattice; a vector also enters the cells of the neighbouring
-points (of the 240 nearest to its own) that lie closest to its projection. With more
-vectors a cell joins the points of two or three projections. Vectors that
+points (of the 240 nearest to its own) that lie closest to its projection. A cell joins
+the points of two projections, whatever the number of vectors: the links found do not depend
+on the table's size. Vectors that
 share a cell meet in tiles (see ``tiles``) and are compared by cosine in double precision;
 equal vectors are one member with a count. Components of the links follow.
 
@@ -29,15 +30,17 @@ from salesflow.llm.words import mix
 from salesflow.session import cut
 
 THRESHOLD = 0.95
-#: By number of vectors: lattice codes joined to one cell, tables, neighbouring cells probed
-#: per code, and length of a lattice unit in standard deviations of a projected unit vector.
-#: All find a pair at the threshold with a chance of 0.99; longer codes keep the number of
+#: Vectors a plan is cheapest up to, and lattice codes joined to one cell, tables, neighbouring
+#: cells probed per code, and length of a lattice unit in standard deviations of a projected unit
+#: vector. All find a pair at the threshold with a chance of 0.99; longer codes keep the number of
 #: unrelated vectors in a cell about the same as there are more vectors.
 PLANS = (
     (200_000, (1, 10, 8, 0.6)),
     (20_000_000, (2, 20, 2, 1.0)),
     (math.inf, (3, 48, 2, 1.0)),
 )
+#: The plan of all tables unless the caller names another.
+PLAN = PLANS[1][1]
 BLOCK_ROWS = 1024
 BLOCK_BYTES = 8 << 20
 ROWS_AT_ONCE = 512
@@ -77,11 +80,6 @@ def decode(y: np.ndarray) -> np.ndarray:
     return np.where(near[:, None], a, b)
 
 
-def plan_for(vectors: int) -> tuple[int, int, int, float]:
-    """(codes, tables, probes, cell) for a number of vectors."""
-    return next(plan for most, plan in PLANS if vectors <= most)
-
-
 def cells(unit: np.ndarray, codes: int, tables: int, probes: int, cell: float) -> np.ndarray:
     """Hashes of the lattice cells of unit vectors: (rows, tables * (1 + probes) ** codes)."""
     size = unit.shape[1]
@@ -131,12 +129,12 @@ def near_duplicates(
     id: str = "vec_id",
     vector: str = "embedding",
     threshold: float = THRESHOLD,
-    plan: tuple[int, int, int, float] | None = None,
+    plan: tuple[int, int, int, float] = PLAN,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) of every row.
 
-    ``plan`` is (codes, tables, probes, cell), by default the one for the number of
-    different vectors.
+    ``plan`` is (codes, tables, probes, cell). The default is the same for any number of rows;
+    beyond some 20 million vectors the last of ``PLANS`` compares fewer pairs.
     """
     kind = dict(df.dtypes)[id]
     single = dict(df.dtypes)[vector] == "array<float>"
@@ -151,8 +149,6 @@ def near_duplicates(
         .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     )
 
-    plan = plan or plan_for(classes.count())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), ROWS_AT_ONCE):

@@ -103,3 +103,14 @@ def test_roots_and_decoding():
     gap = ((y - x) ** 2).sum(1)
     assert all((((y[k] - x[k] - L.ROOTS) ** 2).sum(1) >= gap[k] - 1e-9).all() for k in range(len(y)))
     assert np.allclose(x[:5], L.decode(x[:5]))
+
+
+def test_links_do_not_depend_on_the_number_of_rows(spark, monkeypatch):
+    v = planted()
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], SCHEMA)
+    used = []
+    for most in (1, 10**9):
+        # On either side of a limit below which a plan would find little.
+        monkeypatch.setattr(L, "PLANS", ((most, (1, 1, 0, 0.05)), *L.PLANS[1:]))
+        used.append(got(L.near_duplicates(df)))
+    assert used[0] == used[1] == got(L.near_duplicates(df, plan=L.PLANS[1][1]))
