@@ -125,3 +125,12 @@ def test_models_do_not_depend_on_the_partitioning(planted):
         for n in (1, 3, 7)
     ]
     assert found[0] == found[1] == found[2]
+
+
+def test_partitions_grow_with_the_rows_only_beyond_their_fill(spark):
+    few, many = (
+        M.assemble(spark.range(n).select("id", F.col("id").cast("double").alias(M.TARGET)), ["id"]) for n in (12_000, 600_000)
+    )
+    assert M.arranged(few).rdd.getNumPartitions() == 3
+    assert M.arranged(many).rdd.getNumPartitions() <= 96
+    assert M.arranged(many).count() == 600_000
