@@ -100,6 +100,20 @@ def test_nodes_finished_in_a_task_are_the_same(frame, monkeypatch, boosted):
     assert all(m == models[0] for m in models[1:])
 
 
+@pytest.mark.parametrize("local", [0, 60])
+def test_a_pass_walks_no_more_trees_than_are_not_yet_in_the_scores(frame, monkeypatch, local):
+    settings = H.Settings(trees=7, depth=2, rate=0.3, rows=0.8, columns=0.7)
+    monkeypatch.setattr(H, "LOCAL_ROWS", local)
+    walked, sums = [], H._sums
+    monkeypatch.setattr(H, "_sums", lambda rows, before, *more: (walked.append(len(before)), sums(rows, before, *more))[1])
+    whole = H.fit(frame, FEATURES, "y", settings)
+    assert max(walked) == 6
+    monkeypatch.setattr(H, "CARRIED", 2)
+    walked.clear()
+    assert H.fit(frame, FEATURES, "y", settings) == whole
+    assert max(walked) == 1
+
+
 def test_split_rows_refuses_small_nodes(frame):
     model = H.fit(frame, FEATURES, "y", H.Settings(trees=1, depth=9, penalty=0.0, split_rows=100, boosted=False))
     x, _ = arrays(frame)
