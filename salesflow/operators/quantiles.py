@@ -4,12 +4,15 @@
 is narrowed first: count its values in equal bins, move to the bin that holds the
 wanted rank, and repeat until that bin is small enough for one task. Each round
 shuffles only bin counts. Groups that are small to begin with skip the rounds.
+All rounds read the keys and values alone, held on the executors, so what the rows come from
+runs once. A caller who holds them already says so (``held``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,13 +30,14 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     task_rows: int = TASK_ROWS,
     bins: int = BINS,
+    held: bool = False,
 ) -> DataFrame:
     """One row (keys, prob, quantile) per group and probability.
 
     Linear interpolation between the neighbouring ranks. Null and NaN values do
     not count, rows with a null key are left out, values must be finite.
     """
-    return _quantiles(_values(df, value, keys), probs, list(keys), {}, task_rows, bins)[0]
+    return _quantiles(_values(df, value, keys), probs, list(keys), {}, task_rows, bins, held)[0]
 
 
 def summary(
@@ -44,6 +48,7 @@ def summary(
     extra: dict[str, Callable[[str], Column]] | None = None,
     task_rows: int = TASK_ROWS,
     bins: int = BINS,
+    held: bool = False,
 ) -> DataFrame:
     """One row per group: a column per entry of ``{name: probability}``, and ``extra``.
 
@@ -52,7 +57,7 @@ def summary(
     """
     keys, extra = list(keys), extra or {}
     long, ranks = _quantiles(
-        _values(df, value, keys), sorted(set(probs.values())), keys, extra, task_rows, bins
+        _values(df, value, keys), sorted(set(probs.values())), keys, extra, task_rows, bins, held
     )
     columns = [
         F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
@@ -83,8 +88,27 @@ def _quantiles(
     extra: dict[str, Callable[[str], Column]],
     task_rows: int,
     bins: int,
+    held: bool,
 ) -> tuple[DataFrame, DataFrame]:
     """The quantiles in long form, and the rank table they were read from."""
+    if held:
+        return _found(rows, probs, keys, extra, task_rows, bins)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found, ranks = _found(rows, probs, keys, extra, task_rows, bins)
+        return cut(found), ranks
+    finally:
+        rows.unpersist()
+
+
+def _found(
+    rows: DataFrame,
+    probs: Sequence[float],
+    keys: list[str],
+    extra: dict[str, Callable[[str], Column]],
+    task_rows: int,
+    bins: int,
+) -> tuple[DataFrame, DataFrame]:
     ranks = cut(_wanted_ranks(rows, keys, probs, extra))
     narrowed = False
     while ranks.where(_too_wide(task_rows)).limit(1).count():

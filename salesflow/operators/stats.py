@@ -52,7 +52,7 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 def iqr_bounds(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE) -> DataFrame:
     """Quartiles, fences and the number of rows outside them; one row."""
     with kept(df.select(value)) as values:
-        bounds = cut(summary(values, value, QUARTILES).withColumns(_fences(factor)))
+        bounds = cut(summary(values, value, QUARTILES, held=True).withColumns(_fences(factor)))
         count = values.agg(F.count_if(_outside(value, bounds)).alias("outlier_count")).scalar()
         return cut(bounds.withColumn("outlier_count", count))
 
@@ -60,7 +60,7 @@ def iqr_bounds(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE
 def iqr_outliers(df: DataFrame, value: str = "Weekly_Sales", factor: float = FENCE) -> DataFrame:
     """The rows outside the fences."""
     with kept(df.select(value)) as values:
-        bounds = cut(summary(values, value, QUARTILES).withColumns(_fences(factor)))
+        bounds = cut(summary(values, value, QUARTILES, held=True).withColumns(_fences(factor)))
     return df.where(_outside(value, bounds))
 
 
@@ -100,6 +100,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             "value",
             {"p25": 0.25, "p50": 0.5, "p75": 0.75},
             ["column"],
+            held=True,
         )
         # A column without any value still has its row.
         found = rows.join(quartiles, ["column"], "left")
@@ -220,7 +221,7 @@ def box_stats(
     v = F.col(value)
     inside = (v >= F.col("lower_bound")) & (v <= F.col("upper_bound"))
     with kept(df.select(by, value).where(v.isNotNull())) as rows:
-        quartiles = summary(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+        quartiles = summary(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], held=True)
         bounds = cut(quartiles.withColumns(_fences(factor)))
         fences = small_side(bounds.select(by, "lower_bound", "upper_bound"))
         whiskers = (

@@ -160,3 +160,18 @@ def test_selection_never_keeps_a_pair_above_the_threshold(spark):
     kept = S.selected(verdicts)
     corr = pdf[kept].corr().abs().to_numpy()
     assert (corr[~np.eye(len(kept), dtype=bool)] <= 0.8).all()
+
+
+def test_narrowing_reads_the_source_once(spark):
+    """Rounds read held keys and values: each row of the source is made once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(400).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    got = summary(df.mapInArrow(count, "g bigint, v double"), "v", {"q": 0.5}, ["g"], task_rows=10, bins=4)
+    assert sorted(map(tuple, got.collect())) == [(0, 199.0), (1, 200.0)]
+    assert made.value == 400
