@@ -101,9 +101,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_documents(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """JSON lines; fields that are null are left out."""
-    df.write.mode(mode).json(path)
+def write_documents(
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip"
+) -> str:
+    """JSON lines; fields that are null are left out.
+
+    Every line spells all field names, so the files are compressed; ``scan_documents`` sees that
+    by their names. A file is read by one task then, and holds what one task wrote.
+    """
+    df.write.mode(mode).json(path, compression=compression)
     return path
 
 
