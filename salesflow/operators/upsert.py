@@ -44,7 +44,8 @@ def last_per_key(
         for c in keep_on_null
         if c in names
     }
-    last = keyed(batch, key).groupBy(*key).agg(newest.alias("_new"), *kept.values())
+    # Looked for after the reduction, rows without a key leave the batch's partitioning as it is.
+    last = keyed(batch.groupBy(*key).agg(newest.alias("_new"), *kept.values()), key)
     if not kept:
         return last
     values = [F.col(f"_kept_{c}" if c in kept else f"_new.{c}").alias(c) for c in names]

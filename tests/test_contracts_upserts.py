@@ -102,3 +102,13 @@ def test_hot_key_in_the_batch(spark, target):
     )
     out = U.upsert(target, batch, ["k"], ["at"])
     assert out.where("k = 1").collect()[0].a == "49999" and out.count() == 3
+
+
+def test_the_last_record_is_found_where_the_rows_are(spark, rows):
+    """A batch dealt by columns of the key is reduced there, without a shuffle; a null in the key still fails."""
+    df = rows("a int, b int, v int", (1, 1, 5), (1, 1, 7), (2, 1, None)).repartition(3, "a")
+    last = U.last_per_key(df, ["a", "b"])
+    assert last._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted((r.a, r.b, r._new.v) for r in last.collect()) == [(1, 1, 7), (2, 1, None)]
+    with pytest.raises(Exception, match="a row without a key in a, b"):
+        U.last_per_key(rows("a int, b int, v int", (1, None, 5)), ["a", "b"]).collect()
