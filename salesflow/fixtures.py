@@ -27,6 +27,9 @@ SCHEMAS = {
     "nation": "n_nationkey int, n_name string",
 }
 
+# Fixed value: bytes of the file whose lines one task of the views groups.
+TASK_BYTES = 2 << 20
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -40,6 +43,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _together(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines dealt by store and week, which the views are grouped and joined by, for one shuffle.
+
+    Hardly two lines of a group meet before it, so they are not added up there. The tasks are as
+    many as the file is large, so that what one holds does not grow with the table.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/lineitem.parquet")
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    return rows.repartition(max(1, -(-size // TASK_BYTES)), "Store", "Date")
+
+
 def _holiday():
     return F.weekofyear("Date").isin(*HOLIDAY_WEEKS).alias("IsHoliday")
 
@@ -57,29 +71,36 @@ def base(
         lines = lines.where(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     if since:
         lines = lines.where(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
-    return _lines(lines, F.col("l_shipdate").cast("date"))
+    return lines.select(*_line(), _week(F.col("l_shipdate").cast("date")))
 
 
 def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by the week of the order: a store has no row for weeks without one."""
-    orders = read(spark, sf_dir, "orders")
-    lines = read(spark, sf_dir, "lineitem")
+    """The same by the week of the order: a store has no row for weeks without one.
+
+    Both sides are reduced to what the views need before the join shuffles them.
+    """
+    day = F.col("o_orderdate").cast("date")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", _week(day))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", *_line())
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return _lines(joined, F.col("o_orderdate").cast("date"))
+    return joined.drop("l_orderkey", "o_orderkey")
+
+
+def _week(day: Column) -> Column:
+    return F.date_sub(day, F.weekday(day)).alias("Date")
 
 
-def _lines(rows: DataFrame, day: Column) -> DataFrame:
-    return rows.select(
+def _line() -> list[Column]:
+    return [
         F.col("l_suppkey").cast("int").alias("Store"),
         (F.col("l_partkey") % 5).cast("int").alias("Dept"),
-        F.date_sub(day, F.weekday(day)).alias("Date"),
         F.col("l_linenumber").alias("ln"),
         # Whole hundredths: adding them needs no decimals and no rounding.
         F.rint(F.col("l_quantity") * 100).cast("bigint").alias("qty"),
         F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
         F.rint(F.col("l_discount") * 100).cast("bigint").alias("pct"),
         F.rint(F.col("l_tax") * 100).cast("bigint").alias("tax"),
-    )
+    ]
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,13 +113,13 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ordered(spark, sf_dir)
+    off = (F.col("cents") * F.col("pct")).alias("off")
+    lines = ordered(spark, sf_dir).select("Store", "Date", "ln", "qty", "pct", "tax", off)
+    rows = _together(lines, spark, sf_dir)
     n = F.count(F.lit(1))
     known = F.col("Date") < F.lit(ECON_END).cast("date")
     promotions = [
-        (F.sum(F.when(F.col("ln") == i, F.col("cents") * F.col("pct"))) / 10000.0).alias(
-            f"MarkDown{i}"
-        )
+        (F.sum(F.when(F.col("ln") == i, F.col("off"))) / 10000.0).alias(f"MarkDown{i}")
         for i in range(1, 6)
     ]
     return (
@@ -124,8 +145,10 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir, before=HOLDOUT_START)
-    revenue = F.sum(F.col("cents") * (100 - F.col("pct"))) / 10000.0
+    paid = (F.col("cents") * (100 - F.col("pct"))).alias("paid")
+    lines = base(spark, sf_dir, before=HOLDOUT_START).select("Store", "Dept", "Date", paid)
+    rows = _together(lines, spark, sf_dir)
+    revenue = F.sum("paid") / 10000.0
     return (
         rows.groupBy("Store", "Dept", "Date")
         .agg(revenue.alias("Weekly_Sales"))

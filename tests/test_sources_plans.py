@@ -2,6 +2,7 @@ import io
 import re
 from contextlib import redirect_stdout
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,27 @@ def test_a_load_parses_its_file_once(spark, tmp_path):
     for made in (found.table, found.counts, found.rejected):
         plan = made._jdf.queryExecution().optimizedPlan().toString()
         assert "gettimestamp" not in plan and "decimal(38,10)" not in plan
+
+
+def test_documents_are_written_compressed(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 2 else f"text {i}") for i in range(1000)], "long_field_name int, other string")
+    path = R.write_documents(df, str(tmp_path / "docs"))
+    files = [f for f in (tmp_path / "docs").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    back = R.scan_documents(spark, path, schema=df.schema)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == [tuple(r) for r in df.collect()]
+
+
+def test_views_are_grouped_and_joined_by_one_shuffle(spark, monkeypatch):
+    """Lines of both sides go once to the tasks of their store and week; the file's size says how many."""
+    monkeypatch.setattr(fixtures, "TASK_BYTES", 20_000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = X.J.join_features(fixtures.train(spark, SF), fixtures.features(spark, SF))
+    text = plan_of(joined)
+    tasks = -(-Path(SF, "lineitem.parquet").stat().st_size // 20_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert tasks > 4
+    assert text.count("Exchange hashpartitioning(Store") == 2
+    assert len(re.findall(rf"hashpartitioning\(Store#\d+, Date#\d+, {tasks}\), REPARTITION_BY_NUM", text)) == 2
+    assert text.count("Exchange ") == 4
