@@ -14,7 +14,9 @@ are counted over all shards, and those below the support go. Words come first, t
 longer phrases, whose pairs all have to be frequent. What a task may skip it knows from bitmaps
 of bounded size; they let some others through, which the count by the words themselves removes.
 Tasks count whole texts in blocks of ``BLOCK_BYTES`` (a longer text is a block of its own), so
-frequent phrases are added up before any shuffle.
+frequent phrases are added up before any shuffle. What a shard counts travels packed, four bytes a
+phrase: of its hash the bits that tell ``PARTS`` parts and 2**24 keys in each apart, and a count.
+Phrases that share a key only let each other through, to the count by the words.
 
 Null text has no words, null lang is ``und``. Repeated rows count again. Ids are not needed, so
 null or shared ones make no difference, and other columns may have any name. An empty table
@@ -42,6 +44,10 @@ SHARDS = 3
 TOP = 2000
 #: About 700,000 words.
 BLOCK_BYTES = 4_000_000
+#: Phrases a task adds up before it sends their counts on.
+HELD = 4_000_000
+PARTS = 1 << 12
+_KEY = np.uint64(PARTS * (1 << 24) - 1)
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -104,42 +110,93 @@ def _rows(df: DataFrame, text: str, lang: str) -> DataFrame:
     return df.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
 
 
-def _local(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> DataFrame:
-    """(shard, hash, n): occurrences of phrases in each block, by hash; ``passes`` chooses."""
+def _packed(hashes: list[np.ndarray], shard: int, enough: int) -> pa.RecordBatch:
+    """The keys of some hashes and their counts, up to ``enough``, as one row of bytes for each part."""
+    keys, counts = np.unique(np.concatenate(hashes) & _KEY, return_counts=True)
+    parts, starts = np.unique(keys >> np.uint64(24), return_index=True)
+    starts = np.append(starts, len(keys)).astype(np.int64)
+    low = keys.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    counts = np.minimum(counts, enough).astype(_count_type(enough))
+    columns = [pa.array(np.full(len(parts), shard, np.int32)), pa.array(parts.astype(np.int32))]
+    for cells in (low, counts):
+        bounds = pa.py_buffer((starts * (cells.nbytes // max(1, len(cells)))).astype(np.int32))
+        columns.append(pa.Array.from_buffers(pa.binary(), len(parts), [None, bounds, pa.py_buffer(cells.tobytes())]))
+    return pa.RecordBatch.from_arrays(columns, ["shard", "part", "keys", "counts"])
+
+
+def _count_type(enough: int) -> np.dtype:
+    return np.min_scalar_type(enough)
+
+
+def _local(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser, enough: int) -> DataFrame:
+    """(shard, part, keys, counts): occurrences of phrases in some blocks, packed; ``passes`` chooses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId() % SHARDS
+        held, size = [], 0
         for block in _blocks(batches):
             for n in lengths:
                 at, hashes = block.grams(n)
-                found, counts = np.unique(hashes[passes(block, at, hashes, n)], return_counts=True)
-                for lo in range(0, len(found), 1 << 16):
-                    part = found[lo : lo + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), shard, np.int32)), pa.array(part), pa.array(counts[lo : lo + (1 << 16)])],
-                        ["shard", "hash", "n"],
-                    )
+                held.append(hashes[passes(block, at, hashes, n)])
+                size += len(held[-1])
+                if size >= HELD:
+                    yield _packed(held, shard, enough)
+                    held, size = [], 0
+        if size:
+            yield _packed(held, shard, enough)
+
+    return docs.mapInArrow(run, "shard int, part int, keys binary, counts binary")
+
+
+def _reaching(packed: DataFrame, enough: int) -> DataFrame:
+    """(hash): keys with so many occurrences in a shard."""
+
+    def added(part: int, keys: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+        low = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 3)
+        wide = np.zeros((len(low), 4), np.uint8)
+        wide[:, :3] = low
+        low = wide.view("<u4")[:, 0]
+        order = np.argsort(low, kind="stable")
+        low = low[order]
+        starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        counts = np.frombuffer(b"".join(counts), _count_type(enough))[order]
+        found = low[starts[np.add.reduceat(counts, starts, dtype=np.int64) >= enough]]
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64) + (part << 24))], ["hash"])
 
-    return docs.mapInArrow(run, "shard int, hash bigint, n bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, counts = None, [], []
+        for batch in batches:
+            for shard, part, some, times in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if keys and (shard, part) != now:
+                    yield added(now[1], keys, counts)
+                    keys, counts = [], []
+                now = shard, part
+                keys.append(some)
+                counts.append(times)
+        if keys:
+            yield added(now[1], keys, counts)
+
+    together = packed.repartition("shard", "part").sortWithinPartitions("shard", "part")
+    return together.mapInArrow(run, "hash bigint")
 
 
 def _spelled(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> DataFrame:
-    """(lang, words, phrase, hash, n): the same with the phrases themselves.
+    """(lang, words, phrase, n): occurrences of phrases in each block, with the phrases themselves.
 
     With single words come rows of 0 words: how many words a language has in all.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "words", "phrase", "hash", "n"]
+        names = ["lang", "words", "phrase", "n"]
         for block in _blocks(batches):
             langs = pa.array(block.names, pa.string())
             if 1 in lengths:
                 all_words = np.bincount(block.lang, minlength=len(langs))
                 nothing = np.zeros(len(langs), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [langs, pa.array(nothing.astype(np.int32)), pa.array([""] * len(langs)), pa.array(nothing), pa.array(all_words)], names
+                    [langs, pa.array(nothing.astype(np.int32)), pa.array([""] * len(langs)), pa.array(all_words)], names
                 )
             for n in lengths:
                 at, hashes = block.grams(n)
@@ -152,24 +209,32 @@ def _spelled(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> Data
                         langs.take(pa.array(block.lang[first[part]])),
                         pa.array(np.full(len(found[part]), n, np.int32)),
                         pa.array(block.spell(first[part], n), pa.binary()).cast(pa.string()),
-                        pa.array(found[part].view(np.int64)),
                         pa.array(counts[part]),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, "lang string, words int, phrase string, hash bigint, n bigint")
+    return docs.mapInArrow(run, "lang string, words int, phrase string, n bigint")
 
 
 def _counted(found: DataFrame) -> DataFrame:
     """Counts over all shards, by the words themselves."""
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"), F.min("hash").alias("hash"))
+    return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
+
+
+def _hashes(phrases: DataFrame, n: int) -> DataFrame:
+    """(hash) of phrases of n words each, as grams() has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(block.grams(n)[1].view(np.int64))], ["hash"])
+
+    return phrases.select(F.col("phrase").alias("text"), "lang").mapInArrow(run, "hash bigint")
 
 
 def _mined(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser, support: int) -> DataFrame:
     """Phrases with the support in all of the table: mine the shards, then count what they found."""
     local = -(-support // SHARDS)
-    shards = _local(docs, lengths, passes).groupBy("shard", "hash").agg(F.sum("n").alias("n"))
-    frequent = bitmap(shards.where(F.col("n") >= local), "hash")
+    frequent = bitmap(_reaching(_local(docs, lengths, passes, local), local), "hash")
 
     def candidates(block: Block, at: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
         chosen = passes(block, at, hashes, n)
@@ -206,14 +271,14 @@ def frequent(
     sizes = single.where(F.col("words") == 0).select("lang", F.col("f").alias("n"))
     levels = [single.where(F.col("words") == 1)]
     if longest > 1:
-        levels.append(_mined(docs, (2,), _of_frequent(bitmap(levels[0], "hash"), 1), support))
+        levels.append(_mined(docs, (2,), _of_frequent(bitmap(_hashes(levels[0], 1), "hash"), 1), support))
     if longest > 2:
-        pairs = _of_frequent(bitmap(levels[1], "hash"), 2)
+        pairs = _of_frequent(bitmap(_hashes(levels[1], 2), "hash"), 2)
         levels.append(_mined(docs, tuple(range(3, longest + 1)), pairs, support))
     all_levels = levels[0]
     for level in levels[1:]:
         all_levels = all_levels.union(level)
-    return all_levels.drop("hash"), sizes
+    return all_levels, sizes
 
 
 def _part(first: Column | int, last: Column) -> Column:

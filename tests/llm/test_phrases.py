@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF
 from oracle_check import compare, connect
@@ -99,3 +101,28 @@ def test_odd_rows(spark, odd):
     rows = [(r.text, r.lang) for r in odd.collect()]
     df = odd.withColumn("n", odd.doc_id).withColumn("phrase", odd.text)
     assert rows_of(phrases.collocations(df, support=2)) == brute(rows, 2)
+
+
+def test_counts_of_a_shard_travel_in_four_bytes_and_add_up_over_tasks(spark):
+    rng = random.Random(9)
+    rows = [(" ".join(f"w{rng.randrange(300)}" for _ in range(400)), "en") for _ in range(60)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    first, last = df.repartition(1).limit(30), df.repartition(1).limit(30)
+    packed = phrases._local(first, (2,), phrases._everything, 3).union(phrases._local(last, (2,), phrases._everything, 3))
+    sent = packed.select(F.sum(F.length("keys") + F.length("counts")), F.sum(F.length("counts"))).first()
+    assert sent[0] == 4 * sent[1] > 0
+    # Both halves are the same rows in shard 0, so pairs met twice in either have four occurrences.
+    counts = Counter()
+    for text, lang in first.collect():
+        block = phrases.Block(pa.array([text]).cast(pa.large_string()), pa.array([lang]))
+        counts.update((block.grams(2)[1] & phrases._KEY).tolist())
+    got = [r.hash for r in phrases._reaching(packed, 3).collect()]
+    assert sorted(got) == sorted(k for k, n in counts.items() if 2 * min(n, 3) >= 3)
+    assert 0 < len(got) < len(counts)
+
+
+def test_many_occurrences_wanted(spark):
+    df = spark.createDataFrame([("a b " * 900, "en"), ("a b. " * 100, "en")], "text string, lang string")
+    got = rows_of(phrases.collocations(df, support=1000))
+    assert got == rows_of(phrases.collocations(df.repartition(5), support=1000))
+    assert [(r[2], r[3]) for r in got] == [("a b", 1000)]
