@@ -15,8 +15,7 @@ longer phrases, whose pairs all have to be frequent. What a task may skip it kno
 of bounded size; they let some others through, which the count by the words themselves removes.
 Tasks count whole texts in blocks of ``BLOCK_BYTES`` (a longer text is a block of its own), so
 frequent phrases are added up before any shuffle. What a shard counts travels packed, four bytes a
-phrase: of its hash the bits that tell ``PARTS`` parts and 2**24 keys in each apart, and a count.
-Phrases that share a key only let each other through, to the count by the words.
+phrase (``filters.packed``). Phrases that share a key only let each other through, to the count by the words.
 
 Null text has no words, null lang is ``und``. Repeated rows count again. Ids are not needed, so
 null or shared ones make no difference, and other columns may have any name. An empty table
@@ -35,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.llm import words
-from salesflow.llm.filters import bitmap, maybe
+from salesflow.llm.filters import PACKED, bitmap, maybe, packed, reaching
 from salesflow.session import cut
 
 SUPPORT = 30
@@ -46,8 +45,6 @@ TOP = 2000
 BLOCK_BYTES = 4_000_000
 #: Phrases a task adds up before it sends their counts on.
 HELD = 4_000_000
-PARTS = 1 << 12
-_KEY = np.uint64(PARTS * (1 << 24) - 1)
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -110,24 +107,6 @@ def _rows(df: DataFrame, text: str, lang: str) -> DataFrame:
     return df.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
 
 
-def _packed(hashes: list[np.ndarray], shard: int, enough: int) -> pa.RecordBatch:
-    """The keys of some hashes and their counts, up to ``enough``, as one row of bytes for each part."""
-    keys, counts = np.unique(np.concatenate(hashes) & _KEY, return_counts=True)
-    parts, starts = np.unique(keys >> np.uint64(24), return_index=True)
-    starts = np.append(starts, len(keys)).astype(np.int64)
-    low = keys.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-    counts = np.minimum(counts, enough).astype(_count_type(enough))
-    columns = [pa.array(np.full(len(parts), shard, np.int32)), pa.array(parts.astype(np.int32))]
-    for cells in (low, counts):
-        bounds = pa.py_buffer((starts * (cells.nbytes // max(1, len(cells)))).astype(np.int32))
-        columns.append(pa.Array.from_buffers(pa.binary(), len(parts), [None, bounds, pa.py_buffer(cells.tobytes())]))
-    return pa.RecordBatch.from_arrays(columns, ["shard", "part", "keys", "counts"])
-
-
-def _count_type(enough: int) -> np.dtype:
-    return np.min_scalar_type(enough)
-
-
 def _local(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser, enough: int) -> DataFrame:
     """(shard, part, keys, counts): occurrences of phrases in some blocks, packed; ``passes`` chooses."""
 
@@ -142,44 +121,12 @@ def _local(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser, enough: i
                 held.append(hashes[passes(block, at, hashes, n)])
                 size += len(held[-1])
                 if size >= HELD:
-                    yield _packed(held, shard, enough)
+                    yield packed(held, shard, enough)
                     held, size = [], 0
         if size:
-            yield _packed(held, shard, enough)
-
-    return docs.mapInArrow(run, "shard int, part int, keys binary, counts binary")
+            yield packed(held, shard, enough)
 
-
-def _reaching(packed: DataFrame, enough: int) -> DataFrame:
-    """(hash): keys with so many occurrences in a shard."""
-
-    def added(part: int, keys: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
-        low = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 3)
-        wide = np.zeros((len(low), 4), np.uint8)
-        wide[:, :3] = low
-        low = wide.view("<u4")[:, 0]
-        order = np.argsort(low, kind="stable")
-        low = low[order]
-        starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-        counts = np.frombuffer(b"".join(counts), _count_type(enough))[order]
-        found = low[starts[np.add.reduceat(counts, starts, dtype=np.int64) >= enough]]
-        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64) + (part << 24))], ["hash"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts = None, [], []
-        for batch in batches:
-            for shard, part, some, times in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if keys and (shard, part) != now:
-                    yield added(now[1], keys, counts)
-                    keys, counts = [], []
-                now = shard, part
-                keys.append(some)
-                counts.append(times)
-        if keys:
-            yield added(now[1], keys, counts)
-
-    together = packed.repartition("shard", "part").sortWithinPartitions("shard", "part")
-    return together.mapInArrow(run, "hash bigint")
+    return docs.mapInArrow(run, PACKED)
 
 
 def _spelled(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser) -> DataFrame:
@@ -234,7 +181,7 @@ def _hashes(phrases: DataFrame, n: int) -> DataFrame:
 def _mined(docs: DataFrame, lengths: tuple[int, ...], passes: Chooser, support: int) -> DataFrame:
     """Phrases with the support in all of the table: mine the shards, then count what they found."""
     local = -(-support // SHARDS)
-    frequent = bitmap(_reaching(_local(docs, lengths, passes, local), local), "hash")
+    frequent = bitmap(reaching(_local(docs, lengths, passes, local), local), "hash")
 
     def candidates(block: Block, at: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
         chosen = passes(block, at, hashes, n)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF
 from oracle_check import compare, connect
 from salesflow.llm import phrases
+from salesflow.llm.filters import KEY, reaching
 from salesflow.llm.oracle import ORACLE
 from salesflow.llm.queries import QUERIES
 
@@ -115,8 +116,8 @@ def test_counts_of_a_shard_travel_in_four_bytes_and_add_up_over_tasks(spark):
     counts = Counter()
     for text, lang in first.collect():
         block = phrases.Block(pa.array([text]).cast(pa.large_string()), pa.array([lang]))
-        counts.update((block.grams(2)[1] & phrases._KEY).tolist())
-    got = [r.hash for r in phrases._reaching(packed, 3).collect()]
+        counts.update((block.grams(2)[1] & KEY).tolist())
+    got = [r.hash for r in reaching(packed, 3).collect()]
     assert sorted(got) == sorted(k for k, n in counts.items() if 2 * min(n, 3) >= 3)
     assert 0 < len(got) < len(counts)
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF
 from oracle_check import compare, connect
@@ -130,3 +131,26 @@ def test_repeated_rows_are_other_places(spark):
     df = spark.createDataFrame([(1, text), (1, text), (None, text + " end"), (2, "w1 w2")], "doc_id int, text string")
     got = sorted((r.n_words, r.n_removed) for r in substring.remove(df).collect())
     assert got == [(2, 0), (40, 40), (40, 40), (41, 40)]
+
+
+def test_of_equal_texts_one_copy_is_fetched_as_words(spark):
+    text = "  ".join(f"word{k}" for k in range(90))
+    docs = spark.createDataFrame([(text,)] * 40 + [("some other text",)], "text string").repartition(5)
+    docs = docs.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
+    found = substring.Passages(pa.array([text]), 35)
+    at = docs.where(F.length("text") > 50).select("h1", "h2").first()
+    starts = [(at.h1, at.h2, int(s)) for s in found.start]
+    reference = spark.createDataFrame(starts, "h1 bigint, h2 bigint, start int")
+    rows = substring._contents(substring._distinct(docs), reference, None, 35).collect()
+    spans = zip(found.begin.tolist(), found.end.tolist(), strict=True)
+    assert sorted(bytes(r.words) for r in rows) == sorted(" ".join(text.split()[a:b]).encode() for a, b in spans)
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark):
+    shared = " ".join(f"s{k}" for k in range(40))
+    texts = [" ".join(f"t{n}w{k}" for k in range(60)) for n in range(50)] + [shared, shared]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    cleaned = substring.remove(df)
+    assert sorted(tuple(r)[1:] for r in cleaned.select("id", "n_words", "n_removed").collect()) == sorted([(60, 0)] * 50 + [(40, 40)] * 2)
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("Join") == 1
