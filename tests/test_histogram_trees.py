@@ -159,3 +159,27 @@ def test_a_frequent_value_leaves_bins_to_the_others(spark):
     rows = spark.range(10_000).selectExpr("cast(if(id % 10 = 0, id, 0) as double) a", "0.0 b", "0.0 c", "cast(id as double) y")
     edges = H.thresholds(rows, FEATURES, bins=64)[0]
     assert len(edges) >= 60 and edges[0] == 0 and len(np.unique(edges)) == len(edges)
+
+
+def test_rows_travel_in_blocks(frame, monkeypatch):
+    settings = H.Settings(trees=3, depth=3, rate=0.3, rows=0.8, columns=0.7)
+    monkeypatch.setattr(H, "LOCAL_ROWS", 0)
+    passed, sums = [], H._sums
+    monkeypatch.setattr(H, "_sums", lambda rows, *more: (passed.append((rows.rdd.getNumPartitions(), rows.count())), sums(rows, *more))[1])
+    count, wide = frame.count(), frame.repartition(7)
+    models = []
+    for block, task in ((1 << 16, 50_000), (100, 50_000), (100, count // 3)):
+        monkeypatch.setattr(H, "BLOCK_ROWS", block)
+        monkeypatch.setattr(H, "TASK_ROWS", task)
+        models.append(H.fit(wide, FEATURES, "y", settings))
+    assert models[0] == models[1] == models[2]
+    assert {1} == {parts for parts, blocks in passed if blocks == 1} and max(parts for parts, _ in passed) == 3
+    assert max(blocks for _, blocks in passed) < count / 50
+
+
+@pytest.mark.parametrize("large", [1, 1 << 52, 1 << 62])
+def test_parts_of_gradients_add_up_exactly(large):
+    g = np.array([large, 3, -large + 1, -5, large - 7], np.int64)
+    high, low = H._halves(g)
+    assert (int(high.sum()) << 20 if high is not None else 0) + int(low.sum()) == sum(int(v) for v in g)
+    assert (high is None) == (large == 1)
