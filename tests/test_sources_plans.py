@@ -7,10 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from salesflow import contracts, fixtures
+from salesflow import contracts, fixtures, session
 from salesflow import queries as X
 from salesflow.operators import windows as W
-from salesflow.plans import clean, features, forecast, load
+from salesflow.plans import clean, features, forecast, load, preprocess
 from salesflow.sources import catalog
 from salesflow.sources import readers as R
 from salesflow.sources import zones as Z
@@ -243,3 +243,48 @@ def test_views_are_grouped_and_joined_by_one_shuffle(spark, monkeypatch):
     assert text.count("Exchange hashpartitioning(Store") == 2
     assert len(re.findall(rf"hashpartitioning\(Store#\d+, Date#\d+, {tasks}\), REPARTITION_BY_NUM", text)) == 2
     assert text.count("Exchange ") == 4
+
+
+def _shuffled(spark) -> int:
+    """Shuffle files that lie about."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    return blocks.diskBlockManager().getAllFiles().mkString("|").count("shuffle_")
+
+
+def test_what_is_written_leaves_no_shuffle_files(spark, tmp_path):
+    df = spark.range(1000).repartition(3, "id")
+    before = _shuffled(spark)
+    R.write_csv(df, str(tmp_path / "csv"))
+    R.write_parquet(df, str(tmp_path / "parquet"))
+    kept = session.cut(df, release=True)
+    assert _shuffled(spark) <= before and kept.count() == 1000
+    # The setting is the caller's again.
+    assert spark.conf.get(session._RELEASE) == "false"
+    assert R.scan_csv(spark, str(tmp_path / "csv"), df.schema).count() == df.count() == 1000
+
+
+def test_csv_is_written_compressed(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, 1.5), (2, "a,b", None)], "k int, t string, v double")
+    path = R.write_csv(df, str(tmp_path / "t.csv"))
+    files = [f for f in (tmp_path / "t.csv").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    back = R.scan_csv(spark, path, df.schema, input_order=True).orderBy(R.ORDER).drop(R.ORDER)
+    assert back.collect() == df.collect()
+
+
+def test_a_load_holds_its_lines_only_while_it_runs(spark, tmp_path):
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    path = R.write_csv(spark.range(300).select(F.col("id").alias("Store"), F.lit("A").alias("Type"), F.lit(7).alias("Size")), str(tmp_path / "s.csv"))
+    done = load.load_stores(spark, path)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
+    # A first load has nothing to meet: its batch is not shuffled again.
+    assert "Exchange" not in plan_of(done.table)
+    assert done.table.count() == 300 and tuple(done.counts.first()) == (300, 0, 0)
+
+
+def test_preprocessing_holds_no_table_that_grows(spark, tmp_path, monkeypatch):
+    held, kept = [], preprocess.kept
+    monkeypatch.setattr(preprocess, "kept", lambda df: (held.append(df.columns), kept(df))[1])
+    zones = preprocess.preprocess(spark, X._raw_files(spark, SF), str(tmp_path / "zone"), X.START)
+    assert held == [["Store", "Type", "Size"]]
+    assert clean.read_raw(spark, zones.preprocessed("features_cleaned.csv"), contracts.FEATURES).count() == fixtures.features(spark, SF).count()
