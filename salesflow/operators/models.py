@@ -56,6 +56,7 @@ BOOSTED = {"maxIter": 100, "maxDepth": 6, "maxBins": BINS, "stepSize": 0.1}
 # Split statistics of one pass over the rows, per task. Fixed, because it sets the order in
 # which nodes draw their features: the same model on any cluster.
 TREE_MEMORY_MB = 256
+_SHALLOW = 8
 # Boosting chains one tree to the next; a checkpoint every few trees keeps the
 # chain short enough to rebuild when an executor is lost.
 _CHECKPOINT_EVERY = 10
@@ -103,8 +104,9 @@ def forest(**settings) -> Learner:
         labelCol=TARGET,
         seed=SEED,
         maxMemoryInMB=TREE_MEMORY_MB,
-        # Deep trees: remember each row's node instead of walking down again per pass.
-        cacheNodeIds=True,
+        # Deep trees: remember each row's node instead of walking down again per pass. Of shallow
+        # ones the walk is short, and a number per row and tree would be kept twice.
+        cacheNodeIds=(settings or SMALL_FOREST).get("maxDepth", 5) > _SHALLOW,
         checkpointInterval=_CHECKPOINT_EVERY,
         **(settings or SMALL_FOREST),
     )

@@ -134,3 +134,12 @@ def test_partitions_grow_with_the_rows_only_beyond_their_fill(spark):
     assert M.arranged(few).rdd.getNumPartitions() == 3
     assert M.arranged(many).rdd.getNumPartitions() <= 96
     assert M.arranged(many).count() == 600_000
+
+
+def test_shallow_forests_keep_no_node_per_row_and_tree(planted):
+    small, deep = M.forest(**M.SMALL_FOREST)(planted), M.forest(numTrees=2, maxDepth=20)(planted)
+    assert not small.getCacheNodeIds() and deep.getCacheNodeIds()
+    rows = M.arranged(M.assemble(planted, ["a", "b", "c"])).persist()
+    trees = [small.copy({small.cacheNodeIds: kept}).fit(rows).toDebugString.split("\n", 1)[1] for kept in (False, True)]
+    rows.unpersist()
+    assert trees[0] == trees[1]
