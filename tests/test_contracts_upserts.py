@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from salesflow import contracts
 from salesflow.operators import checks as Q
+from salesflow.operators import quantiles
 from salesflow.operators import upsert as U
 
 D = date(2012, 1, 2)
@@ -112,3 +113,26 @@ def test_the_last_record_is_found_where_the_rows_are(spark, rows):
     assert sorted((r.a, r.b, r._new.v) for r in last.collect()) == [(1, 1, 7), (2, 1, None)]
     with pytest.raises(Exception, match="a row without a key in a, b"):
         U.last_per_key(rows("a int, b int, v int", (1, None, 5)), ["a", "b"]).collect()
+
+
+def test_a_large_batch_is_shuffled_once(spark, monkeypatch):
+    target = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"), F.lit("x").alias("b"))
+    target = target.unionByName(target.where("k = 3").withColumn("a", F.lit(-1).cast("bigint")))
+    batch = spark.range(150, 260).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("a"), F.lit(1).alias("at"))
+
+    def found():
+        out = U.upsert(target, batch, ["k"], ["at"], keep_on_null=["a"])
+        counts = U.upsert_counts(target, batch, ["k"], ["at"], keep_on_null=["a"])
+        return sorted(map(str, out.collect())), counts.collect()
+
+    small = found()
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert found() == small and len(small[0]) == 261
+        new = U.cut(U.last_per_key(batch, ["k"], ["at"]))
+        plan = U.paired(target, new, ["k"]).rows._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Scan ExistingRDD") == 1 and "FullOuter" in plan
